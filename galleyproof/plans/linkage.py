@@ -29,7 +29,7 @@ def _prepared_datasets(datasets: DataFrame) -> DataFrame:
     names = F.array_distinct(F.transform(F.coalesce("authors", F.array()), surname))
     return datasets.select(
         F.col("global_id").alias("package_doi"),
-        article_doi(F.col("publications")[0]["citation"]).alias("direct_doi"),
+        article_doi(F.get("publications", F.lit(0))["citation"]).alias("direct_doi"),
         title_tokens(strip_prefix(F.col("name"))).alias("tokens"),
         names.alias("names"),
     )

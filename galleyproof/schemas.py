@@ -107,13 +107,13 @@ KEYS = {
     "reports": ["paper_id", "round"],
 }
 
-DATASET_JSON = T.StructType.fromDDL(
+DATASET_JSON = (
     "global_id string, name string, authors array<string>, publicationStatuses array<string>, "
     "updatedAt string, versionState string, size_mb double, "
     "publications array<struct<citation: string>>, "
     "files array<struct<dataFile: struct<filename: string, filesize: bigint, md5: string>>>"
 )
-ARTICLE_JSON = T.StructType.fromDDL(
+ARTICLE_JSON = (
     "DOI string, title array<string>, author array<struct<family: string>>, "
     "published struct<`date-parts`: array<array<int>>>"
 )

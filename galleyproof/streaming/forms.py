@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.ingest import fresh_rows
@@ -27,16 +28,20 @@ def ingest_forms(
     answer lands once.
     """
     cleaned = clean(raw)
-    unique = cleaned.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(
-        [*keys, "timestamp"])
+    # event time must be a zoned type; the zone is the session's for all rows alike
+    timed = cleaned.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
+    unique = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(
+        [*keys, "timestamp"]).drop("_event_time")
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()
         own = f"ingest_batch={batch_id}"
         before = [f for f in list_folders(spark, target) if f.rsplit("/", 1)[1] != own
                   and f.rsplit("/", 1)[1].startswith("ingest_batch=")]
         live = spark.read.schema(batch.schema).parquet(*before) if before else batch.limit(0)
         fresh_rows(live, batch, keys).write.mode("overwrite").parquet(f"{target}/{own}")
+        batch.unpersist()
 
     return (
         unique.writeStream.foreachBatch(land)

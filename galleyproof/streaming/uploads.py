@@ -18,17 +18,19 @@ def record_arrivals(
     """Write packages that came in for waiting papers to a ledger folder.
 
     ``uploads`` is a stream of (paper_id, kind, file_count, ts). Papers are static for the run. A
-    paper is recorded once per ``delay``; what comes later than that is left to the next batch run
+    paper is recorded once per day; what comes later than ``delay`` is left to the next batch run
     of `reports.arrivals_check`. The tables themselves are not rewritten per batch:
     `apply_arrivals` folds the ledger in.
     """
     waiting = by_status(papers, "with_author").select("paper_id", "round")
     packages = uploads.filter((F.col("kind") == "package") & (F.col("file_count") > 0))
     arrived = (
-        packages.withWatermark("ts", delay)
-        .dropDuplicatesWithinWatermark(["paper_id"])
+        packages.select("paper_id", F.col("ts").cast("date").alias("arrived"),
+                        F.col("ts").cast("timestamp").alias("_event_time"))
+        .withWatermark("_event_time", delay)
+        .dropDuplicatesWithinWatermark(["paper_id", "arrived"])
         .join(waiting, "paper_id")
-        .select("paper_id", "round", F.col("ts").cast("date").alias("arrived"))
+        .select("paper_id", "round", "arrived")
     )
 
     def land(batch: DataFrame, batch_id: int) -> None:

@@ -193,7 +193,9 @@ VIEWS: dict[str, str] = {
         SELECT CASE WHEN page_id % 5 = 0 THEN CONCAT('renamed', page_id, '.html')
                ELSE CONCAT('file', page_id, '.html') END AS filename, md5
         FROM manifest WHERE page_id % 13 <> 4""",
-    # the days of every paper in its state, for oracles only
+    # latest rounds, and the days of every paper in its state: for oracles only
+    "latest_it": """
+        SELECT * FROM iterations QUALIFY ROW_NUMBER() OVER (PARTITION BY paper_id ORDER BY round DESC) = 1""",
     "aged": f"""
         SELECT p.*, CAST({AS_OF_SQL} - CASE p.status
                 WHEN 'new_arrival' THEN p.first_arrival_date
