@@ -54,21 +54,36 @@ def any_null(keys: list[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
+def held_keys(batch: DataFrame, live: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
+    """Distinct keys of the batch that the live table has, as ``_have_<key>``.
+
+    The live table is cut to the batch's keys: while these are small enough for Spark to
+    broadcast, the large live table is only scanned, never shuffled.
+    """
+    want, have = [f"_want_{k}" for k in keys], [f"_have_{k}" for k in keys]
+    wanted = batch.select(*[F.col(k).alias(w) for k, w in zip(keys, want)]).distinct()
+    held = live.select(*[F.col(k).alias(h) for k, h in zip(keys, have)])
+    return held.join(wanted, key_match(have, want, null_safe), "left_semi").distinct()
+
+
+def without_keys(batch: DataFrame, held: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
+    return batch.join(held, key_match(keys, [f"_have_{k}" for k in keys], null_safe), "left_anti")
+
+
 def new_rows(
     batch: DataFrame, live: DataFrame, keys: list[str] | str, null_safe: bool = False
 ) -> DataFrame:
     """Batch rows whose key is not in the live table.
 
-    Null keys never match and so are always new, unless ``null_safe``. The live table is first
-    cut to the batch's keys: for a batch small enough to be broadcast the large live table is
-    only scanned, never shuffled.
+    Null keys never match and so are always new, unless ``null_safe``; they bypass the join, where
+    all of them would meet in one task.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    want, have = [f"_want_{k}" for k in keys], [f"_have_{k}" for k in keys]
-    wanted = batch.select(*[F.col(k).alias(w) for k, w in zip(keys, want)]).distinct()
-    held = live.select(*[F.col(k).alias(h) for k, h in zip(keys, have)])
-    hits = held.join(wanted, key_match(have, want, null_safe), "left_semi").distinct()
-    return batch.join(hits, key_match(keys, have, null_safe), "left_anti")
+    if null_safe:
+        return without_keys(batch, held_keys(batch, live, keys, True), keys, True)
+    named = batch.filter(~any_null(keys))
+    fresh = without_keys(named, held_keys(named, live, keys, False), keys, False)
+    return fresh.unionByName(batch.filter(any_null(keys)))
 
 
 def waiting_rounds(papers: DataFrame, iterations: DataFrame) -> DataFrame:

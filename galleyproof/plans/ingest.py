@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ascii_name, clean_journal, paper_id, paper_slug, parse_bool, yesno_bool
-from ..operators import insert_by_name, latest_by, new_rows, polish_names, rename_select
-from ..operators.joins import any_null
+from ..operators import insert_by_name, latest_by, polish_names, rename_select
+from ..operators.joins import any_null, held_keys, without_keys
 from ..schemas import FORM_ARRIVALS, PAPERS
 
 # Polished question texts of the two forms and the columns they become.
@@ -89,16 +89,12 @@ def fresh_rows(
     Rows with a null key are not alike and all stay, unless ``null_safe``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    newest = F.desc_nulls_last("timestamp")
     # ties in time are settled by the row's own content
-    order = [newest, F.xxhash64(*[c for c in batch.columns])]
-    if null_safe:
-        once = latest_by(batch, keys, *order)
-    else:
-        once = latest_by(batch.filter(~any_null(keys)), keys, *order).unionByName(
-            batch.filter(any_null(keys))
-        )
-    return new_rows(once, live, keys, null_safe)
+    order = [F.desc_nulls_last("timestamp"), F.xxhash64(*batch.columns)]
+    named = batch if null_safe else batch.filter(~any_null(keys))
+    held = held_keys(named, live, keys, null_safe)
+    fresh = without_keys(latest_by(named, keys, *order), held, keys, null_safe)
+    return fresh if null_safe else fresh.unionByName(batch.filter(any_null(keys)))
 
 
 def append_new(

@@ -40,16 +40,17 @@ def _current(papers: DataFrame, iterations: DataFrame) -> DataFrame:
     Rounds are reduced on their key before the join, so repeats cannot multiply papers and the
     join needs no second shuffle of them.
     """
-    cols = [*PROGRESS, "decision_de"]
-    per_round = iterations.select(*ROUND, *cols).groupBy(*ROUND).agg(
-        F.count("*").alias("n_current"), *[F.any_value(c).alias(f"it_{c}") for c in cols])
-    any_round = iterations.select("paper_id").distinct().withColumn("has_rounds", F.lit(True))
+    # fixed-width buffers keep this a hash aggregate
+    accepted = F.coalesce(F.col("decision_de") == "accept", F.lit(False))
+    per_round = iterations.groupBy(*ROUND).agg(
+        F.count("*").alias("n_current"), *[F.any_value(c).alias(f"it_{c}") for c in PROGRESS],
+        F.any_value(accepted).alias("it_accepted"))
+    # rows per paper in both tables from one shuffle of ids
+    ids = papers.select("paper_id", F.lit(1).alias("p"), F.lit(0).alias("r")).unionByName(
+        iterations.select("paper_id", F.lit(0).alias("p"), F.lit(1).alias("r")))
+    known = ids.groupBy("paper_id").agg(F.sum("p").alias("n_papers"), F.max("r").alias("has_rounds"))
     base = papers.select(*ROUND, "status", "date_published")
-    n_papers = base.groupBy("paper_id").agg(F.count("*").alias("n_papers"))
-    return (
-        base.join(per_round, ROUND, "left").join(any_round, "paper_id", "left")
-        .join(n_papers, "paper_id", "left")
-    )
+    return base.join(per_round, ROUND, "left").join(known, "paper_id", "left")
 
 
 def _issue(when: Column, text: str | Column) -> Column:
@@ -71,8 +72,7 @@ def _issues() -> Column:
         checks.append(_issue(here & held.isNull(), f"Status is '{state}' but {needed} is not set"))
         if state == "acceptable_package":
             # an absent decision is not an acceptance
-            other = ~F.coalesce(F.col("it_decision_de") == "accept", F.lit(False))
-            checks.append(_issue(here & other, f"Status is '{state}' but decision_de is not 'accept'"))
+            checks.append(_issue(here & ~F.col("it_accepted"), f"Status is '{state}' but decision_de is not 'accept'"))
         elif table == "iterations":
             following = PROGRESS[PROGRESS.index(needed) + 1]
             checks.append(_issue(here & F.col(f"it_{following}").isNotNull(),
@@ -87,7 +87,7 @@ def _blocking() -> Column:
     return (
         F.when(F.col("n_papers") != 1, F.concat(
             F.lit("Paper ID "), F.col("paper_id"), F.lit(" not found or has multiple entries")))
-        .when(F.col("has_rounds").isNull(), F.concat(
+        .when(F.col("has_rounds") == 0, F.concat(
             F.lit("No iterations found for paper "), F.col("paper_id")))
         .when(~F.coalesce(F.col("n_current") == 1, F.lit(False)), F.concat(
             F.lit("No iteration found for current round "),
@@ -116,7 +116,7 @@ def repair(papers: DataFrame, iterations: DataFrame) -> DataFrame:
     checked = _validated(papers, iterations).filter(F.size("issues") > 0)
     has = lambda c: F.col(f"it_{c}").isNotNull()
     new = F.when(F.col("date_published").isNotNull(), "published_package").when(
-        has("date_decision_de") & (F.col("it_decision_de") == "accept"), "acceptable_package")
+        has("date_decision_de") & F.col("it_accepted"), "acceptable_package")
     # latest stage first: reached, and the stage after it not
     for done, following in reversed(list(zip(PROGRESS, PROGRESS[1:]))):
         new = new.when(has(done) & ~has(following), _STATUS_OF[done])
