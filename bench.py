@@ -44,7 +44,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     started = time.perf_counter()
     with tempfile.TemporaryDirectory(prefix="bench-") as folder:
-        tables = Fixtures(spark, SF_DIR).save(folder, TABLES)
+        tables = Fixtures(spark, SF_DIR).save(folder, TABLES, int(CPUS))
         setup = time.perf_counter() - started
         times = {}
         for name in HEADLINE:

@@ -55,5 +55,4 @@ def ascii_name(c: Column) -> Column:
 
 def title_tokens(c: Column) -> Column:
     """Distinct lower-case words of a title, accents and punctuation removed."""
-    words = F.regexp_replace(strip_marks(F.lower(c)), r"[^a-z0-9\s]", " ")
-    return F.array_remove(F.array_distinct(F.split(words, r"\s+")), "")
+    return F.array_remove(F.array_distinct(F.split(strip_marks(F.lower(c)), "[^a-z0-9]+")), "")

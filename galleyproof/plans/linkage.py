@@ -21,8 +21,8 @@ THRESHOLD = 0.6
 
 
 def _fingerprint() -> Column:
-    return F.sha2(F.concat_ws("\n", F.concat_ws(" ", F.array_sort("tokens")),
-                              F.concat_ws("|", F.array_sort("names"))), 256)
+    return F.unhex(F.sha2(F.concat_ws("\n", F.concat_ws(" ", F.sort_array("tokens")),
+                              F.concat_ws("|", F.sort_array("names"))), 256))
 
 
 def _prepared_datasets(datasets: DataFrame) -> DataFrame:
@@ -42,79 +42,92 @@ def _prepared_articles(articles: DataFrame) -> DataFrame:
     )
 
 
-def _rarest_first(titles: DataFrame) -> DataFrame:
-    """Distinct (side, print) titles with their words ordered from rare to common."""
-    words = titles.select("side", "print", F.explode("tokens").alias("token"))
-    frequency = words.groupBy("token").agg(F.count("*").alias("_n"))
+def _words(titles: DataFrame) -> DataFrame:
+    return titles.select("*", F.explode("tokens").alias("word")).drop("tokens")
+
+
+def _entries(titles: DataFrame, frequency: DataFrame, tag: str, threshold: float) -> DataFrame:
+    """Index entries of titles: one narrow row per surname and word.
+
+    ``rare`` marks the words of the prefix. A title may be looked up as the shorter of a pair by
+    its rare words only, and as the longer one by all.
+    """
+    words = _words(titles.select("print", "names", "tokens")).join(frequency, "word")
     # one group per title: as many rows as the title has words
-    ordered = words.join(frequency, "token").groupBy("side", "print").agg(
-        F.sort_array(F.collect_list(F.struct("_n", "token"))).alias("_w"))
-    return ordered.select("side", "print", F.col("_w.token").alias("words"))
-
-
-def _scored(titles: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of data set and article prints with score >= threshold, each pair once."""
-    rare = titles.select("side", "print", "names").join(_rarest_first(titles), ["side", "print"])
-    n = F.size("words")
-    # 1e-9 keeps ceil exact where threshold * n is whole but not representable
-    prefix = n - F.ceil(n * threshold - 1e-9).cast("int") + 1
-    entries = rare.select(
-        "side", "print", "names", "words", n.alias("n"), prefix.alias("prefix"),
-        F.explode("names").alias("name"),
-    ).select("*", F.posexplode("words").alias("pos", "word"))
-
-    def side(which: str, tag: str, rare_only: bool) -> DataFrame:
-        chosen = entries.filter(F.col("side") == which)
-        if rare_only:
-            chosen = chosen.filter(F.col("pos") < F.col("prefix"))
-        return chosen.select("name", "word", *[F.col(c).alias(f"{tag}_{c}") for c in
-                                              ("print", "names", "words", "n")])
-
-    def met(short_datasets: bool) -> DataFrame:
-        pairs = side("d", "d", short_datasets).join(
-            side("a", "a", not short_datasets), ["name", "word"])
-        fits = F.col("d_n") <= F.col("a_n") if short_datasets else F.col("d_n") > F.col("a_n")
-        shared = F.array_intersect("d_words", "a_words")
-        # a pair is met under each shared word and name; it counts under the first of each
-        first = (F.get(shared, F.lit(0)) == F.col("word")) & (
-            F.get(F.array_intersect("d_names", "a_names"), F.lit(0)) == F.col("name"))
-        return pairs.filter(fits).filter(first).select(
-            "d_print", "a_print", overlap(F.col("d_words"), F.col("a_words")).alias("score"))
-
-    return met(True).unionByName(met(False)).filter(F.col("score") >= threshold)
-
-
-def _folded(prepared: DataFrame, side: str) -> DataFrame:
-    return prepared.filter(F.size("tokens") > 0).withColumn("print", _fingerprint()).withColumn(
-        "side", F.lit(side))
+    ordered = words.groupBy("print").agg(
+        F.sort_array(F.collect_list(F.struct("_n", "word"))).alias("w"),
+        F.any_value("names").alias("names"))
+    n = F.size("w")
+    placed = ordered.select("print", n.alias("n"), F.explode("names").alias("name"), F.posexplode("w"))
+    rare = F.col("pos") <= F.col("n") - _needed(F.col("n"), threshold)
+    as_shorter, as_longer = ("d", "a") if tag == "d" else ("a", "d")
+    roles = F.when(rare, F.array(F.lit(as_shorter), F.lit(as_longer))).otherwise(
+        F.array(F.lit(as_longer)))
+    return placed.select(
+        "name", F.col("col.word").alias("word"), F.explode(roles).alias("shorter"),
+        *[F.col(c).alias(f"{tag}_{c}") for c in ("print", "n", "pos")])
+
+
+def _needed(n: Column, threshold: float) -> Column:
+    """Shared words a title of n words must have; 1e-9 keeps whole products whole."""
+    return F.ceil(n * threshold - 1e-9).cast("int")
+
+
+def _scored(sets: DataFrame, articles: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of titles that may reach the threshold, each once, with their score."""
+    frequency = _words(sets.select("tokens")).unionByName(_words(articles.select("tokens"))).groupBy(
+        "word").agg(F.count("*").alias("_n"))
+    met = _entries(sets, frequency, "d", threshold).join(
+        _entries(articles, frequency, "a", threshold), ["name", "word", "shorter"])
+    fits = (F.col("shorter") == "d") == (F.col("d_n") <= F.col("a_n"))
+    # a pair's first meeting is under its rarest shared word: from there on, both titles must
+    # have enough words left
+    left = F.least(F.col("d_n") - F.col("d_pos"), F.col("a_n") - F.col("a_pos"))
+    enough = left >= _needed(F.least("d_n", "a_n"), threshold)
+    pairs = met.filter(fits & enough).select("d_print", "a_print").distinct()
+    return (
+        pairs.join(sets.select(F.col("print").alias("d_print"), F.col("tokens").alias("d_tokens")), "d_print")
+        .join(articles.select(F.col("print").alias("a_print"), F.col("tokens").alias("a_tokens"),
+                              "article_doi", "article_index"), "a_print")
+        .select("d_print", "a_print", "article_doi", "article_index",
+                overlap(F.col("d_tokens"), F.col("a_tokens")).alias("score"))
+    )
+
+
+def _distinct_titles(prepared: DataFrame, *more: Column) -> DataFrame:
+    # a title without words drops out when its words are listed
+    return prepared.withColumn("print", _fingerprint()).groupBy("print").agg(
+        F.any_value("tokens").alias("tokens"), F.any_value("names").alias("names"), *more)
+
+
+def _candidates(datasets: DataFrame, articles: DataFrame, threshold: float) -> DataFrame:
+    sets = _distinct_titles(_prepared_datasets(datasets).filter(F.col("direct_doi").isNull()))
+    arts = _distinct_titles(
+        _prepared_articles(articles),
+        F.min_by("article_doi", "article_index").alias("article_doi"),
+        F.min("article_index").alias("article_index"))
+    return _scored(sets, arts, threshold)
 
 
 def link_candidates(datasets: DataFrame, articles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Scored pairs of distinct titles: prints of data set and article title, and the first
     article with that title."""
-    sets, arts = _folded(_prepared_datasets(datasets), "d"), _folded(_prepared_articles(articles), "a")
-    cols = ["side", "print", "tokens", "names"]
-    titles = sets.filter(F.col("direct_doi").isNull()).select(*cols).unionByName(
-        arts.select(*cols)).groupBy("side", "print").agg(
-        F.any_value("tokens").alias("tokens"), F.any_value("names").alias("names"))
-    first = arts.groupBy("print").agg(
-        F.min_by("article_doi", "article_index").alias("article_doi"),
-        F.min("article_index").alias("article_index")).withColumnRenamed("print", "a_print")
-    return _scored(titles, threshold).join(first, "a_print")
+    return _candidates(datasets, articles, threshold).filter(F.col("score") >= threshold)
 
 
 def best_match(candidates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The best article per data set print; of equal scores the first article."""
     order = F.struct(F.col("score"), -F.col("article_index"))
-    return candidates.filter(F.col("score") >= threshold).groupBy("d_print").agg(
-        F.max_by("article_doi", order).alias("article_doi"), F.max("score").alias("score"))
+    return candidates.groupBy("d_print").agg(
+        F.max_by("article_doi", order).alias("article_doi"), F.max("score").alias("score")
+    ).filter(F.col("score") >= threshold)
 
 
 def link_articles(datasets: DataFrame, articles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Each data set with its article's DOI, or null: the DOI it cites itself, else the best title
     match. ``articles`` holds doi, title, authors (surnames) and article_index, its order."""
     prepared = _prepared_datasets(datasets).withColumn("d_print", _fingerprint())
-    best = best_match(link_candidates(datasets, articles, threshold), threshold)
+    best = best_match(_candidates(datasets, articles, threshold), threshold)
     cited = F.col("direct_doi").isNotNull()
     linked = prepared.join(best, "d_print", "left")
     return linked.select(

@@ -278,7 +278,8 @@ class Fixtures:
         parts = [f"{v} AS ({_render(VIEWS[v], 'spark')})" for v in views]
         return self.spark.sql(f"WITH {', '.join(base + parts)} {_render(body, 'spark')}")
 
-    def save(self, folder: str, names: list[str]) -> Fixtures:
+    def save(self, folder: str, names: list[str], files: int) -> Fixtures:
+        """Write views as Parquet tables of so many files each, to be scanned in parallel."""
         for name in names:
-            getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+            getattr(self, name).repartition(files).write.mode("overwrite").parquet(f"{folder}/{name}")
         return Fixtures(self.spark, self.sf_dir, folder)
