@@ -13,6 +13,7 @@ from .joins import (
 )
 from .ordering import expired_snapshots, latest_snapshot, rounds
 from .sets import distinct_on, insert_by_name, missing_ids, reminders, two_slots
+from .skew import split_join
 from .windows import current_rounds, latest_by, latest_iteration
 
 __all__ = [
@@ -22,7 +23,7 @@ __all__ = [
     "insert_by_name", "iteration", "largest_files", "last_modified", "latest_by",
     "latest_iteration", "latest_snapshot", "missing_ids", "new_rows", "package_sizes", "paper",
     "polish_names", "published_packages", "recent_datasets", "reminders", "rename_select",
-    "reports_to_process", "rounds", "select_matching", "table_stats", "text_lists", "two_slots",
+    "reports_to_process", "rounds", "select_matching", "split_join", "table_stats", "text_lists", "two_slots",
     "unprocessed", "update_from_latest", "update_from_round", "update_where", "waiting_rounds",
     "where_eq", "with_previous_round", "without_tests",
 ]

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import split_join
+
 LIST_PART = 10_000
 
 
@@ -87,9 +89,8 @@ def text_lists(
     sizes = df.groupBy(*keys).agg(F.count("*").alias("n_items"))
     sizes = sizes.withColumn("n_parts", F.ceil(F.col("n_items") / per_part).cast("int"))
     spread = F.pmod(F.xxhash64(*order), F.col("n_parts")).cast("int")
-    # the explicit shuffle on key and part keeps a hot key's parts in different tasks, and leaves
-    # the join before it free to be split
-    parts = df.join(sizes, keys).withColumn("part", spread).repartition(*keys, "part")
+    # the explicit shuffle on key and part keeps a hot key's parts in different tasks
+    parts = split_join(df, sizes, keys).withColumn("part", spread).repartition(*keys, "part")
     listed = parts.groupBy(*keys, "n_items", "part", "n_parts").agg(
         F.sort_array(F.collect_list(F.struct(*order, item.alias("_item")))).alias("_items")
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_test
 from ..schemas import check_statuses
+from .skew import split_join
 
 
 def columns(df: DataFrame, cols: list[str], where: tuple[str, object] | None = None) -> DataFrame:
@@ -49,7 +50,7 @@ def without_tests(papers: DataFrame, iterations: DataFrame) -> tuple[DataFrame,
     tests = papers.filter(is_test(F.col("comments"))).select("paper_id").distinct()
     return (
         papers.filter(~is_test(F.col("comments"))),
-        iterations.join(tests, "paper_id", "left_anti"),
+        split_join(iterations, tests, ["paper_id"], "left_anti"),
     )
 
 

@@ -1,8 +1,9 @@
 """Joins between papers, rounds, reports and forms.
 
 No side is ever hinted for broadcast here: Spark measures sizes and picks the strategy, and its
-adaptive execution splits skewed keys. Sides tested only for presence are reduced to distinct
-keys first; the reduction shuffles on the join's own keys, so the join adds no further shuffle.
+adaptive execution splits a hot key of a sort-merge join, provided that both sides are shuffled
+for this very join. `split_join` sees to that where a side is an aggregate on the same key.
+Sides tested only for presence are reduced to distinct keys first.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import key_tag, split_join
 from .windows import latest_iteration
 
 ROUND = ["paper_id", "round"]
@@ -67,7 +69,9 @@ def held_keys(batch: DataFrame, live: DataFrame, keys: list[str], null_safe: boo
 
 
 def without_keys(batch: DataFrame, held: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
-    return batch.join(held, key_match(keys, [f"_have_{k}" for k in keys], null_safe), "left_anti")
+    have = [f"_have_{k}" for k in keys]
+    match = key_match(keys, have, null_safe) & (key_tag(keys) == key_tag(have))
+    return batch.join(held, match, "left_anti")
 
 
 def new_rows(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_test
 from ..operators import (
-    carry_replicators, current_rounds, insert_by_name, latest_by, reports_to_process,
+    carry_replicators, current_rounds, latest_by, reports_to_process, split_join,
     update_from_latest, update_from_round,
 )
 from ..schemas import STATUSES, check_statuses
@@ -151,7 +151,7 @@ def merge_reports(
     back = judged.filter(F.col("reason").isNull()).select("paper_id").distinct()
 
     moved = move(papers, back, "replicator_back_de")
-    touched = filled.join(back, "paper_id", "left_semi")
+    touched = split_join(filled, back, ["paper_id"], "left_semi")
     return (
         update_from_latest(moved, touched),
         filled,
@@ -288,9 +288,9 @@ def purge(
     Keep `snapshots.snapshot` of the tables before committing the result.
     """
     gone = ids.select("paper_id").distinct()
-    kept = {name: df.join(gone, "paper_id", "left_anti") for name, df in tables.items()}
+    kept = {name: split_join(df, gone, ["paper_id"], "left_anti") for name, df in tables.items()}
     log = reduce(DataFrame.unionByName, [
-        df.join(gone, "paper_id", "left_semi").agg(F.count("*").alias("n_rows")).select(
+        split_join(df, gone, ["paper_id"], "left_semi").agg(F.count("*").alias("n_rows")).select(
             F.lit("delete").alias("operation"), F.lit(name).alias("target"),
             F.lit("success").alias("status"), "n_rows",
             F.concat(F.lit("Deleted "), F.col("n_rows").cast("string"), F.lit(" rows")).alias("details"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import article_doi, overlap, strip_prefix, surname, title_tokens
+from ..operators import split_join
 
 THRESHOLD = 0.6
 
@@ -52,7 +53,7 @@ def _entries(titles: DataFrame, frequency: DataFrame, tag: str, threshold: float
     ``rare`` marks the words of the prefix. A title may be looked up as the shorter of a pair by
     its rare words only, and as the longer one by all.
     """
-    words = _words(titles.select("print", "names", "tokens")).join(frequency, "word")
+    words = split_join(_words(titles.select("print", "names", "tokens")), frequency, ["word"])
     # one group per title: as many rows as the title has words
     ordered = words.groupBy("print").agg(
         F.sort_array(F.collect_list(F.struct("_n", "word"))).alias("w"),
@@ -85,13 +86,12 @@ def _scored(sets: DataFrame, articles: DataFrame, threshold: float) -> DataFrame
     left = F.least(F.col("d_n") - F.col("d_pos"), F.col("a_n") - F.col("a_pos"))
     enough = left >= _needed(F.least("d_n", "a_n"), threshold)
     pairs = met.filter(fits & enough).select("d_print", "a_print").distinct()
-    return (
-        pairs.join(sets.select(F.col("print").alias("d_print"), F.col("tokens").alias("d_tokens")), "d_print")
-        .join(articles.select(F.col("print").alias("a_print"), F.col("tokens").alias("a_tokens"),
-                              "article_doi", "article_index"), "a_print")
-        .select("d_print", "a_print", "article_doi", "article_index",
-                overlap(F.col("d_tokens"), F.col("a_tokens")).alias("score"))
-    )
+    d_titles = sets.select(F.col("print").alias("d_print"), F.col("tokens").alias("d_tokens"))
+    a_titles = articles.select(F.col("print").alias("a_print"), F.col("tokens").alias("a_tokens"),
+                               "article_doi", "article_index")
+    full = split_join(split_join(pairs, d_titles, ["d_print"]), a_titles, ["a_print"])
+    return full.select("d_print", "a_print", "article_doi", "article_index",
+                       overlap(F.col("d_tokens"), F.col("a_tokens")).alias("score"))
 
 
 def _distinct_titles(prepared: DataFrame, *more: Column) -> DataFrame:
@@ -129,7 +129,7 @@ def link_articles(datasets: DataFrame, articles: DataFrame, threshold: float = T
     prepared = _prepared_datasets(datasets).withColumn("d_print", _fingerprint())
     best = best_match(_candidates(datasets, articles, threshold), threshold)
     cited = F.col("direct_doi").isNotNull()
-    linked = prepared.join(best, "d_print", "left")
+    linked = split_join(prepared, best, ["d_print"], "left")
     return linked.select(
         "package_doi",
         F.when(cited, F.col("direct_doi")).otherwise(F.col("article_doi")).alias("article_doi"),

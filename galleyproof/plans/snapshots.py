@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import expired_snapshots, insert_by_name
+from ..operators import expired_snapshots, insert_by_name, split_join
 from ..sources.files import delete_folder, list_folders
 
 FOLDER = "snapshot_ts="
@@ -70,14 +70,15 @@ def restore(
             .otherwise("inserted from snapshot").alias("detail"),
         ))
         absent = state.filter(held == 0).select("paper_id")
-        rows = snap[name].join(absent, "paper_id", "left_semi")
+        rows = split_join(snap[name], absent, ["paper_id"], "left_semi")
         rows = rows.select(*[c for c in rows.columns if c in table.columns])
         restored[name] = insert_by_name(table, rows)
     return restored, reduce(DataFrame.unionByName, logs)
 
 
 def _counts(df: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
-    return df.join(wanted, "paper_id", "left_semi").groupBy("paper_id").agg(F.count("*").alias(name))
+    held = split_join(df, wanted, ["paper_id"], "left_semi")
+    return held.groupBy("paper_id").agg(F.count("*").alias(name))
 
 
 def refill(
