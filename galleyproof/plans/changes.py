@@ -44,26 +44,34 @@ ROUND_DATES = [
 ]
 
 
-def _set(df: DataFrame, source: DataFrame, keys: list[str], **values: Column) -> DataFrame:
+def _set(
+    df: DataFrame, source: DataFrame, keys: list[str], when: Column | None = None, **values: Column
+) -> DataFrame:
     """Rows of ``df`` with a match in ``source`` (unique on keys) get the given values.
 
-    Source columns are addressed as ``new.<name>``.
+    Source columns are addressed as ``new.<name>``. ``when`` restricts the change by the row's own
+    columns: requests can then be joined as they came, and while Spark sees that they are small,
+    the table is not shuffled.
     """
     payload = source.select(
         *keys, F.struct(*[c for c in source.columns if c not in keys], F.lit(True).alias("hit")).alias("new")
     )
     joined = df.join(payload, keys, "left")
     changed = {
-        c: F.when(F.col("new.hit"), v.cast(df.schema[c].dataType)).otherwise(F.col(c))
+        c: F.when(F.col("new.hit") & (F.lit(True) if when is None else when),
+                  v.cast(df.schema[c].dataType)).otherwise(F.col(c))
         for c, v in values.items() if c in df.columns
     }
     return joined.withColumns(changed).select(*df.columns)
 
 
 def _judge(requests: DataFrame, papers: DataFrame, allowed: Column, *carry: str) -> DataFrame:
-    """Requests (one per paper) with the paper's round and state, and ``reason`` (null if fine)."""
-    known = papers.select("paper_id", F.col("round").alias("round"), F.col("status").alias("status"),
-                          *carry, F.lit(True).alias("_known"))
+    """Requests (one per paper) with the paper's round and state, and ``reason`` (null if fine).
+
+    The papers table is cut to the papers asked for before the outer join.
+    """
+    known = papers.select("paper_id", "round", "status", *carry).join(
+        requests.select("paper_id"), "paper_id", "left_semi").withColumn("_known", F.lit(True))
     reason = F.when(F.col("_known").isNull(), "not_found").when(
         ~F.coalesce(allowed, F.lit(False)), "wrong_status")
     return requests.join(known, "paper_id", "left").withColumn("reason", reason).drop("_known")
@@ -71,7 +79,9 @@ def _judge(requests: DataFrame, papers: DataFrame, allowed: Column, *carry: str)
 
 def _with_round(judged: DataFrame, iterations: DataFrame) -> DataFrame:
     """Fine requests whose current round is missing from the rounds table become rejected."""
-    held = iterations.select(*ROUND).distinct().withColumn("_held", F.lit(True))
+    asked = judged.filter(F.col("reason").isNull()).select(*ROUND)
+    held = iterations.select(*ROUND).join(asked, ROUND, "left_semi").distinct().withColumn(
+        "_held", F.lit(True))
     reason = F.when(F.col("reason").isNull() & F.col("_held").isNull(), "no_iteration").otherwise(
         F.col("reason"))
     return judged.join(held, ROUND, "left").withColumn("reason", reason).drop("_held")
@@ -100,28 +110,31 @@ def transition(papers: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataF
     judged = _judge(chosen, papers, F.col("status") == F.col("from_status"))
     reason = F.when(~F.coalesce(F.col("to_status").isin(*STATUSES), F.lit(False)), "bad_target")
     judged = judged.withColumn("reason", F.coalesce(reason, "reason"))
-    fine = judged.filter(F.col("reason").isNull()).select("paper_id", "to_status")
     rejected = judged.filter(F.col("reason").isNotNull()).select(
         "paper_id", "from_status", "to_status", "reason")
-    return _set(papers, fine, ["paper_id"], status=F.col("new.to_status")), rejected
+    fits = (F.col("status") == F.col("new.from_status")) & F.col("new.to_status").isin(*STATUSES)
+    return _set(papers, chosen, ["paper_id"], fits, status=F.col("new.to_status")), rejected
 
 
 def set_status(papers: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """States set without regard to the present one; the target must be known.
     ``requests`` holds (paper_id, status)."""
     asked = requests.select("paper_id", F.col("status").alias("to_status"))
-    judged = _judge(_one_per_paper(asked), papers, F.lit(True))
+    chosen = _one_per_paper(asked)
     reason = F.when(~F.coalesce(F.col("to_status").isin(*STATUSES), F.lit(False)), "bad_target")
-    fine, rejected = _split(judged.withColumn("reason", F.coalesce(reason, "reason")))
+    judged = _judge(chosen, papers, F.lit(True)).withColumn("reason", F.coalesce(reason, "reason"))
+    known = F.col("new.to_status").isin(*STATUSES)
     return (
-        _set(papers, fine.select("paper_id", "to_status"), ["paper_id"], status=F.col("new.to_status")),
-        rejected,
+        _set(papers, chosen, ["paper_id"], known, status=F.col("new.to_status")),
+        _split(judged)[1],
     )
 
 
-def move(papers: DataFrame, fine: DataFrame, to_status: str, **values: Column) -> DataFrame:
+def move(
+    papers: DataFrame, requests: DataFrame, to_status: str, when: Column | None = None, **values: Column
+) -> DataFrame:
     check_statuses(to_status)
-    return _set(papers, fine, ["paper_id"], status=F.lit(to_status), **values)
+    return _set(papers, requests, ["paper_id"], when, status=F.lit(to_status), **values)
 
 
 def merge_reports(
@@ -174,7 +187,7 @@ def accept(
     bare = later.filter(F.col("data_statement").isNull())
     before = bare.select("paper_id", (F.col("round") - 1).alias("round"))
     moved = update_from_round(
-        move(papers, fine.select("paper_id"), "acceptable_package"), iterations, before)
+        move(papers, asked, "acceptable_package"), iterations, before)
     closed = _set(iterations, fine.select(*ROUND), ROUND,
                   date_decision_de=F.lit(as_of), decision_de=F.lit("accept"))
     return moved, carry_replicators(closed, later), rejected
@@ -254,14 +267,14 @@ def mark_arrived(
     ``as_of``). Returns (papers, iterations, rejected).
     """
     asked = ids.withColumnsRenamed({"round": "_round"}) if "round" in ids.columns else ids
-    judged = _judge(_one_per_paper(asked), papers, F.col("status") == "with_author")
-    fine, rejected = _split(judged)
+    asked, waits = _one_per_paper(asked), F.col("status") == "with_author"
+    fine, rejected = _split(_judge(asked, papers, waits))
     if "_round" in fine.columns:
         fine = fine.withColumn("round", F.coalesce("_round", "round"))
     day = F.coalesce("arrived", F.lit(as_of)) if "arrived" in ids.columns else F.lit(as_of)
     dated = fine.select(*ROUND, day.alias("day"))
     return (
-        move(papers, fine.select("paper_id"), "author_back_de"),
+        move(papers, asked.select("paper_id"), "author_back_de", waits),
         _set(iterations, dated, ROUND, date_arrived_from_authors=F.col("new.day")),
         rejected,
     )
@@ -272,10 +285,9 @@ def publish(
 ) -> tuple[DataFrame, DataFrame]:
     """Published papers get DOI and date, from acceptable_package only; ``dois`` holds
     (paper_id, doi). Returns (papers, rejected)."""
-    judged = _judge(_one_per_paper(dois.select("paper_id", "doi")), papers,
-                    F.col("status") == "acceptable_package")
-    fine, rejected = _split(judged)
-    moved = move(papers, fine.select("paper_id", "doi"), "published_package",
+    asked, accepted = _one_per_paper(dois.select("paper_id", "doi")), F.col("status") == "acceptable_package"
+    rejected = _split(_judge(asked, papers, accepted))[1]
+    moved = move(papers, asked, "published_package", accepted,
                  doi=F.col("new.doi"), date_published=F.lit(as_of))
     return moved, rejected
 
