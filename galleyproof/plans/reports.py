@@ -126,8 +126,8 @@ def time_in_status(papers: DataFrame, iterations: DataFrame, as_of: dt.date) ->
 def paper_report(papers: DataFrame, iterations: DataFrame, as_of: dt.date) -> DataFrame:
     """Details of every paper: who acts next, days in state, and days from arrival to acceptance
     (or to ``as_of`` while undecided). `timeline` holds the events."""
-    accepted = iterations.groupBy("paper_id").agg(
-        F.min(F.when(F.col("decision_de") == "accept", F.col("date_decision_de"))).alias("accepted")
+    accepted = iterations.filter(F.col("decision_de") == "accept").groupBy("paper_id").agg(
+        F.min("date_decision_de").alias("accepted")
     )
     until = F.when(F.col("status").isin(*DONE_STATUSES), F.col("accepted")).otherwise(F.lit(as_of))
     detail = days_in_status(papers, iterations, as_of).join(accepted, "paper_id", "left")

@@ -14,7 +14,9 @@ SETTINGS = {
     # a key holding a third of the rows is split at run time, also below the 256 MB default
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    # joins whose measured partitions are all this small are hashed instead of sorted
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
 }
 

@@ -61,6 +61,13 @@ def _(t):
     return read_snapshot(t.spark, folder, df.schema)
 
 
+@query("export_csv", "SELECT paper_id, title, status FROM papers WHERE comments IS NULL")
+def _(t):
+    folder = scratch_folder(t.spark, "csv")
+    export_csv(t.papers.filter("comments IS NULL").select("paper_id", "title", "status"), folder)
+    return t.spark.read.csv(folder, header=True)
+
+
 @query("read_snapshot_ids", f"SELECT {PAPER_COLS} FROM papers WHERE status = 'acceptable_package'")
 def _(t):
     folder = scratch_folder(t.spark, "csv")

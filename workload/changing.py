@@ -571,7 +571,7 @@ def _(t):
     folder = scratch_folder(t.spark, "snapshots")
     for day in range(1, 4):
         snapshots.snapshot({"papers": t.papers.select("paper_id", "status")}, folder, f"2002-01-0{day}", keep=2)
-    newest = max(r.path for r in snapshots.snapshots(t.spark, folder).collect())
+    newest = snapshots.snapshots(t.spark, folder).orderBy(F.desc("snapshot_ts")).first().path
     return snapshots.read_tables(t.spark, newest, ["papers"])["papers"]
 
 

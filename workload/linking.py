@@ -34,6 +34,33 @@ def article_table(t):
     return t.articles.select("doi", "title", "article_index", F.array(F.lower("source")).alias("authors"))
 
 
+# distinct titles, each known by a hash of its words and surname; of equal articles the first
+_PRINT = "upper(sha256(array_to_string(list_sort(toks), ' ') || chr(10) || source))"
+_SCORED = f"""
+    SELECT DISTINCT d.title_print, a.article_doi, a.article_index,
+        CAST(len(list_intersect(d.toks, a.toks)) AS DOUBLE) / least(len(d.toks), len(a.toks)) AS score
+    FROM (SELECT {_PRINT} AS title_print, ANY_VALUE(toks) AS toks, ANY_VALUE(source) AS source
+          FROM ({_TITLED}) x WHERE citation IS NULL AND len(toks) > 0 GROUP BY 1) d
+    JOIN (SELECT {_PRINT} AS title_print, ANY_VALUE(toks) AS toks, ANY_VALUE(source) AS source,
+              arg_min(doi, article_index) AS article_doi, MIN(article_index) AS article_index
+          FROM (SELECT doi, article_index, source, {_TITLE.format(c='title')} AS toks FROM articles) y
+          WHERE len(toks) > 0 GROUP BY 1) a ON a.source = d.source"""
+
+
+@query("link_candidates", f"SELECT title_print, article_doi, score FROM ({_SCORED}) s WHERE score >= 0.6")
+def _(t):
+    pairs = linkage.link_candidates(catalogue(t), article_table(t))
+    return pairs.select(F.hex("d_print").alias("title_print"), "article_doi", "score")
+
+
+@query("best_match", f"""
+    SELECT title_print, article_doi, score FROM ({_SCORED}) s WHERE score >= 0.75
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY title_print ORDER BY score DESC, article_index) = 1""")
+def _(t):
+    best = linkage.best_match(linkage.link_candidates(catalogue(t), article_table(t), 0.75), 0.75)
+    return best.select(F.hex("d_print").alias("title_print"), "article_doi", "score")
+
+
 @query("link_articles", _LINKS)
 def _(t):
     return linkage.link_articles(catalogue(t), article_table(t))
