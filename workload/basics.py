@@ -295,7 +295,8 @@ _BATCH = """
         CASE WHEN event_type = 'view' THEN NULL ELSE CAST(user_id % 4 AS INT) END AS round FROM events"""
 _LIVE = """
     SELECT paper_id, round FROM iterations UNION ALL
-    SELECT paper_id, NULL FROM papers WHERE status = 'with_author' UNION ALL SELECT NULL, 2"""
+    SELECT paper_id, NULL FROM papers WHERE status = 'with_author' UNION ALL
+    SELECT CASE WHEN r_regionkey > 99 THEN r_name END, r_regionkey FROM region"""
 
 
 def _batch_live(t):
@@ -303,8 +304,9 @@ def _batch_live(t):
         F.when(F.col("event_type") != "error", (F.col("event_id") * 3).cast("string")).alias("paper_id"),
         F.when(F.col("event_type") != "view", (F.col("user_id") % 4).cast("int")).alias("round"))
     open_papers = t.papers.filter("status = 'with_author'").select("paper_id")
-    nothing = t.region.filter("r_regionkey = 0").select(
-        F.lit(None).cast("string").alias("paper_id"), F.lit(2).alias("round"))
+    nothing = t.region.select(
+        F.when(F.col("r_regionkey") > 99, F.col("r_name")).alias("paper_id"),
+        F.col("r_regionkey").alias("round"))
     live = t.iterations.select("paper_id", "round").unionByName(
         open_papers, allowMissingColumns=True).unionByName(nothing)
     return batch, live
