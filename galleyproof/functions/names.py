@@ -45,12 +45,14 @@ def strip_marks(c: Column) -> Column:
 
 def ascii_name(c: Column) -> Column:
     """A personal name as an ASCII label of ``[A-Za-z0-9._-]`` in title case."""
+    spelled = c
     for letter, spelling in SPELLED_OUT:
-        c = F.replace(c, F.lit(letter), F.lit(spelling))
-    c = F.lower(F.regexp_replace(strip_marks(c), r"\s+", "-"))
-    c = F.regexp_replace(F.regexp_replace(c, "[^a-z0-9._-]", ""), "-+", "-")
-    runs = F.regexp_extract_all(F.btrim(c, F.lit("-")), F.lit("([a-z]+|[^a-z]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+        spelled = F.replace(spelled, F.lit(letter), F.lit(spelling))
+    c = F.when(c.rlike(r"[^\x00-\x7F]"), strip_marks(spelled)).otherwise(c)
+    c = F.regexp_replace(F.lower(F.regexp_replace(c, r"\s+", "-")), "[^a-z0-9._-]+", "")
+    c = F.btrim(F.regexp_replace(c, "-{2,}", "-"), F.lit("-"))
+    # no blanks are left, so they can mark the words for a moment
+    return F.replace(F.initcap(F.regexp_replace(c, "([^a-z]+)", " $1 ")), F.lit(" "), F.lit(""))
 
 
 def title_tokens(c: Column) -> Column:
