@@ -83,14 +83,15 @@ def text_lists(
     """Items of each key joined by ", " in the given order, whole but in bounded parts.
 
     A key with up to ``per_part`` items has one row (part 0). A larger one is spread by hash over
-    ``n_parts`` rows, so that no task ever holds all items of a hot key. Columns: keys, ``n_items``
-    of the key, ``part``, ``n_parts``, ``items``.
+    ``n_parts`` rows, so that no task ever holds all items of a hot key. A null key is a key like
+    any other. Columns: keys, ``n_items`` of the key, ``part``, ``n_parts``, ``items``.
     """
     sizes = df.groupBy(*keys).agg(F.count("*").alias("n_items"))
     sizes = sizes.withColumn("n_parts", F.ceil(F.col("n_items") / per_part).cast("int"))
     spread = F.pmod(F.xxhash64(*order), F.col("n_parts")).cast("int")
     # the explicit shuffle on key and part keeps a hot key's parts in different tasks
-    parts = split_join(df, sizes, keys).withColumn("part", spread).repartition(*keys, "part")
+    sized = split_join(df, sizes, keys, null_safe=True)
+    parts = sized.withColumn("part", spread).repartition(*keys, "part")
     listed = parts.groupBy(*keys, "n_items", "part", "n_parts").agg(
         F.sort_array(F.collect_list(F.struct(*order, item.alias("_item")))).alias("_items")
     )

@@ -9,12 +9,12 @@ Sides tested only for presence are reduced to distinct keys first.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import key_tag, split_join
+from .skew import key_match, key_tag
 from .windows import latest_iteration
 
 ROUND = ["paper_id", "round"]
@@ -43,15 +43,6 @@ def reports_to_process(reports: DataFrame, iterations: DataFrame) -> DataFrame:
     return reports.join(rounds, ROUND, "left").filter(todo).drop("_done", "_first")
 
 
-def key_match(left: list[str], right: list[str], null_safe: bool) -> Column:
-    """Equality of two lists of distinct column names."""
-    pairs = [
-        F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b)
-        for a, b in zip(left, right, strict=True)
-    ]
-    return reduce(and_, pairs)
-
-
 def any_null(keys: list[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,13 +14,25 @@ def key_tag(keys: list[str]) -> Column:
     return F.xxhash64(*[F.col(k).cast("string") for k in keys])
 
 
-def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def key_match(left: list[str], right: list[str], null_safe: bool) -> Column:
+    """Equality of two lists of distinct column names."""
+    pairs = [
+        F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b)
+        for a, b in zip(left, right, strict=True)
+    ]
+    return reduce(and_, pairs)
+
+
+def split_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", null_safe: bool = False
+) -> DataFrame:
     """An equality join for a left side with hot keys and a right side reduced to one row per key.
 
     Spark would reuse the reduction's partitioning on the keys and then cannot split a hot one.
     The hash as a further join key makes it shuffle both sides for the join, which adaptive
-    execution may split. A small right side is still broadcast.
+    execution may split. A small right side is still broadcast. With ``null_safe`` null keys meet.
     """
-    tag = key_tag(keys)
-    joined = left.withColumn("_tag", tag).join(right.withColumn("_tag", tag), [*keys, "_tag"], how)
-    return joined.drop("_tag")
+    theirs = [f"_right_{k}" for k in keys]
+    right = right.withColumnsRenamed(dict(zip(keys, theirs))).withColumn("_right_tag", key_tag(theirs))
+    match = key_match(keys, theirs, null_safe) & (key_tag(keys) == F.col("_right_tag"))
+    return left.join(right, match, how).drop(*theirs, "_right_tag")

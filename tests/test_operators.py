@@ -129,6 +129,12 @@ def test_text_lists_are_whole_in_bounded_parts(spark):
     assert max(len(r["items"].split(", ")) for r in parts) < 100
 
 
+def test_text_lists_keep_null_keys(spark):
+    rows = spark.createDataFrame([(None, "x", "1"), (None, "x", "2"), ("a", None, "3")], "k string, j string, v string")
+    found = {(r.k, r.j): r["items"] for r in ops.text_lists(rows, ["k", "j"], F.col("v"), ["v"]).collect()}
+    assert found == {(None, "x"): "1, 2", ("a", None): "3"}
+
+
 def test_delete_and_update_leave_nulls(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), (None, 1)], "x string, y int")
     assert ops.delete_where(df, {"x": "a", "y": 1}).count() == 2
