@@ -32,12 +32,16 @@ def build_session(app: str, master: str | None = None, **overrides: str) -> Spar
     return builder.getOrCreate()
 
 
-def scratch_folder(spark: SparkSession, label: str) -> str:
+def scratch_folder(spark: SparkSession, label: str, local: bool = False) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which executors share on a cluster.
 
-    Only where the setting is absent (tests, a laptop) is a local temporary folder used.
+    Where the setting is absent there is no folder that executors share, and this raises. Only a
+    caller that asks for it (``local``) on a local master gets a temporary folder instead.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
+    if base:
+        return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    master = spark.conf.get("spark.master", "")
+    if local and (master == "local" or master.startswith("local[")):
         return tempfile.mkdtemp(prefix=f"{label}-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    raise ValueError("set spark.checkpoint.dir to a folder that the driver and executors share")

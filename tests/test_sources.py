@@ -95,11 +95,17 @@ def test_scratch_uses_the_shared_folder(tmp_path):
         conf = {"spark.checkpoint.dir": f"{tmp_path}/"}
 
     class Laptop:
-        conf = {}
+        conf = {"spark.master": "local[2]"}
+
+    class Unset:
+        conf = {"spark.master": "spark://host:7077"}
 
     assert scratch_folder(Cluster, "x").startswith(f"{tmp_path}/x-")
     assert scratch_folder(Cluster, "x") != scratch_folder(Cluster, "x")
-    assert not scratch_folder(Laptop, "x").startswith(str(tmp_path))
+    assert not scratch_folder(Laptop, "x", local=True).startswith(str(tmp_path))
+    for session, local in ((Laptop, False), (Unset, True)):
+        with pytest.raises(ValueError):
+            scratch_folder(session, "x", local=local)
 
 
 def test_file_manifest_skips(spark, tmp_path):

@@ -38,7 +38,7 @@ def replicator_sheet(t):
 
 @query("table", f"SELECT {PAPER_COLS} FROM papers")
 def _(t):
-    folder = scratch_folder(t.spark, "tables")
+    folder = scratch_folder(t.spark, "tables", local=True)
     replace_table(short(t.papers), folder, "papers")
     return table(t.spark, folder, "papers")
 
@@ -55,7 +55,7 @@ def _(t):
 
 @query("read_snapshot", f"SELECT {PAPER_COLS} FROM papers")
 def _(t):
-    folder = scratch_folder(t.spark, "csv")
+    folder = scratch_folder(t.spark, "csv", local=True)
     df = short(t.papers)
     export_csv(df, folder)
     return read_snapshot(t.spark, folder, df.schema)
@@ -63,14 +63,14 @@ def _(t):
 
 @query("export_csv", "SELECT paper_id, title, status FROM papers WHERE comments IS NULL")
 def _(t):
-    folder = scratch_folder(t.spark, "csv")
+    folder = scratch_folder(t.spark, "csv", local=True)
     export_csv(t.papers.filter("comments IS NULL").select("paper_id", "title", "status"), folder)
     return t.spark.read.csv(folder, header=True)
 
 
 @query("read_snapshot_ids", f"SELECT {PAPER_COLS} FROM papers WHERE status = 'acceptable_package'")
 def _(t):
-    folder = scratch_folder(t.spark, "csv")
+    folder = scratch_folder(t.spark, "csv", local=True)
     df = short(t.papers)
     export_csv(df, folder)
     wanted = t.papers.filter("status = 'acceptable_package'").select("paper_id")
@@ -79,7 +79,7 @@ def _(t):
 
 @query("append_csv", "SELECT status, paper_slug FROM papers UNION ALL SELECT status, paper_slug FROM papers")
 def _(t):
-    folder = scratch_folder(t.spark, "csv")
+    folder = scratch_folder(t.spark, "csv", local=True)
     rows = t.papers.select("status", "paper_slug")
     append_csv(rows, folder)
     append_csv(rows, folder)
@@ -88,7 +88,7 @@ def _(t):
 
 @query("replace_table", "SELECT paper_id, round FROM iterations")
 def _(t):
-    folder = scratch_folder(t.spark, "tables")
+    folder = scratch_folder(t.spark, "tables", local=True)
     replace_table(t.papers.select("paper_id", "round"), folder, "rounds")
     replace_table(t.iterations.select("paper_id", "round"), folder, "rounds")
     return table(t.spark, folder, "rounds")

@@ -417,7 +417,7 @@ def _(t):
         ON i.paper_id = p.paper_id""")
 def _(t):
     """A change of two tables through versioned storage: both versions become visible at once."""
-    store = VersionedTables(t.spark, scratch_folder(t.spark, "store"))
+    store = VersionedTables(t.spark, scratch_folder(t.spark, "store", local=True))
     store.commit({"papers": t.papers, "iterations": t.iterations})
     papers, rounds, _ = changes.revise(store.read("papers"), store.read("iterations"), _ids(t), AS_OF)
     store.commit({"papers": papers, "iterations": rounds})
@@ -568,7 +568,7 @@ def _(t):
 
 @query("snapshot", "SELECT paper_id, status FROM papers")
 def _(t):
-    folder = scratch_folder(t.spark, "snapshots")
+    folder = scratch_folder(t.spark, "snapshots", local=True)
     for day in range(1, 4):
         snapshots.snapshot({"papers": t.papers.select("paper_id", "status")}, folder, f"2002-01-0{day}", keep=2)
     newest = snapshots.snapshots(t.spark, folder).orderBy(F.desc("snapshot_ts")).first().path
@@ -592,7 +592,7 @@ def _(t):
             F.col("ts").alias("timestamp"), F.floor(F.col("event_id") / 3).cast("string").alias("paper_id"),
             F.concat(F.lit("Paper "), F.col("event_id").cast("string")).alias("title"))
 
-    target = scratch_folder(t.spark, "forms")
+    target = scratch_folder(t.spark, "forms", local=True)
     ingest_forms(_event_stream(t), clean, f"{target}/table",
                  f"{target}/state", ["paper_id"]).awaitTermination()
     return t.spark.read.parquet(f"{target}/table").select("paper_id", "title")
@@ -614,7 +614,7 @@ def _(t):
         (F.col("user_id") * 7 + 1).cast("string").alias("paper_id"),
         F.when(F.col("event_type") == "purchase", "package").otherwise("paper").alias("kind"),
         (F.floor("value") % 3).alias("file_count"), "ts")
-    folder = scratch_folder(t.spark, "uploads")
+    folder = scratch_folder(t.spark, "uploads", local=True)
     record_arrivals(uploads, t.papers, f"{folder}/ledger", f"{folder}/state", "1 day").awaitTermination()
     ledger = t.spark.read.parquet(f"{folder}/ledger")
     return apply_arrivals(t.papers, t.iterations, ledger, AS_OF)[1].select(

@@ -19,7 +19,7 @@ from .registry import query
             CONCAT('Ada (2020), https://doi.org/10.1086/', doc_id, ').') END AS citation
     FROM documents""")
 def _(t):
-    folder = scratch_folder(t.spark, "json")
+    folder = scratch_folder(t.spark, "json", local=True)
     records = catalogue(t).drop("n_chars", "doc_id").join(dataset_json(t), "global_id")
     records.write.json(f"{folder}/datasets")
     found = read_datasets(t.spark, f"{folder}/datasets")
@@ -33,7 +33,7 @@ def _(t):
         CASE WHEN doc_id % 2 = 0 THEN DATE '2021-05-01' ELSE DATE '2021-01-01' END AS pub_date, source AS author
     FROM documents WHERE lang <> 'fr' AND doc_id % 13 > 0""")
 def _(t):
-    folder = scratch_folder(t.spark, "json")
+    folder = scratch_folder(t.spark, "json", local=True)
     key = F.col("doc_id")
     # one language stands for front matter without authors, some records lack a date
     author = F.struct(F.upper("source").alias("family"))
@@ -54,7 +54,7 @@ def _(t):
     SELECT title AS manuscript_title, journal AS please_indicate_the_journal,
         last_name AS surname_of_author, email2 AS "email_of_second_author_(if_applicable)" FROM raw_arrivals""")
 def _(t):
-    folder = scratch_folder(t.spark, "form")
+    folder = scratch_folder(t.spark, "form", local=True)
     names = ["Manuscript title", "Please indicate the journal", "Surname of author",
              "Email of second author (if applicable)"]
     sheet = t.raw_arrivals.select("title", "journal", "last_name", "email2").toDF(*names)
@@ -67,7 +67,7 @@ def _(t):
     SELECT CONCAT('page_id=', page_id) AS folder, CAST(strlen(html) + 1 AS BIGINT) AS size,
         md5(html || chr(10)) AS md5 FROM pages""")
 def _(t):
-    folder = scratch_folder(t.spark, "package")
+    folder = scratch_folder(t.spark, "package", local=True)
     t.pages.select("page_id", "html").write.partitionBy("page_id").text(f"{folder}/package")
     listed = file_manifest(t.spark, f"{folder}/package").filter(F.col("basename").startswith("part-"))
     return listed.select(F.split_part("path", F.lit("/"), F.lit(1)).alias("folder"), "size", "md5")
