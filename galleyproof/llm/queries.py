@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, simhash
+from . import exact, packing, simhash, token_counts, token_files
 from .shared import LOCATOR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +51,31 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def tokenizer(name: str) -> str:
+    """A public tokenizer's file; ``TOKENIZER_DIR`` names another folder than the installed one."""
+    folder = os.environ.get("TOKENIZER_DIR")
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op3_token_files")
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, read back from Simple-8b shards."""
+    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@query("op9_packing")
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of every document lies in sequences of 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
