@@ -14,6 +14,8 @@ ROWS_A_TASK = 1000
 STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # between batches the state is on storage alone: executors hold that of running tasks only
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }

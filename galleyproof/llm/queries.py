@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, packing, simhash, token_counts, token_files
+from . import exact, line_crf, near_vectors, packing, simhash, token_counts, token_files
 from .shared import LOCATOR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,15 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each piece of every document lies in sequences of 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query("op7_near_vectors")
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.9 or more."""
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, from the lines it consists of."""
+    return line_crf.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
