@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, line_crf, near_vectors, packing, simhash, token_counts, token_files
+from . import exact, line_crf, near_vectors, packing, simhash, subwords, token_counts, token_files
 from .shared import LOCATOR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +91,9 @@ def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, from the lines it consists of."""
     return line_crf.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by its most toxic words."""
+    return subwords.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
