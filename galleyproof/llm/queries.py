@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, line_crf, near_vectors, packing, simhash, subwords, token_counts, token_files
+from . import exact, hmm, line_crf, near_vectors, packing, simhash, subwords, token_counts, token_files
 from .shared import LOCATOR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,9 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, by its most toxic words."""
     return subwords.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_hmm_scores")
+def op8_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under a hidden Markov model of the corpus."""
+    return hmm.score(table(spark, sf_dir, "documents"))
