@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, hmm, line_crf, near_vectors, packing, simhash, subwords, token_counts, token_files
+from . import exact, hmm, line_crf, mixing, near_vectors, packing, simhash, subwords, token_counts, token_files
 from .shared import LOCATOR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,32 +53,22 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-def tokenizer(name: str) -> str:
-    """A public tokenizer's file; ``TOKENIZER_DIR`` names another folder than the installed one."""
-    folder = os.environ.get("TOKENIZER_DIR")
-    if folder:
-        return f"{folder}/{name}"
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @query("op3_token_files")
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, read back from Simple-8b shards."""
-    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 @query("op6_token_counts")
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each piece of every document lies in sequences of 4096 tokens."""
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 @query("op7_near_vectors")
@@ -103,3 +93,17 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every document under a hidden Markov model of the corpus."""
     return hmm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op1_mixing")
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chances of the labelled domains, rate and copies of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop(*LOCATOR)
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline  # it imports this package
+
+    return corpus_pipeline.run(spark, sf_dir)
