@@ -44,9 +44,9 @@ DOMAINS = (
 )
 
 
-def words_of(text: Column) -> Column:
-    """The words of a text in lower case, each once; none for an empty text."""
-    return F.array_distinct(F.split(F.lower(text), r"\s+"))
+def all_words(text: Column) -> Column:
+    """The words of a text in lower case; an empty string stands where it starts or ends with space."""
+    return F.split(F.lower(text), r"\s+")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, domains: tuple[Domain, ...], rows: int) -> DataFrame:
@@ -77,7 +77,7 @@ def classifier(sample: DataFrame, domains: tuple[Domain, ...], folder: str, feat
     size = [totals.get(k, 0) for k in range(len(domains))]
     prior = [math.log((s + SMOOTHING) / (n + SMOOTHING * len(domains))) for s in size]
     counts = [F.count_if(F.col("domain") == k).alias(f"n{k}") for k in range(len(domains))]
-    words = sample.select("domain", F.explode(words_of(F.col("text"))).alias("word")).filter("word <> ''")
+    words = sample.select("domain", F.explode(F.array_distinct(all_words(F.col("text")))).alias("word")).filter("word <> ''")
     per_word = words.groupBy("word").agg(F.count("*").alias("rows"), *counts).filter(F.col("rows") >= LEAST_ROWS)
 
     def share(k: int) -> Column:
@@ -99,12 +99,11 @@ def posteriors(docs: DataFrame, words: DataFrame, prior: list[float]) -> DataFra
     Whole texts are read once; a word counts once a document. The words' table is broadcast (its
     size is fixed), and rows are summed within the task that read them before they are shuffled.
     """
-    text = text_of(docs)
-    rows = docs.select(
-        "doc_id", *LOCATOR, F.explode_outer(words_of(text)).alias("word"),
-        # words in the text, repeats included
-        (F.size(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ", -1))
-         - F.when(F.trim(F.regexp_replace(text, r"\s+", " ")) == "", 1).otherwise(0)).alias("n_tokens"))
+    cut = docs.select("doc_id", *LOCATOR, all_words(text_of(docs)).alias("cut"))
+    edges = (F.col("cut")[0] == "").cast("int") + ((F.size("cut") > 1) & (F.element_at("cut", -1) == "")).cast("int")
+    # the words are counted before they become rows
+    rows = cut.select("doc_id", *LOCATOR, (F.size("cut") - edges).alias("n_tokens"), F.array_distinct("cut").alias("cut"))
+    rows = rows.select("doc_id", *LOCATOR, "n_tokens", F.explode("cut").alias("word"))
     n = len(prior)
     known = rows.join(F.broadcast(words), "word", "left").groupBy(*LOCATOR).agg(
         F.first("doc_id").alias("doc_id"), F.first("n_tokens").cast("long").alias("n_tokens"),
