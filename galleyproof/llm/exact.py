@@ -135,5 +135,5 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``decide`` drops; columns stay as they are."""
     folder = work_folder(docs.sparkSession, "exact")
     rows = located(docs, folder)
-    dropped = decide(docs, folder).filter("NOT kept").select(*LOCATOR)
+    dropped = decide(rows, folder).filter("NOT kept").select(*LOCATOR)
     return rows.join(dropped, LOCATOR, "left_anti").drop(*LOCATOR)

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -212,13 +213,11 @@ def train(
     return fit(samples.labelled(docs, labels, "quality", use, rows, most_bytes))
 
 
-def scorer(field: LineField, keys: DataFrame):
+def scorer(field: LineField, docs: DataFrame) -> Column:
     """A column of scores, for use where rows must keep their other columns."""
 
     @F.pandas_udf("double")
-    def score(batches: Iterator) -> Iterator:
-        import pandas as pd
-
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             found, held, size = [], [], 0
             for t in texts:
@@ -231,7 +230,7 @@ def scorer(field: LineField, keys: DataFrame):
             found.append(field.scores(held))
             yield pd.Series(np.concatenate(found))
 
-    return score(text_of(keys))
+    return score(text_of(docs))
 
 
 def score(docs: DataFrame, field: LineField) -> DataFrame:

@@ -190,7 +190,7 @@ def resample(docs: DataFrame, labels: DataFrame, domains: tuple[Domain, ...] = D
     """Each row of ``docs`` as often as ``mix`` says; columns stay as they are."""
     folder = work_folder(docs.sparkSession, "mixing")
     rows = located(docs, folder)
-    rated = written(mix(docs, labels, domains, tokens, folder=folder), f"{folder}/rated")
+    rated = written(mix(rows, labels, domains, tokens, folder=folder), f"{folder}/rated")
     changed = rated.filter("copies <> 1").select(*LOCATOR, F.col("copies").alias("__copies"))
     many = rows.join(changed, LOCATOR, "left").withColumn("__copies", F.coalesce("__copies", F.lit(1).cast("long")))
     every = many.filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))

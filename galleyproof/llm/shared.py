@@ -40,8 +40,11 @@ def located(docs: DataFrame, folder: str) -> DataFrame:
     """``docs`` with the columns ``__file`` and ``__row``: where each row is stored.
 
     The place identifies a row even if identifiers are null or repeat. A frame that isn't read
-    from files is written below ``folder`` first.
+    from files is written below ``folder`` first. A frame that has these columns is returned as is;
+    their names are reserved.
     """
+    if set(LOCATOR) <= set(docs.columns):
+        return docs
     place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
     try:
         return docs.select("*", *place)

@@ -225,7 +225,7 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``docs`` with one row of each component, the first by doc_id (nulls last) and place."""
     folder = work_folder(docs.sparkSession, "simhash")
     rows = located(docs, folder)
-    linked = written(link(docs, folder, distance), f"{folder}/linked")
+    linked = written(link(rows, folder, distance), f"{folder}/linked")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *LOCATOR)
     kept = linked.groupBy("root").agg(F.min(order).alias("first")).select("first.*").select(*LOCATOR)
     return rows.join(kept, LOCATOR, "left_semi").drop(*LOCATOR)
