@@ -22,7 +22,7 @@ GRAMS = (3, 4, 5)
 #: Words whose vectors are averaged together; a text counts by its most toxic window.
 WINDOW = 3
 SAMPLE_ROWS = 6000
-SAMPLE_BYTES = 24 << 20
+SAMPLE_BYTES = 16 << 20
 #: Words remembered per Python worker.
 REMEMBERED = 500_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -148,7 +148,7 @@ def _learn(model: Subwords, tools: tuple, grams: np.ndarray, counts: np.ndarray,
     tools[0].step(slope, rows)
 
 
-def fit(examples: list[tuple[str, int]], seed: int = 3, passes: int = 2, rounds: int = 40) -> Subwords:
+def fit(examples: list[tuple[str, int]], seed: int = 3, passes: int = 1, rounds: int = 40) -> Subwords:
     """Embeddings and softmax trained together on whole texts with labels (1: toxic).
 
     First every distinct word of a text is a bag with the text's label; then the bag of a text is
@@ -162,15 +162,18 @@ def fit(examples: list[tuple[str, int]], seed: int = 3, passes: int = 2, rounds:
     if len(examples) == 0 or labels.min() == labels.max():
         share = 0.5 if len(examples) == 0 else 0.01 + 0.98 * labels.mean()
         return Subwords(model.embeddings * 0, model.softmax, np.array([0, np.log(share / (1 - share))]))
-    cut = [t.lower().split() for t, _ in examples]
     names: dict[str, int] = {}
-    lengths = np.array([len(c) for c in cut], np.int64)
-    flat = np.fromiter((names.setdefault(w, len(names)) for c in cut for w in c), np.int64, int(lengths.sum()))
-    words = list(names)
-    parts = [subwords(words[i:i + (1 << 16)]) for i in range(0, len(words), 1 << 16)]
-    grams, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    numbers = [
+        np.array([names.setdefault(w, len(names)) for w in t.lower().split()], np.int32) for t, _ in examples]
+    lengths = np.array([len(x) for x in numbers], np.int64)
+    flat, words = np.concatenate(numbers).astype(np.int64), list(names)
+    del names, numbers
+    parts = [subwords(words[i:i + (1 << 14)]) for i in range(0, len(words), 1 << 14)]
+    grams = np.concatenate([g.astype(np.int32) for g, _ in parts])
+    counts = np.concatenate([c for _, c in parts])
+    del parts
     starts = np.cumsum(counts) - counts
-    text = np.repeat(np.arange(len(cut)), lengths)
+    text = np.repeat(np.arange(len(lengths)), lengths)
     pairs = np.unique(text * len(words) + flat)
     n = np.bincount(pairs % len(words), minlength=len(words)).astype(float)
     toxic = np.bincount(pairs % len(words), labels[pairs // len(words)], len(words))
@@ -189,7 +192,10 @@ def fit(examples: list[tuple[str, int]], seed: int = 3, passes: int = 2, rounds:
             _learn(model, tools, *gather(chosen), np.arange(len(chosen)), n[chosen], toxic[chosen] / n[chosen])
     for _ in range(rounds):
         line = model.embeddings @ (model.softmax[:, 1] - model.softmax[:, 0])
-        _, first, stop = best_windows(_means(line[grams], counts)[flat], lengths)
+        own = np.concatenate([
+            _means(line[grams[starts[at]:starts[at] + counts[at:at + 65536].sum()]], counts[at:at + 65536])
+            for at in range(0, len(words), 65536)])
+        _, first, stop = best_windows(own[flat], lengths)
         full = stop > first
         size = (stop - first)[full]
         at = np.repeat(first[full] - (np.cumsum(size) - size), size) + np.arange(size.sum())
