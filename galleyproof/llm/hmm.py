@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .samples import remainder
+from .samples import hashed_share, remainder
 from .shared import bounded_batches, slices, text_of, work_folder, written
 
 #: Bytes of text in one coded block, and in one slice that is coded at a time.
@@ -203,6 +203,23 @@ def word_counts(blocks: DataFrame, folder: str) -> DataFrame:
     return written(counted, f"{folder}/words")
 
 
+def top_words(words: DataFrame, most: int) -> list[bytes]:
+    """The ``most`` words with the highest counts.
+
+    A histogram of counts (a few hundred rows) first tells which counts can be among them, so that
+    tasks don't each send so many rows to the driver.
+    """
+    level = F.floor(F.log2("c") * 16).alias("level")
+    histogram = sorted(words.groupBy(level).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["level"])
+    least, above = 0, 0
+    for r in histogram:
+        least, above = r["level"], above + r["n"]
+        if above >= most:
+            break
+    top = words.filter(F.floor(F.log2("c") * 16) >= least).orderBy(F.desc("c"), "word").limit(most)
+    return [bytes(r["word"]) for r in top.collect()]
+
+
 def class_table(top: list[bytes]) -> dict[bytes, int]:
     """Classes of the frequent words and the end; the others follow by ending."""
     return {w: i for i, w in enumerate([END, *(w for w in top if w != END)])}
@@ -241,7 +258,8 @@ def first_chain(docs: DataFrame, own: dict[bytes, int], folds: int, states: int,
     """
     rows = docs.select("doc_id", text_of(docs).alias("text")).filter(remainder(folds) != 0)
     # texts of usual length, so that the rows that meet on the driver are bounded in bytes too
-    picked = rows.filter(F.octet_length("text") <= 16384).orderBy(F.xxhash64("doc_id"), "doc_id").limit(start_docs)
+    usual = rows.filter(F.octet_length("text") <= 16384)
+    picked = usual.filter(hashed_share(start_docs, docs.count())).orderBy(F.xxhash64("doc_id"), "doc_id").limit(start_docs)
     cut = [tokens(r.text) for r in picked.collect()]
     chain = Chain.random(len(own) + ENDINGS, states)
     if cut:
@@ -304,8 +322,7 @@ def score(
     words = word_counts(blocks, folder)
     size = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = size["n"], size["v"]
-    top = words.orderBy(F.desc("c"), "word").limit(TOP_WORDS).collect()
-    own = class_table([bytes(r["word"]) for r in top])
+    own = class_table(top_words(words, TOP_WORDS))
     total, kinds = class_sizes(words, own)
     chain = first_chain(docs, own, folds, states, start_docs)
     for _ in range(passes):

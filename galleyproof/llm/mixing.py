@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .samples import hashed_share
 from .shared import LOCATOR, located, text_of, work_folder, written
 
 #: Labelled rows the classifier is fitted on, first by a hash of doc_id.
@@ -58,6 +59,7 @@ def labelled(docs: DataFrame, labels: DataFrame, domains: tuple[Domain, ...], ro
     named = F.coalesce(*[F.when(F.expr(d.condition), F.lit(k)) for k, d in enumerate(domains)])
     known = labels.select("doc_id", named.alias("domain")).dropna().groupBy("doc_id").agg(
         F.min("domain").alias("domain"))
+    known = known.filter(hashed_share(rows, known.count()))
     present = docs.select("doc_id").join(known, "doc_id").groupBy("doc_id").agg(F.min("domain").alias("domain"))
     chosen = present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     return (

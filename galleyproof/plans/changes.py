@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_test
 from ..operators import (
-    carry_replicators, current_rounds, latest_by, reports_to_process, split_join,
+    carry_replicators, reports_to_process, split_join,
     update_from_latest, update_from_round,
 )
 from ..schemas import STATUSES, check_statuses
@@ -45,96 +45,118 @@ ROUND_DATES = [
 
 
 def _set(
-    df: DataFrame, source: DataFrame, keys: list[str], when: Column | None = None, **values: Column
+    df: DataFrame, source: DataFrame, keys: list[str], **values: Column
 ) -> DataFrame:
     """Rows of ``df`` with a match in ``source`` (unique on keys) get the given values.
 
-    Source columns are addressed as ``new.<name>``. ``when`` restricts the change by the row's own
-    columns: requests can then be joined as they came, and while Spark sees that they are small,
-    the table is not shuffled.
+    Source columns are addressed as ``new.<name>``.
     """
     payload = source.select(
         *keys, F.struct(*[c for c in source.columns if c not in keys], F.lit(True).alias("hit")).alias("new")
     )
     joined = df.join(payload, keys, "left")
     changed = {
-        c: F.when(F.col("new.hit") & (F.lit(True) if when is None else when),
-                  v.cast(df.schema[c].dataType)).otherwise(F.col(c))
+        c: F.when(F.col("new.hit"), v.cast(df.schema[c].dataType)).otherwise(F.col(c))
         for c, v in values.items() if c in df.columns
     }
     return joined.withColumns(changed).select(*df.columns)
 
 
 def _judge(requests: DataFrame, papers: DataFrame, allowed: Column, *carry: str) -> DataFrame:
-    """Requests (one per paper) with the paper's round and state, and ``reason`` (null if fine).
+    """Every request with its paper's round and state, and ``reason`` (null if it fits).
 
-    The papers table is cut to the papers asked for before the outer join.
+    The papers table is cut to the papers asked for before the outer join, which splits a paper
+    that most requests ask for.
     """
     known = papers.select("paper_id", "round", "status", *carry).join(
-        requests.select("paper_id"), "paper_id", "left_semi").withColumn("_known", F.lit(True))
+        requests.select("paper_id").distinct(), "paper_id", "left_semi").withColumn("_known", F.lit(True))
     reason = F.when(F.col("_known").isNull(), "not_found").when(
         ~F.coalesce(allowed, F.lit(False)), "wrong_status")
-    return requests.join(known, "paper_id", "left").withColumn("reason", reason).drop("_known")
+    return split_join(requests, known, ["paper_id"], "left").withColumn("reason", reason).drop("_known")
+
+
+def _also(judged: DataFrame, reason: str, when: Column) -> DataFrame:
+    """Requests that fit so far are rejected with ``reason`` where ``when`` holds."""
+    return judged.withColumn(
+        "reason", F.coalesce("reason", F.when(F.coalesce(when, F.lit(False)), reason)))
 
 
 def _with_round(judged: DataFrame, iterations: DataFrame) -> DataFrame:
     """Fine requests whose current round is missing from the rounds table become rejected."""
-    asked = judged.filter(F.col("reason").isNull()).select(*ROUND)
+    asked = judged.filter(F.col("reason").isNull()).select(*ROUND).distinct()
     held = iterations.select(*ROUND).join(asked, ROUND, "left_semi").distinct().withColumn(
         "_held", F.lit(True))
-    reason = F.when(F.col("reason").isNull() & F.col("_held").isNull(), "no_iteration").otherwise(
-        F.col("reason"))
-    return judged.join(held, ROUND, "left").withColumn("reason", reason).drop("_held")
-
+    return _also(split_join(judged, held, ROUND, "left"), "no_iteration", F.col("_held").isNull()).drop("_held")
 
-def _split(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return (
-        judged.filter(F.col("reason").isNull()).drop("reason"),
-        judged.filter(F.col("reason").isNotNull()).select("paper_id", "reason"),
-    )
 
+def _settle(judged: DataFrame, keys: list[str], *first: Column) -> tuple[DataFrame, DataFrame]:
+    """One fitting request per key, and all other requests with the reason against them.
 
-def _one_per_paper(requests: DataFrame) -> DataFrame:
-    """One request per paper; of several the smallest in column order is taken."""
-    rest = [c for c in requests.columns if c != "paper_id"]
-    if not rest:
-        return requests.distinct()
-    return requests.groupBy("paper_id").agg(F.min(F.struct(*rest)).alias("_r")).select(
-        "paper_id", *[F.col(f"_r.{c}").alias(c) for c in rest])
+    Of several that fit, the first by ``first`` and then by content is applied (nulls come last);
+    the others, equal ones too, are "superseded". Rows in are rows applied plus rows rejected.
+    """
+    fits = judged.filter(F.col("reason").isNull()).drop("reason")
+    rest = [c for c in fits.columns if c not in keys]
+    content = [f(c) for c in rest for f in (lambda c: F.col(c).isNull(), F.col)]
+    order = F.struct(*[c.alias(f"_{i}") for i, c in enumerate([*first, *content])], *[F.col(c).alias(f"_r_{c}") for c in rest])
+    best = fits.groupBy(*keys).agg(F.min(order).alias("_best"))
+    applied = best.select(*keys, *[F.col(f"_best._r_{c}").alias(c) for c in rest])
+    # equal requests are counted before they meet the one that is applied
+    kinds = fits.groupBy(*keys, *rest).agg(F.count("*").alias("_n"))
+    taken = best.select(*keys, F.struct(*[F.col(f"_best._r_{c}").alias(c) for c in rest]).alias("_taken"))
+    spare = split_join(kinds, taken, keys)
+    own = F.struct(*rest).eqNullSafe(F.col("_taken"))
+    spare = spare.withColumn("_n", F.col("_n") - own.cast("long")).filter("_n > 0")
+    # back to a row per request, by thousands, so that no long array is needed
+    spare = spare.withColumn("_k", F.explode(F.expr("sequence(0L, (_n - 1) div 1000)"))).withColumn(
+        "_i", F.explode(F.expr("sequence(1L, least(1000L, _n - 1000 * _k))")))
+    spare = spare.select(*keys, *rest, F.lit("superseded").alias("reason"))
+    bad = judged.filter(F.col("reason").isNotNull()).select(*keys, *rest, "reason")
+    return applied, bad.unionByName(spare)
+
+
+def _refused(rejected: DataFrame) -> DataFrame:
+    return rejected.select("paper_id", "reason")
+
+
+def _with_target(judged: DataFrame) -> DataFrame:
+    """A target that isn't a known state is the first reason against a request."""
+    unknown = ~F.coalesce(F.col("to_status").isin(*STATUSES), F.lit(False))
+    return judged.withColumn("reason", F.coalesce(F.when(unknown, "bad_target"), "reason"))
 
 
 def transition(papers: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Compare-and-set: requests (paper_id, from_status, to_status) move a paper only out of the
-    expected state and only into a known one. Returns (papers, rejected)."""
-    chosen = _one_per_paper(requests.select("paper_id", "from_status", "to_status"))
-    judged = _judge(chosen, papers, F.col("status") == F.col("from_status"))
-    reason = F.when(~F.coalesce(F.col("to_status").isin(*STATUSES), F.lit(False)), "bad_target")
-    judged = judged.withColumn("reason", F.coalesce(reason, "reason"))
-    rejected = judged.filter(F.col("reason").isNotNull()).select(
-        "paper_id", "from_status", "to_status", "reason")
-    fits = (F.col("status") == F.col("new.from_status")) & F.col("new.to_status").isin(*STATUSES)
-    return _set(papers, chosen, ["paper_id"], fits, status=F.col("new.to_status")), rejected
+    expected state and only into a known one.
+
+    Of several fitting requests for a paper the first by content is applied, the others are
+    superseded. Returns (papers, rejected).
+    """
+    asked = requests.select("paper_id", "from_status", "to_status")
+    judged = _judge(asked, papers, F.col("status") == F.col("from_status"))
+    applied, rejected = _settle(_with_target(judged), ["paper_id"])
+    return (
+        _set(papers, applied.select("paper_id", "to_status"), ["paper_id"], status=F.col("new.to_status")),
+        rejected.select("paper_id", "from_status", "to_status", "reason"),
+    )
 
 
 def set_status(papers: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """States set without regard to the present one; the target must be known.
-    ``requests`` holds (paper_id, status)."""
+    ``requests`` holds (paper_id, status); of several fitting ones the first by name counts."""
     asked = requests.select("paper_id", F.col("status").alias("to_status"))
-    chosen = _one_per_paper(asked)
-    reason = F.when(~F.coalesce(F.col("to_status").isin(*STATUSES), F.lit(False)), "bad_target")
-    judged = _judge(chosen, papers, F.lit(True)).withColumn("reason", F.coalesce(reason, "reason"))
-    known = F.col("new.to_status").isin(*STATUSES)
+    applied, rejected = _settle(_with_target(_judge(asked, papers, F.lit(True))), ["paper_id"])
     return (
-        _set(papers, chosen, ["paper_id"], known, status=F.col("new.to_status")),
-        _split(judged)[1],
+        _set(papers, applied.select("paper_id", "to_status"), ["paper_id"], status=F.col("new.to_status")),
+        _refused(rejected),
     )
 
 
 def move(
-    papers: DataFrame, requests: DataFrame, to_status: str, when: Column | None = None, **values: Column
+    papers: DataFrame, requests: DataFrame, to_status: str, **values: Column
 ) -> DataFrame:
     check_statuses(to_status)
-    return _set(papers, requests, ["paper_id"], when, status=F.lit(to_status), **values)
+    return _set(papers, requests, ["paper_id"], status=F.lit(to_status), **values)
 
 
 def merge_reports(
@@ -144,11 +166,16 @@ def merge_reports(
     replicator_back_de and follows its latest round.
 
     A report without round, or of a paper in another state, is rejected and leaves its paper
-    alone; a round that exists is filled in any case. Returns (papers, iterations, rejected).
+    alone; a round that exists is filled in any case. Of several open reports of a round the latest
+    by ``timestamp`` counts (then the first by content) and the others are superseded. A report
+    with a null key is rejected. Returns (papers, iterations, rejected).
     """
-    # a report table holds one row per round; of repeats the latest counts
-    open_reports = latest_by(
-        reports_to_process(reports, iterations), ROUND, F.desc_nulls_last("timestamp"))
+    todo = reports_to_process(reports, iterations)
+    named = F.col("paper_id").isNotNull() & F.col("round").isNotNull()
+    latest = [F.col("timestamp").isNull(), -F.unix_micros(F.col("timestamp").cast("timestamp"))]
+    open_reports, rejected = _settle(
+        todo.filter(named).withColumn("reason", F.lit(None).cast("string")), ROUND, *latest)
+    unnamed = todo.filter(~named).select(*ROUND)
     columns = {to: F.col(f"new.{source}") for to, source in REPORT_FIELDS}
     filled = _set(iterations, open_reports, ROUND, **columns)
 
@@ -159,7 +186,7 @@ def merge_reports(
         .when(~F.coalesce(F.col("_status") == "with_replicator", F.lit(False)), "wrong_status")
         .when(F.col("_held").isNull(), "no_iteration")
     )
-    judged = open_reports.select(*ROUND).join(held, ROUND, "left").join(
+    judged = open_reports.select(*ROUND).unionByName(unnamed).join(held, ROUND, "left").join(
         state, "paper_id", "left").select(*ROUND, reason.alias("reason"))
     back = judged.filter(F.col("reason").isNull()).select("paper_id").distinct()
 
@@ -168,7 +195,7 @@ def merge_reports(
     return (
         update_from_latest(moved, touched),
         filled,
-        judged.filter(F.col("reason").isNotNull()),
+        judged.filter(F.col("reason").isNotNull()).unionByName(rejected.select(*ROUND, "reason")),
     )
 
 
@@ -179,10 +206,11 @@ def accept(
 
     The current round is closed as accepted; after round 1, a paper without data statement takes
     its data from the round before, and an unstaffed round takes that round's replicators.
-    Returns (papers, iterations, rejected).
+    A missing round isn't looked for and doesn't hinder acceptance. Returns (papers, iterations,
+    rejected).
     """
-    asked = ids.select("paper_id").distinct()
-    fine, rejected = _split(_judge(asked, papers, F.lit(True), "data_statement"))
+    fine, rejected = _settle(_judge(ids.select("paper_id"), papers, F.lit(True), "data_statement"), ["paper_id"])
+    asked = fine.select("paper_id")
     later = fine.filter(F.col("round") > 1)
     bare = later.filter(F.col("data_statement").isNull())
     before = bare.select("paper_id", (F.col("round") - 1).alias("round"))
@@ -190,7 +218,7 @@ def accept(
         move(papers, asked, "acceptable_package"), iterations, before)
     closed = _set(iterations, fine.select(*ROUND), ROUND,
                   date_decision_de=F.lit(as_of), decision_de=F.lit("accept"))
-    return moved, carry_replicators(closed, later), rejected
+    return moved, carry_replicators(closed, later), _refused(rejected)
 
 
 def revise(
@@ -204,9 +232,8 @@ def revise(
     file_request_* columns) gives the new round's request ids; without it they carry over.
     Returns (papers, iterations, rejected).
     """
-    asked = ids.select("paper_id").distinct()
-    judged = _judge(asked, papers, F.col("status") == "replicator_back_de")
-    fine, rejected = _split(_with_round(judged, iterations))
+    judged = _judge(ids.select("paper_id"), papers, F.col("status") == "replicator_back_de")
+    fine, rejected = _settle(_with_round(judged, iterations), ["paper_id"])
 
     opened = iterations.join(fine.select(*ROUND), ROUND, "left_semi")
     emptied = {name for name, _ in REPORT_FIELDS} | set(ROUND_DATES) | {"decision_de"}
@@ -225,7 +252,7 @@ def revise(
     moved = move(
         papers, opened.select("paper_id", "round", *taken), "with_author", round=F.col("new.round"),
         date_with_authors=F.lit(as_of), **{c: F.col(f"new.{c}") for c in taken})
-    return moved, closed.unionByName(opened), rejected
+    return moved, closed.unionByName(opened), _refused(rejected)
 
 
 def assign(
@@ -236,15 +263,17 @@ def assign(
 
     ``picks`` holds (paper_id, replicator1, replicator2) and optionally ``submitted``, the day the
     package came in. Normally papers go from author_back_de to with_replicator and an empty second
-    pick leaves slot 2 alone. With ``overwrite`` (reassigning) the state does not matter and stays,
+    pick leaves slot 2 alone; a pick without first replicator is rejected. With ``overwrite`` (reassigning) the state does not matter and stays,
     and slot 2 is always replaced. Returns (papers, iterations, rejected).
     """
     allowed = F.lit(True) if overwrite else F.col("status") == "author_back_de"
-    judged = _judge(_one_per_paper(picks), papers, allowed).drop("round")
-    latest = current_rounds(iterations.select(*ROUND)).distinct()
-    judged = judged.join(latest, "paper_id", "left").withColumn("reason", F.coalesce(
-        "reason", F.when(F.col("round").isNull(), "no_iteration")))
-    fine, rejected = _split(judged)
+    judged = _also(_judge(picks, papers, allowed).drop("round"), "no_replicator", F.col("replicator1").isNull())
+    # rounds of the papers picked only
+    asked = judged.filter(F.col("reason").isNull()).select("paper_id").distinct()
+    rounds = split_join(iterations.select(*ROUND), asked, ["paper_id"], "left_semi")
+    latest = rounds.groupBy("paper_id").agg(F.max("round").alias("round")).filter("round IS NOT NULL")
+    judged = _also(split_join(judged, latest, ["paper_id"], "left"), "no_iteration", F.col("round").isNull())
+    fine, rejected = _settle(judged, ["paper_id"])
     second = F.col("new.replicator2")
     values = {
         "replicator1": F.col("new.replicator1"),
@@ -255,7 +284,7 @@ def assign(
         values["date_arrived_from_authors"] = F.coalesce("new.submitted", "date_arrived_from_authors")
     given = _set(iterations, fine.drop("status"), ROUND, **values)
     moved = papers if overwrite else move(papers, fine.select("paper_id"), "with_replicator")
-    return moved, given, rejected
+    return moved, given, _refused(rejected)
 
 
 def mark_arrived(
@@ -264,19 +293,18 @@ def mark_arrived(
     """Packages received: from with_author to author_back_de, with the day on the round.
 
     ``ids`` holds paper_id and optionally ``round`` (else the paper's) and ``arrived`` (else
-    ``as_of``). Returns (papers, iterations, rejected).
+    ``as_of``). A paper whose round doesn't exist stays. Returns (papers, iterations, rejected).
     """
     asked = ids.withColumnsRenamed({"round": "_round"}) if "round" in ids.columns else ids
-    asked, waits = _one_per_paper(asked), F.col("status") == "with_author"
-    fine, rejected = _split(_judge(asked, papers, waits))
-    if "_round" in fine.columns:
-        fine = fine.withColumn("round", F.coalesce("_round", "round"))
+    judged = _judge(asked, papers, F.col("status") == "with_author")
+    if "_round" in judged.columns:
+        judged = judged.withColumn("round", F.coalesce("_round", "round")).drop("_round")
+    fine, rejected = _settle(_with_round(judged, iterations), ["paper_id"])
     day = F.coalesce("arrived", F.lit(as_of)) if "arrived" in ids.columns else F.lit(as_of)
-    dated = fine.select(*ROUND, day.alias("day"))
     return (
-        move(papers, asked.select("paper_id"), "author_back_de", waits),
-        _set(iterations, dated, ROUND, date_arrived_from_authors=F.col("new.day")),
-        rejected,
+        move(papers, fine.select("paper_id"), "author_back_de"),
+        _set(iterations, fine.select(*ROUND, day.alias("day")), ROUND, date_arrived_from_authors=F.col("new.day")),
+        _refused(rejected),
     )
 
 
@@ -284,12 +312,12 @@ def publish(
     papers: DataFrame, dois: DataFrame, as_of: dt.date
 ) -> tuple[DataFrame, DataFrame]:
     """Published papers get DOI and date, from acceptable_package only; ``dois`` holds
-    (paper_id, doi). Returns (papers, rejected)."""
-    asked, accepted = _one_per_paper(dois.select("paper_id", "doi")), F.col("status") == "acceptable_package"
-    rejected = _split(_judge(asked, papers, accepted))[1]
-    moved = move(papers, asked, "published_package", accepted,
-                 doi=F.col("new.doi"), date_published=F.lit(as_of))
-    return moved, rejected
+    (paper_id, doi). A null DOI is rejected. Returns (papers, rejected)."""
+    judged = _judge(dois.select("paper_id", F.col("doi").alias("_doi")), papers, F.col("status") == "acceptable_package")
+    fine, rejected = _settle(_also(judged, "no_doi", F.col("_doi").isNull()), ["paper_id"])
+    moved = move(papers, fine.select("paper_id", "_doi"), "published_package",
+                 doi=F.col("new._doi"), date_published=F.lit(as_of))
+    return moved, _refused(rejected)
 
 
 def purge(

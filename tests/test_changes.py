@@ -117,6 +117,51 @@ def test_mark_arrived_and_publish(desk, spark):
     assert by_id(out, "doi")["2"] is None and by_id(rejected, "reason") == {"2": "wrong_status"}
 
 
+def test_every_request_is_applied_or_rejected(desk, spark):
+    papers = desk.papers({"paper_id": "1"}, {"paper_id": "2", "status": "acceptable_package"}, {"paper_id": "3"})
+    rounds = desk.iterations({"paper_id": "1"}, {"paper_id": "2"}, {"paper_id": "3"})
+    asked = spark.createDataFrame(
+        [("1", "author_back_de", "nowhere"), ("1", "author_back_de", "with_replicator"), (None, None, None),
+         ("1", "author_back_de", "with_replicator"), ("1", "author_back_de", "with_author"), ("1", None, None)],
+        "paper_id string, from_status string, to_status string")
+    moved, rejected = changes.transition(papers, asked)
+    assert by_id(moved, "status")["1"] == "with_author"
+    assert sorted((r.to_status or "", r.reason) for r in rejected.collect()) == [
+        ("", "bad_target"), ("", "bad_target"), ("nowhere", "bad_target"), ("with_replicator", "superseded"),
+        ("with_replicator", "superseded")]
+    dois = spark.createDataFrame([("2", None), ("2", "10.1/x"), ("2", "10.1/y")], "paper_id string, doi string")
+    out, rejected = changes.publish(papers, dois, AS_OF)
+    assert by_id(out, "doi")["2"] == "10.1/x"
+    assert sorted(r.reason for r in rejected.collect()) == ["no_doi", "superseded"]
+    picks = spark.createDataFrame(
+        [("3", None, None), ("3", "a@x", None), ("3", "a@x", None)], "paper_id string, replicator1 string, replicator2 string")
+    moved, given, rejected = changes.assign(rounds, papers, picks, AS_OF)
+    assert by_id(moved, "status")["3"] == "with_replicator" and by_id(given, "replicator1")["3"] == "a@x"
+    assert sorted(r.reason for r in rejected.collect()) == ["no_replicator", "superseded"]
+    many = desk.ids(*["1"] * 2500)
+    assert changes.accept(papers, rounds, many, AS_OF)[2].count() == 2499
+
+
+def test_no_report_is_lost(desk):
+    papers = desk.papers({"paper_id": "1", "status": "with_replicator"})
+    rounds = desk.iterations({"paper_id": "1"})
+    when = dt.datetime(2024, 6, 1, 12)
+    reports = desk.reports(
+        {"paper_id": "1", "timestamp": when, "comments": "b"}, {"paper_id": "1", "timestamp": when, "comments": "a"},
+        {"paper_id": "1", "timestamp": None, "comments": "0"}, {"paper_id": None, "timestamp": when},
+        {"paper_id": None, "timestamp": when}, {"paper_id": "1", "round": None}, {"paper_id": "1", "round": None})
+    moved, filled, rejected = changes.merge_reports(papers, rounds, reports)
+    assert by_id(moved, "status")["1"] == "replicator_back_de" and by_id(filled, "repl_comments")["1"] == "a"
+    assert sorted(r.reason for r in rejected.collect()) == [
+        "no_iteration", "no_iteration", "not_found", "not_found", "superseded", "superseded"]
+
+
+def test_arrival_needs_its_round(desk):
+    papers = desk.papers({"paper_id": "1", "status": "with_author", "round": 2})
+    moved, _, rejected = changes.mark_arrived(papers, desk.iterations({"paper_id": "1"}), desk.ids("1"), AS_OF)
+    assert by_id(moved, "status")["1"] == "with_author" and by_id(rejected, "reason") == {"1": "no_iteration"}
+
+
 def test_purge(desk):
     tables = {"papers": desk.papers({"paper_id": "1", "comments": "[TEST]"}, {"paper_id": "2"}),
               "iterations": desk.iterations({"paper_id": "1"}, {"paper_id": "1", "round": 2}, {"paper_id": "3"})}

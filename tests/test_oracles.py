@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from workload.compare import connect, difference
+from workload.registry import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
@@ -18,7 +19,7 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_oracle(spark, duck, name):
     df = contract.queries()[name](spark, SF_DIR)
     assert difference(df, duck, contract.oracle_sql()[name]) is None

@@ -188,7 +188,7 @@ def _requests(t):
         (F.col("user_id") * 5).cast("string").alias("paper_id"), F.lit("with_author").alias("from_status"),
         F.when(F.col("user_id") % 4 == 0, "nowhere").otherwise("author_back_de").alias("to_status"))
     extra = t.spark.createDataFrame([("absent", "with_author", "author_back_de")], asked.schema)
-    return asked.unionByName(extra)
+    return asked.unionByName(extra).distinct()
 
 
 @query("transition", f"""
@@ -343,7 +343,8 @@ def _came(t):
 
 
 @query("mark_arrived", f"""
-    SELECT p.paper_id, CASE WHEN p.status = 'with_author' AND p.paper_id IN ({_CAME})
+    SELECT p.paper_id, CASE WHEN p.status = 'with_author' AND p.paper_id IN ({_CAME}) AND EXISTS (
+        SELECT 1 FROM iterations i WHERE i.paper_id = p.paper_id AND i.round = p.round)
         THEN 'author_back_de' ELSE p.status END AS status FROM papers p""")
 def _(t):
     return changes.mark_arrived(t.papers, t.iterations, _came(t), AS_OF)[0].select("paper_id", "status")
@@ -369,6 +370,114 @@ def _(t):
     return changes.publish(t.papers, dois, AS_OF)[0].select("paper_id", "status", "doi", "date_published")
 
 
+# Several requests for a paper, repeated ones and nulls: every one is applied or rejected.
+
+_RIVALS = """
+    SELECT CAST(user_id * 5 AS VARCHAR) AS paper_id, 'with_author' AS from_status,
+        CASE WHEN user_id % 4 = 0 THEN 'nowhere' WHEN event_id % 5 = 0 THEN NULL
+             WHEN event_id % 2 = 0 THEN 'author_back_de' ELSE 'with_replicator' END AS to_status FROM events"""
+_JUDGED_RIVALS = f"""
+    SELECT q.*, CASE WHEN q.to_status IS NULL OR q.to_status = 'nowhere' THEN 'bad_target'
+        WHEN p.paper_id IS NULL THEN 'not_found' WHEN p.status <> q.from_status THEN 'wrong_status' END AS reason
+    FROM ({_RIVALS}) q LEFT JOIN papers p ON p.paper_id = q.paper_id"""
+
+
+def _rivals(t):
+    return t.events.select(
+        (F.col("user_id") * 5).cast("string").alias("paper_id"), F.lit("with_author").alias("from_status"),
+        F.when(F.col("user_id") % 4 == 0, "nowhere").when(F.col("event_id") % 5 == 0, None)
+        .when(F.col("event_id") % 2 == 0, "author_back_de").otherwise("with_replicator").alias("to_status"))
+
+
+@query("transition_conflicts", f"""
+    SELECT p.paper_id, COALESCE(q.to_status, p.status) AS status FROM papers p LEFT JOIN (
+        SELECT paper_id, MIN(to_status) AS to_status FROM ({_JUDGED_RIVALS}) j WHERE reason IS NULL
+        GROUP BY paper_id) q ON q.paper_id = p.paper_id""")
+def _(t):
+    return changes.transition(t.papers, _rivals(t))[0].select("paper_id", "status")
+
+
+@query("transition_conflicts_rejected", f"""
+    SELECT paper_id, from_status, to_status, COALESCE(reason, 'superseded') AS reason FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY paper_id, reason ORDER BY to_status) AS n FROM ({_JUDGED_RIVALS}) j) k
+    WHERE reason IS NOT NULL OR n > 1""")
+def _(t):
+    return changes.transition(t.papers, _rivals(t))[1]
+
+
+def _thrice(t, *values):
+    """Every paper asked for with each of the values."""
+    return t.papers.select("paper_id", F.explode(F.array(*[F.lit(v) for v in values])).alias("value"))
+
+
+@query("publish_conflicts", f"""
+    SELECT paper_id, CASE WHEN status = 'acceptable_package' THEN 'doi:a' ELSE doi END AS doi,
+        CASE WHEN status = 'acceptable_package' THEN {AS_OF_SQL} ELSE date_published END AS date_published FROM papers""")
+def _(t):
+    dois = _thrice(t, None, "doi:b", "doi:a", "doi:a").withColumnRenamed("value", "doi")
+    return changes.publish(t.papers, dois, AS_OF)[0].select("paper_id", "doi", "date_published")
+
+
+@query("publish_conflicts_rejected", """
+    SELECT p.paper_id, CASE WHEN p.status <> 'acceptable_package' THEN 'wrong_status'
+        WHEN v.n = 1 THEN 'no_doi' ELSE 'superseded' END AS reason
+    FROM papers p, (VALUES (1), (2), (3), (4)) v(n) WHERE p.status <> 'acceptable_package' OR v.n <> 4""")
+def _(t):
+    dois = _thrice(t, None, "doi:b", "doi:a", "doi:a").withColumnRenamed("value", "doi")
+    return changes.publish(t.papers, dois, AS_OF)[1]
+
+
+def _rival_picks(t):
+    return _thrice(t, None, "b@example.org", "a@example.org").select(
+        "paper_id", F.col("value").alias("replicator1"), F.lit(None).cast("string").alias("replicator2"))
+
+
+@query("assign_conflicts", """
+    SELECT i.paper_id, i.round, CASE WHEN p.status = 'author_back_de' AND i.round = i.last
+        THEN 'a@example.org' ELSE i.replicator1 END AS replicator1
+    FROM (SELECT *, MAX(round) OVER (PARTITION BY paper_id) AS last FROM iterations) i
+    LEFT JOIN papers p ON p.paper_id = i.paper_id""")
+def _(t):
+    return changes.assign(t.iterations, t.papers, _rival_picks(t), AS_OF)[1].select("paper_id", "round", "replicator1")
+
+
+@query("assign_conflicts_rejected", """
+    SELECT p.paper_id, CASE WHEN p.status <> 'author_back_de' THEN 'wrong_status' WHEN v.n = 1 THEN 'no_replicator'
+        WHEN i.paper_id IS NULL THEN 'no_iteration' ELSE 'superseded' END AS reason
+    FROM papers p CROSS JOIN (VALUES (1), (2), (3)) v(n)
+    LEFT JOIN (SELECT DISTINCT paper_id FROM iterations) i ON i.paper_id = p.paper_id
+    WHERE p.status <> 'author_back_de' OR v.n < 3 OR i.paper_id IS NULL""")
+def _(t):
+    return changes.assign(t.iterations, t.papers, _rival_picks(t), AS_OF)[2]
+
+
+def _repeated_reports(t):
+    """Every report, an older one of the same round, and one without round."""
+    older = t.reports.withColumn("timestamp", F.col("timestamp") - F.expr("INTERVAL 1 DAY"))
+    return t.reports.unionByName(older).unionByName(
+        t.reports.withColumn("round", F.lit(None).cast(t.reports.schema["round"].dataType)))
+
+
+@query("merge_reports_conflicts", _FILLED)
+def _(t):
+    rows = changes.merge_reports(t.papers, t.iterations, _repeated_reports(t))[1].select(*_FILLED_COLS)
+    return rows.withColumns({c: F.col(c).cast("double") for c in ("hours1", "hours2", "runtime_code_hours")})
+
+
+@query("merge_reports_conflicts_rejected", f"""
+    SELECT o.paper_id, o.round, CASE WHEN p.paper_id IS NULL THEN 'not_found'
+        WHEN p.status <> 'with_replicator' THEN 'wrong_status' ELSE 'no_iteration' END AS reason
+    FROM ({_OPEN}) o LEFT JOIN papers p ON p.paper_id = o.paper_id
+    LEFT JOIN iterations i ON i.paper_id = o.paper_id AND i.round = o.round
+    WHERE p.paper_id IS NULL OR p.status <> 'with_replicator' OR i.paper_id IS NULL
+    UNION ALL SELECT paper_id, round, 'superseded' FROM ({_OPEN}) o
+    UNION ALL SELECT r.paper_id, NULL, CASE WHEN p.paper_id IS NULL THEN 'not_found'
+        WHEN p.status <> 'with_replicator' THEN 'wrong_status' ELSE 'no_iteration' END
+    FROM reports r LEFT JOIN papers p ON p.paper_id = r.paper_id""")
+def _(t):
+    return changes.merge_reports(t.papers, t.iterations, _repeated_reports(t))[2]
+
+
 def _four(t):
     return {"papers": t.papers, "iterations": t.iterations, "form_arrivals": t.form_arrivals,
             "reports": t.reports}
