@@ -14,8 +14,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for
 
 from tokenizers import Tokenizer, pre_tokenizers  # noqa: E402
 
-#: Pieces remembered per Python worker.
-REMEMBERED = 400_000
+#: Pieces of text and plain words remembered per Python worker.
+REMEMBERED = 500_000
+REMEMBERED_WORDS = 800_000
 #: Words of these letters have one normal form, one lower case and no inner boundary.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 #: White space and the text up to the next white space; no token spans such a boundary.
@@ -116,7 +117,7 @@ class WordIds:
             if new:
                 self._learn_words(new)
             for piece, word, mark in plain:
-                self.known[piece] = self.words[word] + self.marks[mark]
+                self.known[piece] = self.words[word] + self.marks[mark] if mark else self.words[word]
         for piece, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self.known[piece] = np.asarray(e.ids, np.uint32).tobytes()
 
@@ -125,7 +126,7 @@ class WordIds:
         cut = [t.split(" ") for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        if len(self.words) > REMEMBERED:
+        if len(self.words) > REMEMBERED_WORDS:
             self.words.clear()
         new = list(set(itertools.chain.from_iterable(cut)).difference(self.known))
         if new:

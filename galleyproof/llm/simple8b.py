@@ -37,18 +37,29 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     place = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), np.uint64)
     words[place[chosen == 0] + 1] = ids[first[chosen == 0]]
+    padded = np.concatenate((ids, np.zeros(max(PER_WORD), np.uint64)))
     for k, (count, width) in enumerate(zip(PER_WORD, WIDTH, strict=True), 1):
-        rows = np.flatnonzero(chosen == k)
-        if len(rows):
-            index = first[rows][:, None] + np.arange(count)
-            inside = index < stop[first[rows]][:, None]
-            values = np.where(inside, ids[np.minimum(index, n - 1)], np.uint64(0))
-            shifted = values << (np.arange(count) * width).astype(np.uint64)
-            words[place[rows]] = np.bitwise_or.reduce(shifted, axis=1) | np.uint64(k << 60)
+        for rows, most in _whole_and_cut(chosen == k, first, stop[first], count):
+            word = padded[first[rows]] | np.uint64(k << 60)
+            for j in range(1, count):
+                more = padded[first[rows] + j] << np.uint64(j * width)
+                word |= more if most is None else np.where(j < most, more, np.uint64(0))
+            words[place[rows]] = word
     blocks = place[np.searchsorted(first, np.arange(0, n, BLOCK))]
     return words, blocks
 
 
+def _whole_and_cut(of_kind: np.ndarray, first: np.ndarray, stop: np.ndarray, count: int):
+    """The words of a kind that are full, and those that end with their block with their ids."""
+    rows = np.flatnonzero(of_kind)
+    full = first[rows] + count <= stop[rows]
+    if full.any():
+        yield rows[full], None
+    if not full.all():
+        cut = rows[~full]
+        yield cut, stop[cut] - first[cut]
+
+
 def _widest(bits: np.ndarray) -> np.ndarray:
     """The selector of the word with most ids that can start at each id; ids need ``bits`` bits.
 
@@ -94,10 +105,13 @@ def decode(words: np.ndarray, blocks: np.ndarray, n: int) -> np.ndarray:
     escape = np.flatnonzero((selector == 0) & ~raw)
     out[start[escape]] = words[escape + 1]
     for k, (count, width) in enumerate(zip(PER_WORD, WIDTH, strict=True), 1):
-        rows = np.flatnonzero((selector == k) & ~raw)
-        if len(rows):
-            index = start[rows][:, None] + np.arange(count)
-            values = words[rows][:, None] >> (np.arange(count) * width).astype(np.uint64)
-            inside = index < stop[rows][:, None]
-            out[index[inside]] = (values & np.uint64((1 << width) - 1))[inside]
+        mask = np.uint64((1 << width) - 1)
+        for rows, most in _whole_and_cut((selector == k) & ~raw, start, stop, count):
+            word, at = words[rows], start[rows]
+            for j in range(count):
+                value = (word >> np.uint64(j * width)) & mask
+                if most is None:
+                    out[at + j] = value
+                else:
+                    out[(at + j)[j < most]] = value[j < most]
     return out
