@@ -1,6 +1,6 @@
 from .aggregates import (
     all_missing, count_where, duplicate_keys, largest_files, last_modified, package_sizes,
-    table_stats, text_lists,
+    table_stats,
 )
 from .filters import (
     availability, available, by_status, by_surname, columns, de_waiting, delete_where, dropna,
@@ -23,7 +23,7 @@ __all__ = [
     "insert_by_name", "iteration", "largest_files", "last_modified", "latest_by",
     "latest_iteration", "latest_snapshot", "missing_ids", "new_rows", "package_sizes", "paper",
     "polish_names", "published_packages", "recent_datasets", "reminders", "rename_select",
-    "reports_to_process", "rounds", "select_matching", "split_join", "table_stats", "text_lists", "two_slots",
+    "reports_to_process", "rounds", "select_matching", "split_join", "table_stats", "two_slots",
     "unprocessed", "update_from_latest", "update_from_round", "update_where", "waiting_rounds",
     "where_eq", "with_previous_round", "without_tests",
 ]

@@ -1,4 +1,4 @@
-"""Counts, sums and lists. Every aggregate combines map-side before its shuffle."""
+"""Counts and sums. Every aggregate combines map-side before its shuffle."""
 
 from __future__ import annotations
 
@@ -8,10 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import split_join
-
-LIST_PART = 10_000
-
 
 def count_where(df: DataFrame, col: str, val) -> DataFrame:
     return df.agg(F.count_if(F.col(col) == F.lit(val)).alias("count"))
@@ -75,25 +71,3 @@ def table_stats(tables: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
-
-
-def text_lists(
-    df: DataFrame, keys: list[str], item: Column, order: list[str], per_part: int = LIST_PART
-) -> DataFrame:
-    """Items of each key joined by ", " in the given order, whole but in bounded parts.
-
-    A key with up to ``per_part`` items has one row (part 0). A larger one is spread by hash over
-    ``n_parts`` rows, so that no task ever holds all items of a hot key. A null key is a key like
-    any other. Columns: keys, ``n_items`` of the key, ``part``, ``n_parts``, ``items``.
-    """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n_items"))
-    sizes = sizes.withColumn("n_parts", F.ceil(F.col("n_items") / per_part).cast("int"))
-    spread = F.pmod(F.xxhash64(*order), F.col("n_parts")).cast("int")
-    # the explicit shuffle on key and part keeps a hot key's parts in different tasks
-    sized = split_join(df, sizes, keys, null_safe=True)
-    parts = sized.withColumn("part", spread).repartition(*keys, "part")
-    listed = parts.groupBy(*keys, "n_items", "part", "n_parts").agg(
-        F.sort_array(F.collect_list(F.struct(*order, item.alias("_item")))).alias("_items")
-    )
-    text = F.array_join(F.transform("_items", lambda entry: entry["_item"]), ", ")
-    return listed.withColumn("items", text).drop("_items")

@@ -14,7 +14,7 @@ from ..functions import (
 )
 from ..operators import (
     assigned_rounds, by_status, current_rounds, latest_iteration, reminders,
-    select_matching, text_lists, two_slots, without_tests,
+    select_matching, two_slots, without_tests,
 )
 from ..schemas import DONE_STATUSES, HOURS, STATUS_ROWS, status_dim, status_rank
 
@@ -89,23 +89,32 @@ def status_report(papers: DataFrame) -> DataFrame:
     return papers.select("status", "paper_slug").orderBy("status", "paper_slug")
 
 
+def _held(iterations: DataFrame, papers: DataFrame) -> DataFrame:
+    """Rounds now with a replicator, a row for each of the two slots."""
+    active = by_status(assigned_rounds(iterations, papers), "with_replicator")
+    return two_slots(active.select(*ROUND, "replicator1", "replicator2"), ROUND, distinct=True)
+
+
 def workload(iterations: DataFrame, papers: DataFrame, replicators: DataFrame) -> DataFrame:
-    """Papers now with each replicator, in either slot; idle replicators stay with 0.
+    """Number of papers now with each replicator, in either slot; idle replicators stay with 0.
 
-    ``papers`` is the text list "id (Rn), ...". Someone with more than 10,000 papers gets several
-    rows with the same total, numbered by ``part``, which together hold the whole list.
+    One row per replicator, however many papers; `workload_items` lists them.
+    """
+    counts = _held(iterations, papers).groupBy(F.col("replicator").alias("email")).agg(
+        F.count("*").alias("current_workload"))
+    return replicators.select("name", "email").join(counts, "email", "left").select(
+        "name", "email", F.coalesce("current_workload", F.lit(0)).alias("current_workload"))
+
+
+def workload_items(iterations: DataFrame, papers: DataFrame) -> DataFrame:
+    """Each replicator's papers as rows with a label "id (Rn)", in order of paper and round.
+
+    The order is that of a range-partitioned sort, so a replicator with very many papers spreads
+    over partitions.
     """
-    active = by_status(assigned_rounds(iterations, papers), "with_replicator")
-    held = two_slots(active.select(*ROUND, "replicator1", "replicator2"), ROUND, distinct=True)
     label = F.concat(F.col("paper_id"), F.lit(" (R"), F.col("round").cast("string"), F.lit(")"))
-    lists = text_lists(held, ["replicator"], label, ROUND).withColumnRenamed("replicator", "email")
-    return replicators.select("name", "email").join(lists, "email", "left").select(
-        "name",
-        "email",
-        F.coalesce("n_items", F.lit(0)).alias("current_workload"),
-        F.coalesce("part", F.lit(0)).alias("part"),
-        F.coalesce("items", F.lit("")).alias("papers"),
-    )
+    return _held(iterations, papers).select(
+        F.col("replicator").alias("email"), *ROUND, label.alias("item")).orderBy("email", *ROUND)
 
 
 def time_in_status(papers: DataFrame, iterations: DataFrame, as_of: dt.date) -> DataFrame:
@@ -225,9 +234,13 @@ def hours_summary(
 
 
 def case_lists(worked: DataFrame, exclude: str | None = None) -> DataFrame:
-    """Case ids by replicator and quarter as text, in parts of bounded size (see `text_lists`)."""
+    """Case ids by replicator and quarter as rows, in that order and by case and slot.
+
+    `hours_summary` counts them. The sort is range-partitioned: no group meets in one task.
+    """
     rows = _without(worked, exclude).withColumn("quarter", quarter_label(F.col("date_completed_repl")))
-    return text_lists(rows, ["replicator", "quarter"], F.col("case_id"), ["case_id", "slot"])
+    return rows.select("replicator", "quarter", "case_id", "slot").orderBy(
+        "replicator", "quarter", "case_id", "slot")
 
 
 def _without(worked: DataFrame, exclude: str | None) -> DataFrame:
@@ -261,10 +274,10 @@ def invoices(
     email = F.col("replicator")
     for old, current in (aliases or {}).items():
         email = F.when(F.col("replicator") == old, F.lit(current)).otherwise(email)
-    billed = hours.groupBy("replicator").agg(
+    # both addresses of a person make one invoice
+    billed = hours.groupBy(email.alias("email")).agg(
         F.count("*").alias("num_jobs"), F.sum("hours").alias("hours")
-    ).select(email.alias("email"), "num_jobs", "hours",
-             F.bround(F.col("hours") * usd, 1).alias("amount_USD"))
+    ).withColumn("amount_USD", F.bround(F.col("hours") * usd, 1))
     people = replicators.select(
         "email", "name", (invoice_number(F.col("invoice")) + 1).alias("next_invoice")
     )

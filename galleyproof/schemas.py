@@ -22,77 +22,148 @@ DONE_STATUSES = ["acceptable_package", "published_package"]
 TEST_MARK = "[TEST]"
 HOURS = T.DecimalType(18, 3)
 
-_TYPES = {
-    "string": T.StringType(),
-    "int": T.IntegerType(),
-    "bool": T.BooleanType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampNTZType(),
-    "hours": HOURS,
-}
-
-
-def _struct(**columns: str) -> T.StructType:
-    """Fields from ``type="name name ..."`` groups, in the order given."""
-    return T.StructType(
-        [
-            T.StructField(name, _TYPES[kind.rstrip("_")])
-            for kind, names in columns.items()
-            for name in names.split()
-        ]
-    )
-
-
-PAPERS = _struct(
-    timestamp="timestamp",
-    string="journal paper_id title firstname_of_author surname_of_author email_of_author "
-    "email_of_second_author handling_editor comments paper_slug status file_request_id_pkg "
-    "file_request_path repl_package_path paper_path file_request_path_full file_request_url_pkg "
-    "file_request_id_paper file_request_url_paper data_statement software github_url doi "
-    "doi_paper gh_org_repo",
-    int="round",
-    bool="is_confidential share_confidential is_remote is_HPC",
-    date="first_arrival_date date_with_authors date_published",
-)
-
-ITERATIONS = _struct(
-    timestamp="timestamp",
-    string="journal paper_id title firstname_of_author surname_of_author email_of_author "
-    "email_of_second_author handling_editor comments paper_slug replicator1 replicator2 software "
-    "data_statement repl_comments decision_de fr_path_apps fr_path_full file_request_path "
-    "repl_package_path paper_path file_request_path_full file_request_id_pkg "
-    "file_request_id_paper file_request_url_pkg file_request_url_paper github_url gh_org_repo "
-    "dropbox_password replicator_upload_id replicator_upload_url preprocess_mode",
-    int="round",
-    hours="hours1 hours2 runtime_code_hours",
-    bool="is_confidential share_confidential is_success is_confidential_shared is_remote is_HPC",
-    date="first_arrival_date date_with_authors date_arrived_from_authors date_assigned_repl "
-    "date_completed_repl date_decision_de",
-)
-
-# staging tables keep the shape of the forms they come from
-FORM_ARRIVALS = _struct(
-    timestamp="timestamp",
-    string="journal paper_id title firstname_of_author surname_of_author email_of_author "
-    "email_of_second_author handling_editor is_confidential share_confidential comments "
-    "paper_slug",
-    bool="processed",
-)
-
-REPORTS = _struct(
-    timestamp="timestamp",
-    string="paper_id journal email_of_replicator_1 email_of_replicator_2 "
-    "software_used_in_package data_statement comments",
-    int="round readme_quality package_complexity",
-    hours="hours_replicator_1 hours_replicator_2 running_time_of_code",
-    bool="is_success is_confidential shared_confidential is_remote is_HPC",
-)
-
-REPLICATORS = _struct(
-    string="email name surname os",
-    int="current_workload",
-    string_="can_take_+1_package invoice",
-)
+TEXT, INT, BOOL, DATE = T.StringType(), T.IntegerType(), T.BooleanType(), T.DateType()
+TIME = T.TimestampNTZType()
+
+# The columns of the stored tables, in their declared order.
+PAPERS = T.StructType([
+    T.StructField("timestamp", TIME),
+    T.StructField("journal", TEXT),
+    T.StructField("paper_id", TEXT),
+    T.StructField("title", TEXT),
+    T.StructField("firstname_of_author", TEXT),
+    T.StructField("surname_of_author", TEXT),
+    T.StructField("email_of_author", TEXT),
+    T.StructField("email_of_second_author", TEXT),
+    T.StructField("handling_editor", TEXT),
+    T.StructField("is_confidential", BOOL),
+    T.StructField("share_confidential", BOOL),
+    T.StructField("comments", TEXT),
+    T.StructField("paper_slug", TEXT),
+    T.StructField("first_arrival_date", DATE),
+    T.StructField("status", TEXT),
+    T.StructField("round", INT),
+    T.StructField("file_request_id_pkg", TEXT),
+    T.StructField("file_request_path", TEXT),
+    T.StructField("repl_package_path", TEXT),
+    T.StructField("paper_path", TEXT),
+    T.StructField("file_request_path_full", TEXT),
+    T.StructField("file_request_url_pkg", TEXT),
+    T.StructField("file_request_id_paper", TEXT),
+    T.StructField("file_request_url_paper", TEXT),
+    T.StructField("date_with_authors", DATE),
+    T.StructField("date_published", DATE),
+    T.StructField("is_remote", BOOL),
+    T.StructField("is_HPC", BOOL),
+    T.StructField("data_statement", TEXT),
+    T.StructField("software", TEXT),
+    T.StructField("github_url", TEXT),
+    T.StructField("doi", TEXT),
+    T.StructField("doi_paper", TEXT),
+    T.StructField("gh_org_repo", TEXT),
+])
+
+ITERATIONS = T.StructType([
+    T.StructField("timestamp", TIME),
+    T.StructField("journal", TEXT),
+    T.StructField("paper_id", TEXT),
+    T.StructField("title", TEXT),
+    T.StructField("firstname_of_author", TEXT),
+    T.StructField("surname_of_author", TEXT),
+    T.StructField("email_of_author", TEXT),
+    T.StructField("email_of_second_author", TEXT),
+    T.StructField("handling_editor", TEXT),
+    T.StructField("is_confidential", BOOL),
+    T.StructField("share_confidential", BOOL),
+    T.StructField("comments", TEXT),
+    T.StructField("paper_slug", TEXT),
+    T.StructField("first_arrival_date", DATE),
+    T.StructField("round", INT),
+    T.StructField("replicator1", TEXT),
+    T.StructField("replicator2", TEXT),
+    T.StructField("hours1", HOURS),
+    T.StructField("hours2", HOURS),
+    T.StructField("is_success", BOOL),
+    T.StructField("software", TEXT),
+    T.StructField("is_confidential_shared", BOOL),
+    T.StructField("is_remote", BOOL),
+    T.StructField("is_HPC", BOOL),
+    T.StructField("runtime_code_hours", HOURS),
+    T.StructField("data_statement", TEXT),
+    T.StructField("repl_comments", TEXT),
+    T.StructField("date_with_authors", DATE),
+    T.StructField("date_arrived_from_authors", DATE),
+    T.StructField("date_assigned_repl", DATE),
+    T.StructField("date_completed_repl", DATE),
+    T.StructField("date_decision_de", DATE),
+    T.StructField("decision_de", TEXT),
+    T.StructField("fr_path_apps", TEXT),
+    T.StructField("fr_path_full", TEXT),
+    T.StructField("file_request_path", TEXT),
+    T.StructField("repl_package_path", TEXT),
+    T.StructField("paper_path", TEXT),
+    T.StructField("file_request_path_full", TEXT),
+    T.StructField("file_request_id_pkg", TEXT),
+    T.StructField("file_request_id_paper", TEXT),
+    T.StructField("file_request_url_pkg", TEXT),
+    T.StructField("file_request_url_paper", TEXT),
+    T.StructField("github_url", TEXT),
+    T.StructField("gh_org_repo", TEXT),
+    T.StructField("dropbox_password", TEXT),
+    T.StructField("replicator_upload_id", TEXT),
+    T.StructField("replicator_upload_url", TEXT),
+    T.StructField("preprocess_mode", TEXT),
+])
+
+# Staging tables keep the shape of the forms they come from.
+FORM_ARRIVALS = T.StructType([
+    T.StructField("timestamp", TIME),
+    T.StructField("journal", TEXT),
+    T.StructField("paper_id", TEXT),
+    T.StructField("title", TEXT),
+    T.StructField("firstname_of_author", TEXT),
+    T.StructField("surname_of_author", TEXT),
+    T.StructField("email_of_author", TEXT),
+    T.StructField("email_of_second_author", TEXT),
+    T.StructField("handling_editor", TEXT),
+    T.StructField("is_confidential", TEXT),
+    T.StructField("share_confidential", TEXT),
+    T.StructField("comments", TEXT),
+    T.StructField("paper_slug", TEXT),
+    T.StructField("processed", BOOL),
+])
+
+REPORTS = T.StructType([
+    T.StructField("timestamp", TIME),
+    T.StructField("paper_id", TEXT),
+    T.StructField("journal", TEXT),
+    T.StructField("round", INT),
+    T.StructField("email_of_replicator_1", TEXT),
+    T.StructField("email_of_replicator_2", TEXT),
+    T.StructField("hours_replicator_1", HOURS),
+    T.StructField("hours_replicator_2", HOURS),
+    T.StructField("is_success", BOOL),
+    T.StructField("software_used_in_package", TEXT),
+    T.StructField("is_confidential", BOOL),
+    T.StructField("shared_confidential", BOOL),
+    T.StructField("is_remote", BOOL),
+    T.StructField("is_HPC", BOOL),
+    T.StructField("running_time_of_code", HOURS),
+    T.StructField("data_statement", TEXT),
+    T.StructField("readme_quality", INT),
+    T.StructField("package_complexity", INT),
+    T.StructField("comments", TEXT),
+])
+
+REPLICATORS = T.StructType([
+    T.StructField("email", TEXT),
+    T.StructField("name", TEXT),
+    T.StructField("surname", TEXT),
+    T.StructField("os", TEXT),
+    T.StructField("current_workload", INT),
+    T.StructField("can_take_+1_package", TEXT),
+    T.StructField("invoice", TEXT),
+])
 
 TABLES = {
     "papers": PAPERS,

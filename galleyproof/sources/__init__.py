@@ -4,10 +4,10 @@ from .tables import (
     catalog_tables, describe, drop_column, empty, non_empty, replace_table, table, table_or_none,
     write_bucketed,
 )
-from .versions import VersionedTables
+from .versions import StaleVersion, VersionedTables
 
 __all__ = [
-    "VersionedTables", "append_csv", "catalog_tables", "describe", "drop_column", "empty",
+    "StaleVersion", "VersionedTables", "append_csv", "catalog_tables", "describe", "drop_column", "empty",
     "export_csv", "file_manifest", "non_empty", "read_articles", "read_datasets", "read_form",
     "read_snapshot", "replace_table", "table", "table_or_none", "write_bucketed",
 ]

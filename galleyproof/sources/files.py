@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,14 +81,29 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def write_text_once(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file; an existing one is an error, whoever wrote it."""
+def write_text_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Publish a small file whole, or not at all and return False if the name is taken.
+
+    It is written under another name and renamed without overwriting.
+    """
     fs, p = _fs(spark, path)
-    out = fs.create(p, False)
+    aside = p.suffix(f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(aside, False)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    no_options = spark._sc._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(aside, p, no_options)
+    except Py4JJavaError as error:
+        fs.delete(aside, False)
+        if "FileAlreadyExistsException" in str(error.java_exception):
+            return False
+        raise
+    return True
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -1,9 +1,10 @@
 """Tables that change together become visible together.
 
 Every commit writes new folders and then one small manifest that lists the folders of all
-tables. Readers take the manifest with the highest number. A manifest is created only if its
-number is free, so of two writers that started from one version the second fails and retries; a
-job lost half-way leaves folders that nothing points to.
+tables. Readers take the manifest with the highest number. A commit names the version its data was
+read from and fails if a newer one exists; a manifest is written aside and renamed to its number
+only if that is free, so of two writers that started from one version the second fails, and no
+reader sees half a manifest. A job lost half-way leaves files that nothing points to.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .files import list_files, read_text, write_text_once
 
 
+class StaleVersion(RuntimeError):
+    """Another writer committed after the version that a change started from."""
+
+
 class VersionedTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -26,11 +31,13 @@ class VersionedTables:
         names = [f.rsplit("/", 1)[1] for f in list_files(self.spark, f"{self.root}/manifests")]
         return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
 
+    def version(self) -> int:
+        """The newest version; 0 before the first commit."""
+        return max(self.versions(), default=0)
+
     def _folders(self, version: int | None = None) -> dict[str, str]:
-        versions = self.versions()
-        if not versions:
-            return {}
-        return json.loads(read_text(self.spark, self._manifest(version or versions[-1])))
+        version = self.version() if version is None else version
+        return json.loads(read_text(self.spark, self._manifest(version))) if version else {}
 
     def _manifest(self, version: int) -> str:
         return f"{self.root}/manifests/{version:08d}.json"
@@ -41,14 +48,26 @@ class VersionedTables:
     def tables(self, version: int | None = None) -> dict[str, DataFrame]:
         return {n: self.spark.read.parquet(f"{self.root}/{f}") for n, f in self._folders(version).items()}
 
-    def commit(self, changed: Mapping[str, DataFrame]) -> int:
-        """Write changed tables and publish them with the unchanged ones; returns the version."""
-        versions = self.versions()
-        base = versions[-1] if versions else 0
-        folders = self._folders(base) if base else {}
+    def commit(self, changed: Mapping[str, DataFrame], base: int) -> int:
+        """Write changed tables and publish them with the unchanged ones; returns the version.
+
+        ``base`` is the version that the change was computed from (`version()` before reading, 0
+        for an empty store). If another commit came since, `StaleVersion` is raised, and the change
+        must be computed again from what it left.
+        """
+        self._check(base)
+        folders = self._folders(base)
         for name, df in changed.items():
             folder = f"data/{base + 1:08d}-{uuid.uuid4().hex}/{name}"
             df.write.parquet(f"{self.root}/{folder}")
             folders[name] = folder
-        write_text_once(self.spark, self._manifest(base + 1), json.dumps(folders, sort_keys=True))
+        self._check(base)
+        if not write_text_once(self.spark, self._manifest(base + 1), json.dumps(folders, sort_keys=True)):
+            self._check(base)
+            raise StaleVersion(f"version {base + 1} was taken meanwhile")
         return base + 1
+
+    def _check(self, base: int) -> None:
+        newest = self.version()
+        if newest != base:
+            raise StaleVersion(f"the change started from version {base}, the newest is {newest}")

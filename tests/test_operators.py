@@ -119,22 +119,6 @@ def test_two_slots_counts_a_person_once(desk):
     assert sorted((r.paper_id, r.slot, r.replicator) for r in once) == [("1", 1, "a"), ("2", 2, "b")]
 
 
-def test_text_lists_are_whole_in_bounded_parts(spark):
-    rows = spark.range(500).select(
-        F.when(F.col("id") < 400, "hot").otherwise("cold").alias("k"), F.col("id").cast("string").alias("v"))
-    parts = ops.text_lists(rows, ["k"], F.col("v"), ["v"], per_part=50).collect()
-    hot = [r for r in parts if r.k == "hot"]
-    assert {r.n_items for r in hot} == {400} and len(hot) == 8
-    assert sorted(v for r in hot for v in r["items"].split(", ")) == sorted(str(i) for i in range(400))
-    assert max(len(r["items"].split(", ")) for r in parts) < 100
-
-
-def test_text_lists_keep_null_keys(spark):
-    rows = spark.createDataFrame([(None, "x", "1"), (None, "x", "2"), ("a", None, "3")], "k string, j string, v string")
-    found = {(r.k, r.j): r["items"] for r in ops.text_lists(rows, ["k", "j"], F.col("v"), ["v"]).collect()}
-    assert found == {(None, "x"): "1, 2", ("a", None): "3"}
-
-
 def test_delete_and_update_leave_nulls(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), (None, 1)], "x string, y int")
     assert ops.delete_where(df, {"x": "a", "y": 1}).count() == 2

@@ -45,9 +45,8 @@ def test_slots_come_from_one_scan(stored):
     assert "Exchange" not in plan(reports.hours_worked(stored[1]))
 
 
-def test_hot_lists_are_spread_by_part(stored):
-    lists = ops.text_lists(stored[1], ["journal"], F.col("paper_id"), ["paper_id"])
-    assert "hashpartitioning(journal" in plan(lists) and "part" in plan(lists).split("hashpartitioning", 1)[1].split(")")[0]
+def test_lists_are_sorted_by_ranges(stored):
+    assert "rangepartitioning(email" in plan(reports.workload_items(stored[1], stored[0]))
 
 
 @pytest.fixture
@@ -94,12 +93,3 @@ def test_new_rows_of_a_hot_key_are_split(hot):
     out = ops.new_rows(hot[1], hot[0].filter("paper_id < '3'"), "paper_id")
     assert len(out.collect()) == hot[1].filter("paper_id >= '3'").count()
     assert "skew=true" in plan(out)
-
-
-def test_lists_of_a_hot_key_are_split(hot):
-    out = ops.text_lists(hot[1], ["paper_id"], F.col("paper_slug"), ["round"], per_part=1000)
-    rows = out.filter("paper_id = 'hot'").collect()
-    assert len(rows) == 20 and sum(len(r["items"].split(", ")) for r in rows) == 20000
-    assert out.count() == 40020
-    out.collect()
-    assert "skew=true" in plan(out)

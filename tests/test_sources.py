@@ -9,7 +9,7 @@ from galleyproof import schemas
 from galleyproof.plans import packages, snapshots
 from galleyproof.session import scratch_folder
 from galleyproof.sources import (
-    VersionedTables, append_csv, catalog_tables, describe, empty, export_csv, file_manifest,
+    StaleVersion, VersionedTables, append_csv, catalog_tables, describe, empty, export_csv, file_manifest,
     non_empty, read_articles, read_datasets, read_snapshot, replace_table, table_or_none, write_bucketed,
 )
 from galleyproof.sources.files import write_text_once
@@ -54,28 +54,44 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
 def test_versions_change_together(spark, tmp_path):
     store = VersionedTables(spark, f"{tmp_path}/store")
     assert store.tables() == {}
-    assert store.commit({"a": spark.range(1), "b": spark.range(2)}) == 1
+    assert store.commit({"a": spark.range(1), "b": spark.range(2)}, 0) == 1
     # a plan over the present version may replace it
-    assert store.commit({"a": store.read("a").union(store.read("b"))}) == 2
+    assert store.commit({"a": store.read("a").union(store.read("b"))}, 1) == 2
     assert {n: t.count() for n, t in store.tables().items()} == {"a": 3, "b": 2}
     assert store.read("a", version=1).count() == 1
 
 
 def test_of_two_writers_one_fails(spark, tmp_path):
+    store, other = (VersionedTables(spark, f"{tmp_path}/store") for _ in range(2))
+    store.commit({"a": spark.range(1)}, 0)
+    base = store.version()
+    ours, theirs = store.read("a"), other.read("a")
+    assert store.commit({"a": ours.union(spark.range(5, 6))}, base) == 2
+    with pytest.raises(StaleVersion):
+        other.commit({"a": theirs.union(spark.range(7, 8))}, base)
+    assert {r.id for r in store.read("a").collect()} == {0, 5} and store.read("a", 1).count() == 1
+    with pytest.raises(StaleVersion):
+        store.commit({"a": spark.range(1)}, 0)
+
+
+def test_a_taken_number_fails_and_half_a_manifest_is_not_seen(spark, tmp_path):
     store = VersionedTables(spark, f"{tmp_path}/store")
-    store.commit({"a": spark.range(1)})
-    write_text_once(spark, store._manifest(2), json.dumps(store._folders()))
-    with pytest.raises(Exception, match="(?i)exist"):
-        write_text_once(spark, store._manifest(2), "{}")
-    assert store.read("a").count() == 1
+    store.commit({"a": spark.range(1)}, 0)
+    # a writer that died before renaming its manifest
+    (tmp_path / "store" / "manifests" / "00000002.json.dead.tmp").write_text("{")
+    assert store.version() == 1 and store.read("a").count() == 1
+    assert write_text_once(spark, store._manifest(2), json.dumps(store._folders()))
+    assert not write_text_once(spark, store._manifest(2), "{}")
+    assert store.version() == 2 and store.read("a").count() == 1
+    assert len(list((tmp_path / "store" / "manifests").glob("*.tmp"))) == 1
 
 
 def test_repeated_commits_count_up(spark, tmp_path):
     store = VersionedTables(spark, f"{tmp_path}/store")
     row = lambda i: spark.createDataFrame([(i,)], "id int")
-    store.commit({"stress": row(0)})
+    store.commit({"stress": row(0)}, 0)
     for i in range(1, 6):
-        store.commit({"stress": store.read("stress").union(row(i))})
+        store.commit({"stress": store.read("stress").union(row(i))}, i)
         assert store.read("stress").count() == i + 1
 
 

@@ -527,9 +527,9 @@ def _(t):
 def _(t):
     """A change of two tables through versioned storage: both versions become visible at once."""
     store = VersionedTables(t.spark, scratch_folder(t.spark, "store", local=True))
-    store.commit({"papers": t.papers, "iterations": t.iterations})
+    base = store.commit({"papers": t.papers, "iterations": t.iterations}, base=0)
     papers, rounds, _ = changes.revise(store.read("papers"), store.read("iterations"), _ids(t), AS_OF)
-    store.commit({"papers": papers, "iterations": rounds})
+    store.commit({"papers": papers, "iterations": rounds}, base)
     counts = store.read("iterations").groupBy("paper_id").agg(F.count("*").alias("n_rounds"))
     return store.read("papers").select("paper_id", "status").join(counts, "paper_id", "left")
 

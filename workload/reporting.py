@@ -64,13 +64,19 @@ _HELD = """
 
 
 @query("workload", f"""
-    SELECT r.name, r.email, COUNT(h.paper_id) AS current_workload, CAST(0 AS INT) AS part,
-        COALESCE(string_agg(h.paper_id || ' (R' || h.round || ')', ', ' ORDER BY h.paper_id, h.round), '') AS papers
+    SELECT r.name, r.email, COUNT(h.paper_id) AS current_workload
     FROM replicators r LEFT JOIN ({_HELD}) h ON h.email = r.email GROUP BY r.name, r.email""")
 def _(t):
     return reports.workload(t.iterations, t.papers, t.replicators)
 
 
+@query("workload_items", f"""
+    SELECT email, paper_id, round, paper_id || ' (R' || round || ')' AS item
+    FROM ({_HELD}) h WHERE email IS NOT NULL""")
+def _(t):
+    return reports.workload_items(t.iterations, t.papers)
+
+
 @query("time_in_status", """
     SELECT d.status, AVG(a.days_in_status) AS avg_days, MIN(a.days_in_status) AS min_days,
         MAX(a.days_in_status) AS max_days, COUNT(a.paper_id) AS papers_count
@@ -108,12 +114,9 @@ def _(t):
     return doubles(summary(t), "hours", "pay_EUR", "pay_USD")
 
 
-@query("case_lists", f"""
-    SELECT replicator, quarter, COUNT(*) AS n_items, CAST(0 AS INT) AS part, CAST(1 AS INT) AS n_parts,
-        string_agg(case_id, ', ' ORDER BY case_id) AS items
-    FROM ({_PAID}) w GROUP BY replicator, quarter""")
+@query("case_lists", f"SELECT replicator, quarter, case_id FROM ({_PAID}) w")
 def _(t):
-    return reports.case_lists(reports.hours_worked(t.iterations))
+    return reports.case_lists(reports.hours_worked(t.iterations)).drop("slot")
 
 
 @query("hours_summary_strict", f"""
@@ -150,7 +153,7 @@ def _(t):
         TRY_CAST(split_part(r.invoice, '-', 2) AS INT) + 1 AS next_invoice
     FROM (SELECT CASE replicator WHEN 'repl3@example.org' THEN 'repl4@example.org' ELSE replicator END AS email,
               COUNT(*) AS num_jobs, SUM(hours) AS hours
-          FROM ({_PAID}) p WHERE quarter = '1998-Q3' GROUP BY replicator) w
+          FROM ({_PAID}) p WHERE quarter = '1998-Q3' GROUP BY 1) w
     LEFT JOIN replicators r ON r.email = w.email""")
 def _(t):
     rows = reports.invoices(reports.hours_worked(t.iterations), t.replicators, "1998-Q3",
