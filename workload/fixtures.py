@@ -160,15 +160,15 @@ VIEWS: dict[str, str] = {
     "packages": """
         SELECT CONCAT('org/repo-', l_orderkey) AS gh_org_repo, round
         FROM it WHERE l_quantity > 25""",
-    # titles are first lines; the data set's has its words on "t" changed, so scores vary
+    # titles are whole texts; the data set's has its words on "t" changed, so scores vary
     "articles": """
-        SELECT CONCAT('10.9000/', doc_id) AS doi, split_part(text, {nl}, 1) AS title, source,
+        SELECT CONCAT('10.9000/', doc_id) AS doi, text AS title, source,
             doc_id AS article_index
         FROM documents""",
     "datasets": """
         SELECT CONCAT('doi:10.7910/', doc_id) AS global_id,
             CONCAT('Replication Data for: "',
-                   regexp_replace(split_part(text, {nl}, 1), '(^|[ ])[tT]', ' x'{all}), '"') AS name,
+                   regexp_replace(text, '(^|[ ])[tT]', ' x'{all}), '"') AS name,
             CONCAT(source, ', Ada') AS author,
             CASE WHEN n_chars % 10 = 0
                  THEN CONCAT('Ada (2020), https://doi.org/10.1086/', doc_id, ').') END AS citation,
