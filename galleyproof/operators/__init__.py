@@ -1,6 +1,6 @@
 from .aggregates import (
     all_missing, count_where, duplicate_keys, largest_files, last_modified, package_sizes,
-    table_stats,
+    non_empty_tables, table_stats,
 )
 from .filters import (
     availability, available, by_status, by_surname, columns, de_waiting, delete_where, dropna,
@@ -21,7 +21,7 @@ __all__ = [
     "carry_replicators", "columns", "count_where", "current_rounds", "de_waiting", "delete_where",
     "distinct_on", "dropna", "duplicate_keys", "exists_rows", "expired_snapshots",
     "insert_by_name", "iteration", "largest_files", "last_modified", "latest_by",
-    "latest_iteration", "latest_snapshot", "missing_ids", "new_rows", "package_sizes", "paper",
+    "latest_iteration", "latest_snapshot", "missing_ids", "non_empty_tables", "new_rows", "package_sizes", "paper",
     "polish_names", "published_packages", "recent_datasets", "reminders", "rename_select",
     "reports_to_process", "rounds", "select_matching", "split_join", "table_stats", "two_slots",
     "unprocessed", "update_from_latest", "update_from_round", "update_where", "waiting_rounds",

@@ -71,3 +71,12 @@ def table_stats(tables: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def non_empty_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Whether each table has a row; at most one row of each reaches the count."""
+    probes = [
+        df.limit(1).agg((F.count("*") > 0).alias("non_empty")).select(F.lit(name).alias("table_name"), "non_empty")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, probes)

@@ -9,19 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import expired_snapshots, insert_by_name, split_join
-from ..sources.files import delete_folder, list_folders
+from ..sources.files import delete_folder, list_files, list_folders, write_text_once
 
 FOLDER = "snapshot_ts="
+COMPLETE = "complete.txt"
 
 
 def snapshot(tables: Mapping[str, DataFrame], path: str, ts: str, keep: int = 10) -> list[str]:
     """Write every table under ``path/snapshot_ts=<ts>``, then drop all but the newest ``keep``.
 
-    ``ts`` sorts as text, as in ``2024-05-31_18-00-00``. Returns the dropped snapshots' paths.
+    ``ts`` sorts as text, as in ``2024-05-31_18-00-00``. A marker is written last: a snapshot that
+    was cut short has none, isn't listed and doesn't count for ``keep``. Returns the dropped
+    snapshots' paths.
     """
     spark = next(iter(tables.values())).sparkSession
+    folder = f"{path}/{FOLDER}{ts}"
+    delete_folder(spark, f"{folder}/{COMPLETE}")  # of an earlier write under the same time
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{FOLDER}{ts}/{name}")
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    write_text_once(spark, f"{folder}/{COMPLETE}", " ".join(sorted(tables)))
     gone = [row.path for row in expired_snapshots(snapshots(spark, path), keep).toLocalIterator()]
     for folder in gone:
         delete_folder(spark, folder)
@@ -29,10 +35,11 @@ def snapshot(tables: Mapping[str, DataFrame], path: str, ts: str, keep: int = 10
 
 
 def snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """The snapshots under a path as (path, snapshot_ts, kind); kind is the table."""
+    """The complete snapshots under a path as (path, snapshot_ts)."""
     rows = [
         (folder, folder.rsplit(FOLDER, 1)[1])
-        for folder in list_folders(spark, path) if FOLDER in folder
+        for folder in list_folders(spark, path)
+        if FOLDER in folder and any(f.endswith(f"/{COMPLETE}") for f in list_files(spark, folder))
     ]
     return spark.createDataFrame(rows, "path string, snapshot_ts string")
 

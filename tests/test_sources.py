@@ -106,6 +106,14 @@ def test_snapshots_keep_the_newest(spark, tmp_path):
     assert list(tables) == ["papers"] and tables["papers"].count() == 4
 
 
+def test_a_snapshot_cut_short_is_not_listed(spark, tmp_path):
+    base = f"{tmp_path}/snaps"
+    snapshots.snapshot({"papers": spark.range(3)}, base, "2024-01-01", keep=2)
+    spark.range(9).write.parquet(f"{base}/snapshot_ts=2024-01-02/papers")
+    assert [r.snapshot_ts for r in snapshots.snapshots(spark, base).collect()] == ["2024-01-01"]
+    assert snapshots.snapshot({"papers": spark.range(4)}, base, "2024-01-03", keep=2) == []
+
+
 def test_scratch_uses_the_shared_folder(tmp_path):
     class Cluster:
         conf = {"spark.checkpoint.dir": f"{tmp_path}/"}

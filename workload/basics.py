@@ -9,7 +9,7 @@ from galleyproof import schemas
 from galleyproof.plans import quality
 from galleyproof.session import scratch_folder
 from galleyproof.sources import (
-    append_csv, drop_column, export_csv, non_empty, read_snapshot, replace_table, table,
+    append_csv, drop_column, export_csv, read_snapshot, replace_table, table,
 )
 
 from .fixtures import AS_OF
@@ -111,9 +111,7 @@ def _(t):
     SELECT 'papers' AS table_name, COUNT(*) > 0 AS non_empty FROM papers
     UNION ALL SELECT 'unknown_state', COUNT(*) > 0 FROM papers WHERE status = 'none'""")
 def _(t):
-    found = [("papers", non_empty(t.papers)),
-             ("unknown_state", non_empty(t.papers.filter("status = 'none'")))]
-    return t.spark.createDataFrame(found, "table_name string, non_empty boolean")
+    return ops.non_empty_tables({"papers": t.papers, "unknown_state": t.papers.filter("status = 'none'")})
 
 
 @query("table_stats", """

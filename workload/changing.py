@@ -512,10 +512,10 @@ def _(t):
 @query("purge_tests", """
     SELECT 'papers' AS source, paper_id FROM papers WHERE comments IS NULL OR comments <> '[TEST]' UNION ALL
     SELECT 'iterations', paper_id FROM iterations WHERE comments IS NULL OR comments <> '[TEST]' UNION ALL
-    SELECT 'form_arrivals', paper_id FROM form_arrivals WHERE comments IS NULL OR comments <> '[TEST]'""")
+    SELECT 'form_arrivals', paper_id FROM form_arrivals WHERE comments IS NULL OR comments <> '[TEST]' UNION ALL
+    SELECT 'reports', paper_id FROM reports WHERE comments IS NULL OR comments <> '[TEST]'""")
 def _(t):
-    kept, _ = changes.purge_tests({n: d for n, d in _four(t).items() if n != "reports"})
-    return _stacked(kept)
+    return _stacked(changes.purge_tests(_four(t))[0])
 
 
 @query("commit_change", f"""
@@ -640,48 +640,69 @@ def _(t):
     return quality.snapshot_lag(live, snap).select("state", "hours")
 
 
+_NAMES = ("papers", "iterations", "form_arrivals", "reports")
+_EVERY_ROW = " UNION ALL ".join(f"SELECT '{n}' AS source, paper_id FROM {n}" for n in _NAMES)
+
+
 def _thinned(t):
-    """Live tables that lost the papers waiting for a decision; the snapshot still has them."""
-    live = t.papers.filter("status <> 'replicator_back_de'").select("paper_id", "status", "round")
-    rounds = t.iterations.select("round", "paper_id", "decision_de")
-    return {"papers": live, "iterations": rounds}, {
-        "papers": t.papers.select("round", "paper_id", "status"), "iterations": rounds}
+    """Live tables that lost the papers waiting for a decision, except for their reports; the
+    snapshot still has them, with its columns in another order."""
+    gone = t.papers.filter("status = 'replicator_back_de'").select("paper_id")
+    live = {n: df if n == "reports" else df.join(gone, "paper_id", "left_anti").select(df.columns)
+            for n, df in _four(t).items()}
+    return live, {n: df.select(*reversed(df.columns)) for n, df in _four(t).items()}
+
+
+_GONE = "SELECT paper_id FROM papers WHERE status = 'replicator_back_de'"
 
 
 @query("restore", f"""
-    SELECT paper_id, status, round FROM papers WHERE status <> 'replicator_back_de' OR paper_id IN ({_IDS})""")
+    SELECT * FROM ({_EVERY_ROW}) r
+    WHERE source = 'reports' OR paper_id NOT IN ({_GONE}) OR paper_id IN ({_IDS})""")
+def _(t):
+    live, snap = _thinned(t)
+    return _stacked(snapshots.restore(live, snap, _ids(t))[0])
+
+
+@query("restore_papers", f"""
+    SELECT paper_id, status, round, journal, paper_slug, first_arrival_date, date_published, comments FROM papers
+    WHERE status <> 'replicator_back_de' OR paper_id IN ({_IDS})""")
 def _(t):
     live, snap = _thinned(t)
-    return snapshots.restore(live, snap, _ids(t))[0]["papers"]
+    return snapshots.restore(live, snap, _ids(t))[0]["papers"].select(
+        "paper_id", "status", "round", "journal", "paper_slug", "first_arrival_date", "date_published", "comments")
+
+
+def _restore_log(name):
+    present = "FALSE" if name != "reports" else "TRUE"
+    return f"""
+        SELECT '{name}' AS "table", q.paper_id, CASE WHEN n > 0 AND gone AND NOT {present} THEN 'restored' ELSE 'skip' END
+            AS action, CAST(n AS BIGINT) AS rows, CASE WHEN n = 0 THEN 'paper_id not found in snapshot'
+            WHEN gone AND NOT {present} THEN 'inserted from snapshot' ELSE 'paper_id already present in live table' END AS detail
+        FROM (SELECT i.paper_id, i.paper_id IN ({_GONE}) AS gone, COUNT(x.paper_id) AS n
+              FROM ({_IDS}) i LEFT JOIN {name} x ON x.paper_id = i.paper_id GROUP BY i.paper_id) q"""
 
 
-@query("restore_log", f"""
-    SELECT 'papers' AS "table", paper_id, CASE WHEN status = 'replicator_back_de' THEN 'restored' ELSE 'skip' END AS action,
-        CAST(1 AS BIGINT) AS rows, CASE WHEN status = 'replicator_back_de' THEN 'inserted from snapshot'
-        ELSE 'paper_id already present in live table' END AS detail
-    FROM papers WHERE paper_id IN ({_IDS}) UNION ALL
-    SELECT 'iterations', q.paper_id, 'skip', COUNT(i.paper_id), CASE WHEN COUNT(i.paper_id) = 0
-        THEN 'paper_id not found in snapshot' ELSE 'paper_id already present in live table' END
-    FROM ({_IDS}) q LEFT JOIN iterations i ON i.paper_id = q.paper_id GROUP BY q.paper_id""")
+@query("restore_log", " UNION ALL ".join(_restore_log(n) for n in _NAMES))
 def _(t):
     live, snap = _thinned(t)
     return snapshots.restore(live, snap, _ids(t))[1]
 
 
-@query("refill", "SELECT paper_id, status FROM papers")
+@query("refill", _EVERY_ROW)
 def _(t):
-    rows = t.papers.select("paper_id", "status")
-    tables, _ = snapshots.refill({"papers": rows.filter("status = 'none'")}, {"papers": rows})
-    return tables["papers"]
+    full = _four(t)
+    live = {n: df.filter("paper_id = 'none'") if n in ("papers", "reports") else df for n, df in full.items()}
+    return _stacked(snapshots.refill(live | {"iterations": None}, full)[0])
 
 
-@query("snapshot", "SELECT paper_id, status FROM papers")
+@query("snapshot", _EVERY_ROW)
 def _(t):
     folder = scratch_folder(t.spark, "snapshots", local=True)
     for day in range(1, 4):
-        snapshots.snapshot({"papers": t.papers.select("paper_id", "status")}, folder, f"2002-01-0{day}", keep=2)
+        snapshots.snapshot(_four(t), folder, f"2002-01-0{day}", keep=2)
     newest = snapshots.snapshots(t.spark, folder).orderBy(F.desc("snapshot_ts")).first().path
-    return snapshots.read_tables(t.spark, newest, ["papers"])["papers"]
+    return _stacked(snapshots.read_tables(t.spark, newest, list(_NAMES)))
 
 
 # ---- streams ---------------------------------------------------------------------------------
