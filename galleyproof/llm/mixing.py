@@ -24,6 +24,8 @@ FEATURES = 4096
 SMOOTHING = 0.5
 #: A word must occur in so many labelled rows.
 LEAST_ROWS = 3
+#: And must tell domains apart by so much, which chance hardly does for any of a million words.
+LEAST_SCORE = 20.0
 ROUNDS = 40
 #: Largest miss of a domain's target, as a share of all target tokens, that ends the fit.
 CLOSE = 1e-4
@@ -71,8 +73,10 @@ def labelled(docs: DataFrame, labels: DataFrame, domains: tuple[Domain, ...], ro
 def classifier(sample: DataFrame, domains: tuple[Domain, ...], folder: str, features: int = FEATURES) -> tuple[DataFrame, list[float]]:
     """Words with their log-odds for each domain, and the domains' log prior chances.
 
-    A word is chosen by how far its rows per domain are from independence (chi-squared). Its
-    log-odds compare its share of a domain's rows with its share of all sample rows.
+    A word is chosen by how far its rows per domain are from independence (chi-squared, with one
+    added to the expected counts, and at least ``LEAST_SCORE``: rare words reach that only if they
+    stay with one domain). Its log-odds compare its share of a domain's rows with its share of all
+    sample rows.
     """
     totals = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     n = sum(totals.values())
@@ -88,10 +92,10 @@ def classifier(sample: DataFrame, domains: tuple[Domain, ...], folder: str, feat
     every = F.col("rows") / max(n, 1)
     expected = [every * s for s in size]
     chi = sum(
-        ((F.col(f"n{k}") - e) ** 2 / F.greatest(e, F.lit(1e-9)) for k, e in enumerate(expected) if size[k]),
+        ((F.col(f"n{k}") - e) ** 2 / (e + 1) for k, e in enumerate(expected) if size[k]),
         F.lit(0.0))
     odds = [F.log(share(k) / every).alias(f"w{k}") for k in range(len(domains))]
-    chosen = per_word.withColumn("chi", chi).orderBy(F.desc("chi"), "word").limit(features)
+    chosen = per_word.withColumn("chi", chi).filter(F.col("chi") >= LEAST_SCORE).orderBy(F.desc("chi"), "word").limit(features)
     return written(chosen.select("word", *odds), f"{folder}/features"), prior
 
 
@@ -124,17 +128,21 @@ def fit_rates(chances: DataFrame, weights: list[float], tokens: float | None, ro
     domain's expected tokens are the sum of r n p and its mass that of n p. Starting from r = 1,
     each step moves every rate against its gradient per token and cuts it off at 0; a step is one
     aggregate over the narrow table, and only the domains' sums reach the driver. ``tokens`` is the
-    total to aim at; by default the largest that asks no domain for more than it has.
+    total to aim at. By default the domain with the largest weight keeps its mass, the others are
+    brought to their weights beside it, and one that has less than its share keeps what it has.
     """
     n = len(weights)
     share = [w / sum(weights) for w in weights]
     expected = [f"p{k} * n_tokens" for k in range(n)]
     first = chances.agg(*[F.sum(F.expr(e)).alias(f"m{k}") for k, e in enumerate(expected)]).first()
     mass = [first[f"m{k}"] or 0.0 for k in range(n)]
-    total = tokens
-    if total is None:
-        total = min((m / s for m, s in zip(mass, share, strict=True) if s > 0 and m > 0), default=0.0)
-    target = [s * total for s in share]
+    if tokens is None:
+        lead = share.index(max(share))
+        total = mass[lead] / share[lead]
+        target = [min(s * total, m) for s, m in zip(share, mass, strict=True)]
+    else:
+        total = tokens
+        target = [s * total for s in share]
     steps: list[list[float]] = []
     have = mass
     for _ in range(rounds):

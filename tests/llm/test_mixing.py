@@ -28,11 +28,13 @@ def marked(spark, tmp_path_factory):
 
 def brute_rates(n, p, weights, total, rounds=mixing.ROUNDS):
     mass = n @ p
-    target = np.array(weights) / sum(weights) * (total or min(mass / (np.array(weights) / sum(weights))))
+    share = np.array(weights) / sum(weights)
+    lead = share.argmax()
+    target = share * total if total else np.minimum(share * mass[lead] / share[lead], mass)
     r = np.ones(len(n))
     for _ in range(rounds):
         miss = (r * n) @ p - target
-        if np.abs(miss).max() <= mixing.CLOSE * target.sum():
+        if np.abs(miss).max() <= mixing.CLOSE * (total or mass[lead] / share[lead]):
             break
         r = np.maximum(0, r - p @ (miss / mass))
     return r
@@ -41,14 +43,15 @@ def brute_rates(n, p, weights, total, rounds=mixing.ROUNDS):
 @pytest.mark.parametrize("total", [None, 9000.0])
 def test_rates_equal_brute_force_and_meet_targets(marked, total):
     docs, labels = marked
-    found = mixing.mix(docs, labels, DOMAINS, total).toPandas()
+    half = (DOMAINS[0], Domain("b", "quality = 0", 0.05)) if total is None else DOMAINS
+    found = mixing.mix(docs, labels, half, total).toPandas()
     assert len(found) == docs.count()
     p, n = found[["p_a", "p_b"]].to_numpy(), found["n_tokens"].to_numpy()
     assert np.allclose(p.sum(axis=1), 1)
-    want = brute_rates(n, p, [0.5, 0.5], total)
+    want = brute_rates(n, p, [d.weight for d in half], total)
     assert np.allclose(found["rate"], want) and (found["rate"] >= 0).all()
     have = (found["rate"].to_numpy() * n) @ p
-    assert abs(have[0] - have[1]) < 0.01 * have.sum()
+    assert abs(have[0] * half[1].weight - have[1] * half[0].weight) < 0.01 * have.sum()
     assert (abs(found["copies"] - found["rate"]) < 1).all()
     known = found[found["doc_id"].between(0, 399)]
     assert ((known["p_b"] > 0.5) == (known["doc_id"] % 5 == 0)).mean() > 0.98
@@ -75,3 +78,12 @@ def test_stage_is_native_and_keeps_columns(marked):
 def test_empty(empty, marked):
     assert mixing.mix(empty, marked[1], DOMAINS).count() == 0
     assert mixing.resample(empty, marked[1]).count() == 0
+
+
+def test_a_scarce_domain_takes_nothing_from_the_others(spark):
+    rows = [(i, "alpha arrow amber the of") for i in range(300)] + [(300 + i, "beta brook basil the of") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 300), 0, 0.0, "") for i, _ in rows], LABELS)
+    weights = (Domain("a", "quality = 1", 0.6), Domain("b", "quality = 0", 0.4))
+    found = mixing.mix(docs, labels, weights).toPandas()
+    assert found["rate"].between(0.98, 1.02).all() and len(found) == 303
