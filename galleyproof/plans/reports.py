@@ -14,7 +14,7 @@ from ..functions import (
 )
 from ..operators import (
     assigned_rounds, by_status, current_rounds, latest_iteration, reminders,
-    select_matching, two_slots, without_tests,
+    select_matching, split_join, two_slots, without_tests,
 )
 from ..schemas import DONE_STATUSES, HOURS, STATUS_ROWS, status_dim, status_rank
 
@@ -335,8 +335,11 @@ def arrivals_check(
         *[F.sum(F.when(F.col("kind") == k, F.col("file_count"))).alias(f"_{k}")
           for k in ("package", "paper")]
     )
-    latest = current_rounds(iterations.select(*ROUND, "journal", "paper_slug"))
     waiting = by_status(papers, "with_author", "new_arrival").select("status", "paper_id")
+    # rounds of waiting papers only are ranked
+    asked = split_join(iterations.select(*ROUND, "journal", "paper_slug"),
+                       waiting.select("paper_id").distinct(), ["paper_id"], "left_semi")
+    latest = current_rounds(asked)
     check = waiting.join(latest, "paper_id").join(came, "paper_id", "left").select(
         "journal", *ROUND, "paper_slug", "status",
         *[F.coalesce(F.col(f"_{k}") > 0, F.lit(False)).alias(f"{k}_arrived")

@@ -124,8 +124,8 @@ def _(t):
 
 
 @query("published_packages", """
-    SELECT source AS name, CONCAT('doi:10.7910/', doc_id) AS doi, n_chars / 100.0 AS "sizeMB"
-    FROM documents WHERE n_chars % 3 = 0""")
+    SELECT source AS name, CONCAT('doi:10.7910/', page_id) AS doi, n_chars / 100.0 AS "sizeMB"
+    FROM titled WHERE n_chars % 3 = 0""")
 def _(t):
     return ops.published_packages(catalogue(t))
 

@@ -160,23 +160,27 @@ VIEWS: dict[str, str] = {
     "packages": """
         SELECT CONCAT('org/repo-', l_orderkey) AS gh_org_repo, round
         FROM it WHERE l_quantity > 25""",
-    # titles are whole texts; the data set's has its words on "t" changed, so scores vary
+    # pages as articles and data sets: the title element is the title and the host the surname;
+    # the data set's title has its words on "t" changed, so scores vary
+    "titled": """
+        SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+            split_part(regexp_replace(url, '^https?://', ''), '/', 1) AS source,
+            CAST(length(html) AS BIGINT) AS n_chars
+        FROM pages""",
     "articles": """
-        SELECT CONCAT('10.9000/', doc_id) AS doi, text AS title, source,
-            doc_id AS article_index
-        FROM documents""",
+        SELECT CONCAT('10.9000/', page_id) AS doi, title, source, page_id AS article_index
+        FROM titled""",
     "datasets": """
-        SELECT CONCAT('doi:10.7910/', doc_id) AS global_id,
-            CONCAT('Replication Data for: "',
-                   regexp_replace(text, '(^|[ ])[tT]', ' x'{all}), '"') AS name,
+        SELECT CONCAT('doi:10.7910/', page_id) AS global_id,
+            CONCAT('Replication Data for: "', regexp_replace(title, '(^|[ ])[tT]', ' x'{all}), '"') AS name,
             CONCAT(source, ', Ada') AS author,
             CASE WHEN n_chars % 10 = 0
-                 THEN CONCAT('Ada (2020), https://doi.org/10.1086/', doc_id, ').') END AS citation,
+                 THEN CONCAT('Ada (2020), https://doi.org/10.1086/', page_id, ').') END AS citation,
             CASE WHEN n_chars % 3 = 0 THEN 'Published' ELSE 'Draft' END AS state,
             CASE WHEN n_chars % 7 > 0 THEN CONCAT('2001-', CASE WHEN n_chars % 2 = 0 THEN '12' ELSE '10' END,
                  '-15T08:30:00Z') ELSE 'unknown' END AS updated,
-            n_chars / 100.0 AS size_mb, n_chars, doc_id
-        FROM documents""",
+            n_chars / 100.0 AS size_mb, n_chars, page_id AS doc_id
+        FROM titled""",
     "manifest": """
         SELECT regexp_replace(url, '^https?://', '') AS path,
             split_part(regexp_replace(url, '^https?://', ''), '/', 1) AS package,

@@ -14,10 +14,8 @@ from .registry import query
 
 
 @query("read_datasets", """
-    SELECT CONCAT('doi:10.7910/', doc_id) AS global_id, CAST(len(string_split(text, chr(10))) AS INT) AS n_files,
-        CONCAT(source, ', Ada') AS first_author, CASE WHEN n_chars % 10 = 0 THEN
-            CONCAT('Ada (2020), https://doi.org/10.1086/', doc_id, ').') END AS citation
-    FROM documents""")
+    SELECT d.global_id, CAST(len(string_split(x.text, chr(10))) AS INT) AS n_files, d.author AS first_author, d.citation
+    FROM datasets d JOIN documents x ON x.doc_id = d.doc_id""")
 def _(t):
     folder = scratch_folder(t.spark, "json", local=True)
     records = catalogue(t).drop("n_chars", "doc_id").join(dataset_json(t), "global_id")
