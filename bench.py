@@ -32,7 +32,8 @@ HEADLINE = [
     "latest_iteration", "update_from_latest", "carry_replicators", "reports_to_process", "new_rows",
     "clean_arrivals", "append_new", "merge_reports", "transition", "accept_rounds", "revise_rounds",
     "assign_rounds", "mark_arrived", "publish", "validate", "repair", "duplicate_keys", "restore",
-    "reconcile", "link_articles",
+    "reconcile", "link_articles", "workload_items", "latest_long", "two_slots", "requests_long",
+    "purge", "restore_log", "metrics", "transition_conflicts", "ingest_forms",
 ]
 
 
