@@ -29,6 +29,8 @@ LEAST_SCORE = 20.0
 ROUNDS = 40
 #: Largest miss of a domain's target, as a share of all target tokens, that ends the fit.
 CLOSE = 1e-4
+#: Most copies of a document that the registered query and the pipeline make for a scarce domain.
+MOST_COPIES = 8.0
 
 
 @dataclass(frozen=True)
@@ -121,7 +123,9 @@ def posteriors(docs: DataFrame, words: DataFrame, prior: list[float]) -> DataFra
         *[(F.exp(F.col(f"s{k}") - top) / total).alias(f"p{k}") for k in range(n)])
 
 
-def fit_rates(chances: DataFrame, weights: list[float], tokens: float | None, rounds: int = ROUNDS) -> Column:
+def fit_rates(
+    chances: DataFrame, weights: list[float], tokens: float | None, rounds: int = ROUNDS, most: float | None = None,
+) -> Column:
     """The rate of every row as an expression over ``n_tokens, p0 .. pk``.
 
     Rates r >= 0 minimise the sum over domains of (expected tokens - target)^2 / mass, where a
@@ -129,7 +133,9 @@ def fit_rates(chances: DataFrame, weights: list[float], tokens: float | None, ro
     each step moves every rate against its gradient per token and cuts it off at 0; a step is one
     aggregate over the narrow table, and only the domains' sums reach the driver. ``tokens`` is the
     total to aim at. By default the domain with the largest weight keeps its mass, the others are
-    brought to their weights beside it, and one that has less than its share keeps what it has.
+    brought to their weights beside it, and one that has less than its share keeps what it has. With
+    ``most`` the targets stay as given: rates lie in [0, most], so a scarce domain's documents are
+    repeated, and ``reached`` tells how far its weight is met.
     """
     n = len(weights)
     share = [w / sum(weights) for w in weights]
@@ -139,7 +145,7 @@ def fit_rates(chances: DataFrame, weights: list[float], tokens: float | None, ro
     if tokens is None:
         lead = share.index(max(share))
         total = mass[lead] / share[lead]
-        target = [min(s * total, m) for s, m in zip(share, mass, strict=True)]
+        target = [s * total if most else min(s * total, m) for s, m in zip(share, mass, strict=True)]
     else:
         total = tokens
         target = [s * total for s in share]
@@ -152,30 +158,32 @@ def fit_rates(chances: DataFrame, weights: list[float], tokens: float | None, ro
             break
         # in this scaling the largest eigenvalue of the problem is at most 1, so a unit step descends
         steps.append([m / b if b > 0 else 0.0 for m, b in zip(miss, mass, strict=True)])
-        now = chances.withColumn("rate", _stepped(steps)).agg(
+        now = chances.withColumn("rate", _stepped(steps, most)).agg(
             *[F.sum(F.expr(f"rate * {e}")).alias(f"m{k}") for k, e in enumerate(expected)]).first()
         have = [now[f"m{k}"] or 0.0 for k in range(n)]
-    return _stepped(steps)
+    return _stepped(steps, most)
 
 
-def _stepped(steps: list[list[float]]) -> Column:
-    """The rate after these steps from 1, each cut off at 0."""
+def _stepped(steps: list[list[float]], most: float | None = None) -> Column:
+    """The rate after these steps from 1, each cut off at 0 and at ``most``."""
     if not steps:
         return F.lit(1.0)
     rows = F.array(*[F.array(*[F.lit(x) for x in step]) for step in steps])
     slope = lambda s: sum((F.col(f"p{k}") * s[k] for k in range(len(steps[0]))), F.lit(0.0))
-    return F.aggregate(rows, F.lit(1.0), lambda r, s: F.greatest(F.lit(0.0), r - slope(s)))
+    within = lambda r: F.greatest(F.lit(0.0), r) if most is None else F.greatest(F.lit(0.0), F.least(F.lit(float(most)), r))
+    return F.aggregate(rows, F.lit(1.0), lambda r, s: within(r - slope(s)))
 
 
 def mix(
     docs: DataFrame, labels: DataFrame, domains: tuple[Domain, ...] = DOMAINS, tokens: float | None = None,
-    sample_rows: int = SAMPLE_ROWS, folder: str | None = None,
+    sample_rows: int = SAMPLE_ROWS, folder: str | None = None, most: float | None = None,
 ) -> DataFrame:
     """One row per row of ``docs(doc_id, text, ...)``: its domains' chances, rate and copies.
 
     Columns: doc_id, place (``__file``, ``__row``), n_tokens (words), ``p_<domain>``, rate, copies.
     ``copies`` is the rate rounded up or down by a hash of the row's place and doc_id, with the
     fraction as the chance of up, so copies meet the targets in expectation and every run agrees.
+    ``most`` is the greatest repetition; without it no scarce domain is raised by default.
 
     A null text is empty: no tokens, the domains' prior chances, and a rate that the targets don't
     depend on. A null doc_id keeps its row. Repeated rows are rows of their own. Without labelled
@@ -188,7 +196,7 @@ def mix(
     sample = written(labelled(docs, labels, domains, sample_rows), f"{folder}/sample")
     words, prior = classifier(sample, domains, folder)
     chances = written(posteriors(docs, words, prior), f"{folder}/chances")
-    rate = fit_rates(chances, [d.weight for d in domains], tokens)
+    rate = fit_rates(chances, [d.weight for d in domains], tokens, most=most)
     draw = F.pmod(F.xxhash64("doc_id", "n_tokens", *LOCATOR), F.lit(1 << 30)) / float(1 << 30)
     rated = chances.withColumn("rate", rate)
     return rated.select(
@@ -196,11 +204,29 @@ def mix(
         "rate", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).alias("copies"))
 
 
-def resample(docs: DataFrame, labels: DataFrame, domains: tuple[Domain, ...] = DOMAINS, tokens: float | None = None) -> DataFrame:
+def reached(rated: DataFrame, domains: tuple[Domain, ...] = DOMAINS) -> DataFrame:
+    """Per domain of ``mix``'s rows: requested and reached weight, tokens at rate 1 and at the rates, highest rate."""
+    every = sum(d.weight for d in domains)
+    sums = rated.agg(
+        *[F.sum(F.expr(f"p_{d.name} * n_tokens")).alias(f"m{k}") for k, d in enumerate(domains)],
+        *[F.sum(F.expr(f"rate * p_{d.name} * n_tokens")).alias(f"h{k}") for k, d in enumerate(domains)],
+        *[F.max(F.when(F.col(f"p_{d.name}") >= 0.5, F.col("rate"))).alias(f"r{k}") for k, d in enumerate(domains)])
+    total = sum((F.coalesce(f"h{k}", F.lit(0.0)) for k in range(len(domains))), F.lit(0.0))
+    lines = [
+        F.struct(F.lit(d.name).alias("domain"), F.lit(d.weight / every).alias("requested"),
+                 (F.col(f"h{k}") / F.nullif(total, F.lit(0.0))).alias("reached"), F.col(f"m{k}").alias("had_tokens"),
+                 F.col(f"h{k}").alias("expected_tokens"), F.col(f"r{k}").alias("highest_rate"))
+        for k, d in enumerate(domains)]
+    return sums.select(F.explode(F.array(*lines)).alias("d")).select("d.*")
+
+
+def resample(
+    docs: DataFrame, labels: DataFrame, domains: tuple[Domain, ...] = DOMAINS, tokens: float | None = None, most: float | None = None,
+) -> DataFrame:
     """Each row of ``docs`` as often as ``mix`` says; columns stay as they are."""
     folder = work_folder(docs.sparkSession, "mixing")
     rows = located(docs, folder)
-    rated = written(mix(rows, labels, domains, tokens, folder=folder), f"{folder}/rated")
+    rated = written(mix(rows, labels, domains, tokens, folder=folder, most=most), f"{folder}/rated")
     changed = rated.filter("copies <> 1").select(*LOCATOR, F.col("copies").alias("__copies"))
     many = rows.join(changed, LOCATOR, "left").withColumn("__copies", F.coalesce("__copies", F.lit(1).cast("long")))
     every = many.filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))

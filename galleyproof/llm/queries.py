@@ -98,7 +98,8 @@ def op8_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_mixing")
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chances of the labelled domains, rate and copies of every document."""
-    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop(*LOCATOR)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return mixing.mix(docs, labels, most=mixing.MOST_COPIES).drop(*LOCATOR)
 
 
 @query("pipeline")

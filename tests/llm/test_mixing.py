@@ -87,3 +87,29 @@ def test_a_scarce_domain_takes_nothing_from_the_others(spark):
     weights = (Domain("a", "quality = 1", 0.6), Domain("b", "quality = 0", 0.4))
     found = mixing.mix(docs, labels, weights).toPandas()
     assert found["rate"].between(0.98, 1.02).all() and len(found) == 303
+
+
+def test_scarce_domain_is_repeated_up_to_the_bound(spark):
+    rows = [(i, "alpha arrow amber the of") for i in range(300)] + [(300 + i, "beta brook basil the of") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 300), 0, 0.0, "") for i, _ in rows], LABELS)
+    weights = (Domain("a", "quality = 1", 0.6), Domain("b", "quality = 0", 0.4))
+    for most, share in ((8.0, 0.4), (2.0, 120 / 420)):
+        found = mixing.mix(docs, labels, weights, most=most)
+        told = {r.domain: r for r in mixing.reached(found, weights).collect()}
+        assert abs(told["b"].reached - share) < 0.01 and told["b"].requested == 0.4
+        assert found.filter(f"rate > {most}").count() == 0
+    many = mixing.resample(docs, labels, weights, most=8.0).filter("doc_id >= 300").count()
+    assert 180 <= many <= 220
+
+
+def test_registered_query_repeats_a_scarce_domain(spark, tmp_path):
+    from galleyproof.llm import queries
+
+    rows = [(i, "alpha arrow amber the of" if i < 990 else "beta brook basil the of") for i in range(1000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, 1, int(i >= 990), 0.0, "") for i, _ in rows], LABELS)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    rated = queries.QUERIES["op1_mixing"](spark, str(tmp_path))
+    told = {r.domain: r for r in mixing.reached(rated).collect()}
+    assert abs(told["toxic"].expected_tokens / told["clean"].expected_tokens - 2 / 96) < 1e-3
