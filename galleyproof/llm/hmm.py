@@ -29,9 +29,9 @@ STATES = 8
 #: Words that are classes of their own, and classes by ending for the rest.
 TOP_WORDS = 8192
 ENDINGS = 2048
-#: Training windows: no token is left out, only the chain starts anew in each.
+#: Tokens of a segment: how often the forward values of a long text are kept, and samples are cut.
 WINDOW = 256
-WINDOWS_AT_ONCE = 2048
+TEXTS_AT_ONCE = 2048
 START_DOCS = 1500
 START_ROUNDS = 12
 PASSES = 2
@@ -82,42 +82,67 @@ def windows(classes: np.ndarray, lengths: np.ndarray, width: int = WINDOW) -> tu
 
 def expected(chain: Chain, classes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Baum-Welch counts of whole texts: first states, moves, and states x classes."""
+    return counted(chain, classes, lengths)[:3]
+
+
+def counted(chain: Chain, classes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """``expected`` and the natural log likelihood of the texts.
+
+    The recursions run over whole texts. So that a long one needs little memory, the forward one
+    keeps its values where a segment of ``WINDOW`` tokens begins, and repeats a segment from there
+    when the backward one comes to it.
+    """
     states, n_classes = chain.emit.shape
     first_counts, pairs = np.zeros(states), np.zeros((states, states))
-    seen = np.zeros((states, n_classes))
+    seen, total = np.zeros((states, n_classes)), 0.0
     table = np.ascontiguousarray(chain.emit.T)
-    all_first, all_size = windows(classes, lengths)
-    order = np.argsort(-all_size, kind="stable")
-    for at in range(0, len(order), WINDOWS_AT_ONCE):
-        first, size = all_first[order[at:at + WINDOWS_AT_ONCE]], all_size[order[at:at + WINDOWS_AT_ONCE]]
+    starts = np.cumsum(lengths) - lengths
+    order = np.argsort(-lengths, kind="stable")
+    for at in range(0, len(order), TEXTS_AT_ONCE):
+        first, size = starts[order[at:at + TEXTS_AT_ONCE]], lengths[order[at:at + TEXTS_AT_ONCE]]
         steps = int(size[0])
-        active = np.searchsorted(-size, -np.arange(steps), side="left")
-        alpha = np.zeros((steps, len(first), states))
-        emit = np.zeros_like(alpha)
-        scale = np.ones((steps, len(first), 1))
-        for t in range(steps):
-            k = active[t]
-            e = table[classes[first[:k] + t]]
-            a = chain.start * e if t == 0 else (alpha[t - 1, :k] @ chain.move) * e
+        active = np.searchsorted(-size, -np.arange(steps), side="left").tolist()
+
+        def forward(t: int, last: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            k = active[t]  # noqa: B023
+            e = table[classes[first[:k] + t]]  # noqa: B023
+            a = chain.start * e if t == 0 else (last[:k] @ chain.move) * e
             s = a.sum(axis=1, keepdims=True)
-            alpha[t, :k], emit[t, :k], scale[t, :k] = a / s, e, s
+            return a / s, e, s
+
+        before: list[np.ndarray | None] = [None]  # the values just before each segment
+        last = None
+        for t in range((steps - 1) // WINDOW * WINDOW):
+            last = forward(t, last)[0]
+            if (t + 1) % WINDOW == 0:
+                before.append(last)
         beta = np.ones((len(first), states))
-        met, shares = [], []
-        for t in range(steps - 1, -1, -1):
-            k = active[t]
-            gamma = alpha[t, :k] * beta[:k]
-            met.append(classes[first[:k] + t])
-            shares.append(gamma)
-            if t == 0:
-                first_counts += gamma.sum(axis=0)
-            else:
-                right = emit[t, :k] * beta[:k] / scale[t, :k]
-                pairs += chain.move * (alpha[t - 1, :k].T @ right)
-                beta[:k] = right @ chain.move.T
-        met, shares = np.concatenate(met), np.concatenate(shares)
-        for s in range(states):
-            seen[s] += np.bincount(met, shares[:, s], n_classes)
-    return first_counts, pairs, seen
+        for segment in range(len(before) - 1, -1, -1):
+            low, high = segment * WINDOW, min((segment + 1) * WINDOW, steps)
+            values, last = [], before.pop()
+            alphas = [last]
+            for t in range(low, high):
+                last, e, s = forward(t, last)
+                alphas.append(last)
+                values.append((e, s))
+            met, shares = [], []
+            for t in range(high - 1, low - 1, -1):
+                k = active[t]
+                e, s = values[t - low]
+                total += float(np.log(s).sum())
+                gamma = alphas[t - low + 1] * beta[:k]
+                met.append(classes[first[:k] + t])
+                shares.append(gamma)
+                if t == 0:
+                    first_counts += gamma.sum(axis=0)
+                else:
+                    right = e * beta[:k] / s
+                    pairs += chain.move * (alphas[t - low][:k].T @ right)
+                    beta[:k] = right @ chain.move.T
+            met, shares = np.concatenate(met), np.concatenate(shares)
+            for s in range(states):
+                seen[s] += np.bincount(met, shares[:, s], n_classes)
+    return first_counts, pairs, seen, total
 
 
 def likelihood(chain: Chain, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -58,6 +58,34 @@ def test_steps_raise_the_likelihood():
         chain = hmm.Chain.counted(*hmm.expected(chain, classes, lengths))
 
 
+def test_long_texts_are_counted_whole():
+    rng = np.random.default_rng(6)
+    chain, lengths = hmm.Chain.random(12, 3), np.array([700, 2, 256, 257, 513, 1])
+    classes = rng.integers(0, 12, lengths.sum())
+    first, pairs, seen = hmm.expected(chain, classes, lengths)
+    assert np.isclose(first.sum(), len(lengths))  # texts, not windows
+    assert np.isclose(pairs.sum(), (lengths - 1).sum())  # moves across windows too
+    whole_first, whole_pairs, whole_seen = np.zeros(3), np.zeros((3, 3)), np.zeros((3, 12))
+    for at, n in zip(np.cumsum(lengths) - lengths, lengths, strict=True):
+        c = classes[at:at + n]
+        alpha, beta = np.zeros((n, 3)), np.ones((n, 3))
+        for t in range(n):
+            a = (chain.start if t == 0 else alpha[t - 1] @ chain.move) * chain.emit[:, c[t]]
+            alpha[t] = a / a.sum()
+        for t in range(n - 2, -1, -1):
+            b = chain.move @ (chain.emit[:, c[t + 1]] * beta[t + 1])
+            beta[t] = b / b.sum()
+        for t in range(n):
+            g = alpha[t] * beta[t] / (alpha[t] @ beta[t])
+            whole_seen[:, c[t]] += g
+            if t == 0:
+                whole_first += g
+            else:
+                m = alpha[t - 1][:, None] * chain.move * (chain.emit[:, c[t]] * beta[t])
+                whole_pairs += m / m.sum()
+    assert all(np.allclose(a, b) for a, b in zip((first, pairs, seen), (whole_first, whole_pairs, whole_seen), strict=True))
+
+
 def cut(text):
     return ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in
             text.replace("\x0b", " ").replace("\x0c", " ").replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") if w] + [None]
