@@ -34,7 +34,9 @@ WINDOW = 256
 TEXTS_AT_ONCE = 2048
 START_DOCS = 1500
 START_ROUNDS = 12
-PASSES = 2
+START_CHARS = 16384
+#: Steps over the corpus end when one raises the log likelihood by less than this share of it.
+GAIN = 1e-3
 SMOOTHING = 0.1
 #: Added to each expected count before it becomes a chance.
 PRIOR = 0.01
@@ -277,15 +279,17 @@ def class_sizes(words: DataFrame, own: dict[bytes, int]) -> tuple[np.ndarray, np
 
 
 def first_chain(docs: DataFrame, own: dict[bytes, int], folds: int, states: int, start_docs: int) -> Chain:
-    """Starting values from ``start_docs`` training texts, first by a hash of doc_id.
+    """Starting values from ``start_docs`` training texts of any length, first by a hash of doc_id.
 
-    They only break the symmetry between states; the counts of the model come from all texts.
+    They only break the symmetry between states; the counts of the model come from all texts. Of a
+    longer text 16,384 characters from a place by a hash of doc_id stand for it, so that the rows
+    that meet on the driver are bounded.
     """
     rows = docs.select("doc_id", text_of(docs).alias("text")).filter(remainder(folds) != 0)
-    # texts of usual length, so that the rows that meet on the driver are bounded in bytes too
-    usual = rows.filter(F.octet_length("text") <= 16384)
-    picked = usual.filter(hashed_share(start_docs, docs.count())).orderBy(F.xxhash64("doc_id"), "doc_id").limit(start_docs)
-    cut = [tokens(r.text) for r in picked.collect()]
+    size = F.greatest(F.char_length("text") - START_CHARS, F.lit(0)) + 1
+    piece = F.substring("text", F.pmod(F.xxhash64("doc_id", F.lit("place")), size.cast("long")).cast("int") + 1, F.lit(START_CHARS))
+    picked = rows.filter(hashed_share(start_docs, docs.count())).select("doc_id", piece.alias("text"))
+    cut = [tokens(r.text) for r in picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(start_docs).collect()]
     chain = Chain.random(len(own) + ENDINGS, states)
     if cut:
         lengths = np.array([len(c) for c in cut], np.int64)
@@ -299,10 +303,13 @@ def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (np.frombuffer(row["ids"], "<i4"), np.array(row["lengths"], np.int64), np.array(row["held"], bool))
 
 
-def reestimate(blocks: DataFrame, chain: Chain, own: dict[bytes, int]) -> Chain:
-    """One Baum-Welch step: expected counts of every training text, summed over all tasks."""
+def reestimate(blocks: DataFrame, chain: Chain, own: dict[bytes, int]) -> tuple[Chain, float]:
+    """One Baum-Welch step: expected counts of every training text, summed over all tasks.
+
+    Also the log likelihood of these texts under ``chain``, before the step.
+    """
     states, n_classes = chain.emit.shape
-    shape = states + 1 + states  # rows: emissions by state, first states, moves by state
+    shape = states + 1 + states + 1  # rows: emissions by state, first states, moves by state, likelihood
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((shape, max(n_classes, states)))
@@ -310,10 +317,11 @@ def reestimate(blocks: DataFrame, chain: Chain, own: dict[bytes, int]) -> Chain:
             for row in batch.to_pylist():
                 ids, lengths, held = _arrays(row)
                 classes = classes_of(row["words"], own)[ids[np.repeat(~held, lengths)]]
-                first, pairs, seen = expected(chain, classes, lengths[~held])
+                first, pairs, seen, told = counted(chain, classes, lengths[~held])
                 total[:states, :n_classes] += seen
                 total[states, :states] += first
-                total[states + 1:, :states] += pairs
+                total[states + 1:-1, :states] += pairs
+                total[-1, 0] += told
         i, j = np.nonzero(total)
         yield pa.record_batch([pa.array(i), pa.array(j), pa.array(total[i, j])], names=["i", "j", "n"])
 
@@ -322,16 +330,30 @@ def reestimate(blocks: DataFrame, chain: Chain, own: dict[bytes, int]) -> Chain:
     total = np.zeros((shape, max(n_classes, states)))
     for r in summed.collect():  # states x classes, whatever the corpus
         total[r.i, r.j] = r.n
-    return Chain.counted(total[states, :states], total[states + 1:, :states], total[:states, :n_classes])
+    step = Chain.counted(total[states, :states], total[states + 1:-1, :states], total[:states, :n_classes])
+    return step, total[-1, 0]
+
+
+def trained(blocks: DataFrame, chain: Chain, own: dict[bytes, int], passes: int | None = None) -> Chain:
+    """``chain`` after ``passes`` Baum-Welch steps; by default until the likelihood's gain is small."""
+    done, last = 0, -np.inf
+    while passes is None or done < passes:
+        chain, told = reestimate(blocks, chain, own)
+        done += 1
+        if passes is None and told - last <= GAIN * abs(told):
+            break
+        last = told
+    return chain
 
 
 def score(
-    docs: DataFrame, folds: int = 10, states: int = STATES, passes: int = PASSES, start_docs: int = START_DOCS,
+    docs: DataFrame, folds: int = 10, states: int = STATES, passes: int | None = None, start_docs: int = START_DOCS,
     folder: str | None = None,
 ) -> DataFrame:
     """Log10 probability of every whole text of ``docs(doc_id, text, ...)`` under the model.
 
-    Texts outside the held-out fold train it. A word's chance is its class's chance in the hidden
+    Texts outside the held-out fold train it, in ``passes`` Baum-Welch steps over all of them or, by
+    default, until a step hardly raises their likelihood. A word's chance is its class's chance in the hidden
     state times its share of the class, (c + 0.1) / (N + 0.1 (V + 1)) over the class's training
     tokens and words; classes of one frequent word give it all. Columns: doc_id, held_out (false
     for a null doc_id), n_tokens (with the end), n_known, train_tokens, base_score (smoothed
@@ -350,8 +372,7 @@ def score(
     own = class_table(top_words(words, TOP_WORDS))
     total, kinds = class_sizes(words, own)
     chain = first_chain(docs, own, folds, states, start_docs)
-    for _ in range(passes):
-        chain = reestimate(blocks, chain, own)
+    chain = trained(blocks, chain, own, passes)
 
     asked = blocks.select("block", F.posexplode("words").alias("at", "word"))
     known = asked.join(words, "word").select(F.col("block").alias("of_block"), "at", "c")

@@ -86,6 +86,23 @@ def test_long_texts_are_counted_whole():
     assert all(np.allclose(a, b) for a, b in zip((first, pairs, seen), (whole_first, whole_pairs, whole_seen), strict=True))
 
 
+def test_long_texts_take_part_in_the_start(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["one", "two", "three", "four"], 6000)) for _ in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = hmm.class_table([b"one", b"two", b"three", b"four"])
+    chain = hmm.first_chain(docs, own, 10, 3, 10)
+    assert not np.allclose(chain.emit, hmm.Chain.random(len(own) + hmm.ENDINGS, 3).emit)
+
+
+def test_steps_go_on_until_the_gain_is_small(spark, monkeypatch):
+    likelihoods = iter([-1000.0, -900.0, -890.0, -889.9, -1.0])
+    monkeypatch.setattr(hmm, "reestimate", lambda blocks, chain, own: (chain + 1, next(likelihoods)))
+    assert hmm.trained(None, 0, {}) == 4
+    likelihoods = iter([-1000.0, -900.0, -890.0])
+    assert hmm.trained(None, 0, {}, passes=2) == 2
+
+
 def cut(text):
     return ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in
             text.replace("\x0b", " ").replace("\x0c", " ").replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") if w] + [None]
