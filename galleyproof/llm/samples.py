@@ -28,7 +28,8 @@ def labelled(
     """Whole texts with their label: a sample bounded by ``rows`` and ``most_bytes``.
 
     Rows come in the order of a hash of doc_id, so the sample is spread over the table and the same
-    in every run; only rows for which ``train`` holds are looked at. Null labels and identifiers
+    in every run; a text that doesn't fit into what is left of the bytes is passed over, and every
+    label that occurs has a row. Only rows for which ``train`` holds are looked at. Null labels and identifiers
     are left out; of several labels of a document the smallest counts.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter(train)
@@ -37,12 +38,18 @@ def labelled(
     sizes = docs.select("doc_id", F.octet_length(text_of(docs)).alias("size"))
     known = known.filter(hashed_share(rows, known.count()))
     first = sizes.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "size").limit(rows).collect()
-    chosen, held = set(), 0
+    # one row of each label before the bound counts: the first of fair size, else the smallest
+    kinds = sorted({r["y"] for r in first})
+    lead = []
+    for y in kinds:
+        own = [r for r in first if r["y"] == y]
+        lead.append(next((r for r in own if r["size"] * len(kinds) <= most_bytes), min(own, key=lambda r: r["size"])))
+    chosen = {(r["doc_id"], r["y"]) for r in lead}
+    held = sum(r["size"] for r in lead)
     for r in first:
-        held += r["size"]
-        if held > most_bytes and chosen:
-            break
-        chosen.add((r["doc_id"], r["y"]))
+        if (r["doc_id"], r["y"]) not in chosen and held + r["size"] <= most_bytes:
+            held += r["size"]
+            chosen.add((r["doc_id"], r["y"]))
     if not chosen:
         return []
     kind = known.schema["doc_id"].dataType.simpleString()

@@ -2,6 +2,7 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from galleyproof.llm import line_crf, samples, subwords
 
@@ -79,6 +80,16 @@ def test_sample_is_bounded(marked):
     assert few and sum(len(t.encode()) for t, _ in few) <= 2000
 
 
+def test_a_long_text_is_passed_over(spark):
+    order = [r.doc_id for r in spark.range(40).toDF("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    for place in (0, 5):
+        docs = [(i, "ta " * 5000 if i == order[place] else f"re {i}") for i in range(40)]
+        labels = spark.createDataFrame([(i, int(i == order[30]), 0, "") for i in range(40)], LABELS)
+        found = samples.labelled(
+            spark.createDataFrame(docs, "doc_id long, text string"), labels, "quality", samples.remainder(5) >= 0, 40, 1000)
+        assert len(found) == 39 and {y for _, y in found} == {0, 1}
+
+
 def test_chain_equals_enumeration():
     rng = np.random.default_rng(1)
     scores, moves, lines_of = rng.normal(size=(6, 2)), rng.normal(size=(2, 2)), np.array([4, 1, 1])
