@@ -86,7 +86,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 at, start, length, crc, tokens, ids = [], [], [], [], [], []
-                for i, raw in enumerate(words.ids(part.column("text").to_pylist())):
+                for i, raw in enumerate(words.ids(part.column("text"))):
                     raw += end
                     for k in range(0, len(raw), step):
                         piece = raw[k:k + step]

@@ -161,9 +161,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = 1)
                 if out is None:
                     path = f"shard-{shard:06d}-{uuid.uuid4().hex}.s8b"
                     out = ShardWriter(f"{folder}/{path}")
-                found = words.ids(part.column("text").to_pylist())
-                ids = np.frombuffer(b"".join(x + tail.astype("<u4").tobytes() for x in found), "<u4")
-                lengths = np.array([len(x) // 4 + len(tail) for x in found], np.int64)
+                ids, counts = words.flat(part.column("text"))
+                ids = np.insert(ids, np.repeat(np.cumsum(counts), len(tail)), tail[0] if len(tail) else 0)
+                lengths = counts + len(tail)
                 doc_ids = part.column("doc_id")
                 nulls = doc_ids.is_null().to_numpy(zero_copy_only=False)
                 out.add(doc_ids.fill_null(0).to_numpy(), nulls, lengths, ids.astype(np.uint64))
