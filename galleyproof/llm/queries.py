@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, hmm, line_crf, mixing, near_vectors, packing, simhash, subwords, token_counts, token_files
+from . import bpe, exact, hmm, line_crf, mixing, near_vectors, packing, simhash, subwords, token_counts, token_files
 from .shared import LOCATOR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, labels, most=mixing.MOST_COPIES).drop(*LOCATOR)
 
 
+@query("op11_bpe")
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by rank arrays, and the text decoded from them, as digests."""
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
