@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from galleyproof.llm import exact, line_crf, mixing, near_texts, packing
+from galleyproof.llm import exact, line_crf, mixing, packing, simhash
 from galleyproof.llm.shared import work_folder, written
 
 
@@ -24,8 +24,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of texts whose 5-word shingles are similar to 0.8 or more the first document."""
-    return near_texts.keep_one(docs)
+    """Of each component of fingerprints, over 4-word shingles and at most 4 differing bits, the first document."""
+    return simhash.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
