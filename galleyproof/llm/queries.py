@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, hmm, line_crf, mixing, near_vectors, packing, simhash, subwords, token_counts, token_files
+from . import (
+    bpe, exact, hmm, line_crf, merkle, mixing, near_vectors, oracles, packing, simhash, subwords, token_counts,
+    token_files,
+)
 from .shared import LOCATOR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +111,12 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op12_merkle", oracles.merkle_sql())
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document in the tree of its language, some shown with a changed text."""
+    return merkle.prove_tampered(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
