@@ -70,3 +70,75 @@ SELECT doc_id, leaf, s.d AS subroot, top.d AS root, sha256(proof) AS proof_sha25
   cur = top.d AS verified
 FROM g{high - 1} x JOIN subroots s ON s.tree = x.tree CROSS JOIN top
 """
+
+
+def dialogues_sql() -> str:
+    """The least (cost, audit) of every roles' pattern carried row by row; s, u, a name the last role,
+    e that there is none."""
+    text = "coalesce(text, ' ')"
+    key = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+
+    def add(state: str, cost: str, letter: str, line: str = "''", when: str = "true") -> str:
+        return (f"CASE WHEN x.{state} IS NOT NULL AND {when} THEN"
+                f" {{'c': x.{state}.c + {cost}, 'a': x.{state}.a || '{letter}', 'b': x.{state}.b || {line}}} END")
+
+    def best(*ways: str) -> str:
+        return f"list_min(list_filter([{', '.join(ways)}], lambda w: w IS NOT NULL))"
+
+    def told(role: str) -> str:
+        return f"chr(10) || {role} || ':' || r.text"
+
+    def drop(state: str) -> str:
+        return add(state, "2", "D")
+
+    def keep(state: str, first: str) -> str:
+        return add(state, "r.more", "K", told("r.role"), f"r.stays AND r.role[1] = '{first}'")
+
+    def rerole(state: str, role: str) -> str:
+        return add(state, "1 + r.more", "R", told(f"'{role}'"), "r.stays")
+
+    def insert(state: str, role: str) -> str:
+        return add(state, "5", "I", f"chr(10) || '{role}:'")
+
+    kind = "STRUCT(c BIGINT, a VARCHAR, b VARCHAR)"
+    none = f"CAST(NULL AS {kind})"
+    return rf"""
+WITH RECURSIVE damage AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, {text} AS text,
+  {crc32_sql(key)} % 20 AS kind FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM damage JOIN (VALUES (1), (2)) t(i) ON t.i = 1 OR kind = 3 WHERE kind <> 0),
+faults AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) || role[1] AS step
+  FROM damaged),
+r AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS stays, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS more
+  FROM faults),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+x(conv_id, i, e, s, u, a) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), CAST({{'c': 0, 'a': '', 'b': ''}} AS {kind}), {none},
+    CAST({{'c': 5, 'a': 'I', 'b': chr(10) || 'user:'}} AS {kind}),
+    CAST({{'c': 10, 'a': 'II', 'b': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS {kind}) FROM ids
+  UNION ALL
+  SELECT conv_id, i, e, s, u, CAST({best('x.a', insert('u', 'assistant'))} AS {kind}) FROM (
+    SELECT conv_id, i, e, s, a,
+      CAST({best('x.u', insert('e', 'user'), insert('s', 'user'), insert('a', 'user'))} AS {kind}) AS u FROM (
+      SELECT x.conv_id, r.i, CAST({drop('e')} AS {kind}) AS e,
+        CAST({best(drop('s'), keep('e', 's'))} AS {kind}) AS s,
+        CAST({best(drop('u'), *[f(k, v) for k in 'esa' for f, v in ((keep, 'u'), (rerole, 'user'))])} AS {kind}) AS u,
+        CAST({best(drop('a'), keep('u', 'a'), rerole('u', 'assistant'))} AS {kind}) AS a
+      FROM x JOIN r ON r.conv_id IS NOT DISTINCT FROM x.conv_id AND r.i = x.i + 1) x) x),
+chosen AS (SELECT conv_id, {best('e', 'a')} AS w FROM x
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (step IS NOT NULL AND step NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id)
+SELECT w.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, w.w.c AS cost, w.w.a AS audit,
+  sha256(w.w.b[2:]) AS repaired_sha256
+FROM chosen w LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id
+"""

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    bpe, exact, hmm, line_crf, merkle, mixing, near_vectors, oracles, packing, simhash, subwords, token_counts,
-    token_files,
+    bpe, dialogues, exact, hmm, line_crf, merkle, mixing, near_vectors, oracles, packing, simhash, subwords,
+    token_counts, token_files,
 )
 from .shared import LOCATOR
 
@@ -117,6 +117,12 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.prove_tampered(table(spark, sf_dir, "documents"))
 
 
+@query("op13_dialogues", oracles.dialogues_sql())
+def op13_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    return dialogues.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
