@@ -15,8 +15,9 @@ FOLDER = "snapshot_ts="
 COMPLETE = "complete.txt"
 
 
-def snapshot(tables: Mapping[str, DataFrame], path: str, ts: str, keep: int = 10) -> list[str]:
-    """Write every table under ``path/snapshot_ts=<ts>``, then drop all but the newest ``keep``.
+def snapshot(tables: Mapping[str, DataFrame], path: str, ts: str, keep: int | None = 10) -> list[str]:
+    """Write every table under ``path/snapshot_ts=<ts>``, then drop all but the newest ``keep``
+    (None: drop none).
 
     ``ts`` sorts as text, as in ``2024-05-31_18-00-00``. A marker is written last: a snapshot that
     was cut short has none, isn't listed and doesn't count for ``keep``. Returns the dropped
@@ -28,6 +29,11 @@ def snapshot(tables: Mapping[str, DataFrame], path: str, ts: str, keep: int = 10
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
     write_text_once(spark, f"{folder}/{COMPLETE}", " ".join(sorted(tables)))
+    return [] if keep is None else prune(spark, path, keep)
+
+
+def prune(spark: SparkSession, path: str, keep: int = 10) -> list[str]:
+    """Drop all but the newest ``keep`` complete snapshots and return the dropped ones' paths."""
     gone = [row.path for row in expired_snapshots(snapshots(spark, path), keep).toLocalIterator()]
     for folder in gone:
         delete_folder(spark, folder)
@@ -50,42 +56,50 @@ def read_tables(spark: SparkSession, snapshot_path: str, names: list[str]) -> di
     return {n: spark.read.parquet(f"{snapshot_path}/{n}") for n in names if n in held}
 
 
+def restore_state(live: Mapping[str, DataFrame], snap: Mapping[str, DataFrame], ids: DataFrame) -> DataFrame:
+    """Rows of each wanted paper in each live table and in the snapshot: table, paper_id, n_live,
+    n_snap. All tables are counted by one aggregate, for which they send their keys only."""
+    wanted = ids.select("paper_id").distinct()
+    sides = [
+        df.select(F.lit(name).alias("table"), "paper_id", F.lit(one).alias("n_live"), F.lit(1 - one).alias("n_snap"))
+        for one, tables in ((1, live), (0, snap)) for name, df in tables.items() if name in live]
+    asked = split_join(reduce(DataFrame.unionByName, sides), wanted, ["paper_id"], "left_semi")
+    counts = asked.groupBy("table", "paper_id").agg(*[
+        F.sum(c).cast("bigint").alias(c) for c in ("n_live", "n_snap")])
+    rows = wanted.select(F.explode(F.array(*[F.lit(n) for n in live])).alias("table"), "paper_id")
+    return rows.join(counts, ["table", "paper_id"], "left").na.fill(0, ["n_live", "n_snap"])
+
+
+def restored(
+    live: Mapping[str, DataFrame], snap: Mapping[str, DataFrame], state: DataFrame
+) -> dict[str, DataFrame]:
+    """Live tables with the snapshot's rows of the papers that ``state`` finds absent from them."""
+    out = dict(live)
+    for name in live.keys() & snap.keys():
+        absent = state.filter((F.col("table") == name) & (F.col("n_live") == 0) & (F.col("n_snap") > 0))
+        rows = split_join(snap[name], absent.select("paper_id"), ["paper_id"], "left_semi")
+        out[name] = insert_by_name(live[name], rows.select(*[c for c in rows.columns if c in live[name].columns]))
+    return out
+
+
+def restore_log(snap: Mapping[str, DataFrame], state: DataFrame) -> DataFrame:
+    """What ``state`` lets happen to each paper in each table: table, paper_id, action, rows, detail."""
+    kept = F.col("table").isin(*snap)
+    back, held = F.col("n_snap") > 0, F.col("n_live") > 0
+    return state.select(
+        "table", "paper_id", F.when(kept & back & ~held, "restored").otherwise("skip").alias("action"),
+        F.when(~kept | ~back, 0).when(held, F.col("n_live")).otherwise(F.col("n_snap")).cast("bigint").alias("rows"),
+        F.when(~kept, "no snapshot found").when(~back, "paper_id not found in snapshot")
+        .when(held, "paper_id already present in live table").otherwise("inserted from snapshot").alias("detail"))
+
+
 def restore(
     live: Mapping[str, DataFrame], snap: Mapping[str, DataFrame], ids: DataFrame
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Papers brought back from a snapshot, table by table, where the live table has no row of
     them. Columns are matched by name. Returns (tables, log of table, paper_id, action, rows)."""
-    wanted = ids.select("paper_id").distinct()
-    restored, logs = {}, []
-    for name, table in live.items():
-        now = _counts(table, wanted, "_live")
-        if name not in snap:
-            restored[name] = table
-            logs.append(wanted.select(F.lit(name).alias("table"), "paper_id",
-                                      F.lit("skip").alias("action"), F.lit(0).cast("bigint").alias("rows"),
-                                      F.lit("no snapshot found").alias("detail")))
-            continue
-        then = _counts(snap[name], wanted, "_snap")
-        held, back = F.coalesce("_live", F.lit(0)), F.coalesce("_snap", F.lit(0))
-        state = wanted.join(now, "paper_id", "left").join(then, "paper_id", "left")
-        logs.append(state.select(
-            F.lit(name).alias("table"), "paper_id",
-            F.when((back > 0) & (held == 0), "restored").otherwise("skip").alias("action"),
-            F.when(back == 0, 0).when(held > 0, held).otherwise(back).cast("bigint").alias("rows"),
-            F.when(back == 0, "paper_id not found in snapshot")
-            .when(held > 0, "paper_id already present in live table")
-            .otherwise("inserted from snapshot").alias("detail"),
-        ))
-        absent = state.filter(held == 0).select("paper_id")
-        rows = split_join(snap[name], absent, ["paper_id"], "left_semi")
-        rows = rows.select(*[c for c in rows.columns if c in table.columns])
-        restored[name] = insert_by_name(table, rows)
-    return restored, reduce(DataFrame.unionByName, logs)
-
-
-def _counts(df: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
-    held = split_join(df, wanted, ["paper_id"], "left_semi")
-    return held.groupBy("paper_id").agg(F.count("*").alias(name))
+    state = restore_state(live, snap, ids)
+    return restored(live, snap, state), restore_log(snap, state)
 
 
 def refill(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from galleyproof.plans import changes, ingest, quality, snapshots
+from galleyproof.plans import changes, ingest, quality, recovery, snapshots
 from galleyproof.operators import last_modified
 from galleyproof.session import scratch_folder
 from galleyproof.sources import VersionedTables
@@ -509,6 +509,51 @@ def _(t):
     return changes.purge(_four(t), _ids(t))[1]
 
 
+def _purge_log(where, repos):
+    """The whole log of a purge of the rows ``where`` from stored tables."""
+    steps = []
+    for n in ("papers", "iterations", "form_arrivals", "reports"):
+        counts = {"backup": (f"SELECT COUNT(*) AS n FROM {n}", "n || ' rows backed up'"),
+                  "delete": (f"SELECT COUNT(*) AS n FROM {n} WHERE {where}", "'Deleted ' || n || ' rows'"),
+                  "validate": (f"SELECT COUNT(*) AS n FROM {n} WHERE ({where}) IS NOT TRUE", "n || ' rows'")}
+        steps += [f"SELECT '{step}' AS operation, '{n}' AS target, 'success' AS status, n AS n_rows, {said} AS details "
+                  f"FROM ({counted}) x" for step, (counted, said) in counts.items()]
+    steps.append(f"SELECT 'query', 'repos', 'success', n, 'Found ' || n || ' repos to delete' FROM ({repos}) x")
+    steps.append("SELECT 'validate', 'tables', 'success', 4, 'Tables exist after deletion'")
+    return " UNION ALL ".join(steps)
+
+
+def _store(t):
+    store = VersionedTables(t.spark, scratch_folder(t.spark, "store", local=True))
+    tables = _four(t)
+    tables["papers"] = tables["papers"].withColumn("github_url", F.concat(F.lit("https://git/"), "paper_id"))
+    store.commit(tables, base=0)
+    return store
+
+
+@query("purge_stored_log", _purge_log(f"paper_id IN ({_IDS})", f"SELECT COUNT(*) AS n FROM papers WHERE paper_id IN ({_IDS})"))
+def _(t):
+    """Papers deleted from stored tables behind a snapshot, told step by step."""
+    store = _store(t)
+    return recovery.purge_stored(store, f"{store.root}/snapshots", "2002-01-01", _ids(t))
+
+
+@query("purge_tests_stored_log", _purge_log("comments = '[TEST]'", "SELECT COUNT(*) AS n FROM papers WHERE comments = '[TEST]'"))
+def _(t):
+    store = _store(t)
+    return recovery.purge_stored(store, f"{store.root}/snapshots", "2002-01-01")
+
+
+@query("purge_stored", " UNION ALL ".join(
+    f"SELECT '{n}' AS source, paper_id FROM {n} WHERE paper_id NOT IN ({_IDS})"
+    for n in ("papers", "iterations", "form_arrivals", "reports")))
+def _(t):
+    """The tables as a purge of stored tables leaves them."""
+    store = _store(t)
+    recovery.purge_stored(store, f"{store.root}/snapshots", "2002-01-01", _ids(t))
+    return _stacked(store.tables())
+
+
 @query("purge_tests", """
     SELECT 'papers' AS source, paper_id FROM papers WHERE comments IS NULL OR comments <> '[TEST]' UNION ALL
     SELECT 'iterations', paper_id FROM iterations WHERE comments IS NULL OR comments <> '[TEST]' UNION ALL
@@ -689,6 +734,39 @@ def _(t):
     return snapshots.restore(live, snap, _ids(t))[1]
 
 
+def _restore_stored_log(name):
+    return f"""
+        SELECT '{name}' AS "table", q.paper_id, CASE WHEN n > 0 THEN 'restored' ELSE 'skip' END AS action,
+            CAST(n AS BIGINT) AS rows,
+            CASE WHEN n = 0 THEN 'paper_id not found in snapshot' ELSE 'inserted from snapshot' END AS detail
+        FROM (SELECT i.paper_id, COUNT(x.paper_id) AS n FROM ({_IDS}) i LEFT JOIN {name} x ON x.paper_id = i.paper_id
+              GROUP BY i.paper_id) q
+        UNION ALL SELECT '{name}', NULL, 'backup', COUNT(*), 'safety snapshot 2002-01-02' FROM {name}
+        WHERE paper_id NOT IN ({_IDS})"""
+
+
+def _purged(t):
+    """A store that lost papers, and the folder with the snapshot from before."""
+    store = _store(t)
+    folder = f"{store.root}/snapshots"
+    recovery.purge_stored(store, folder, "2002-01-01", _ids(t))
+    return store, folder
+
+
+@query("restore_stored_log", " UNION ALL ".join(_restore_stored_log(n) for n in _NAMES))
+def _(t):
+    """Purged papers brought back from the snapshot before, behind a safety snapshot."""
+    store, folder = _purged(t)
+    return recovery.restore_stored(store, folder, _ids(t), "2002-01-02")
+
+
+@query("restore_stored", _EVERY_ROW)
+def _(t):
+    store, folder = _purged(t)
+    recovery.restore_stored(store, folder, _ids(t), "2002-01-02")
+    return _stacked(store.tables())
+
+
 @query("refill", _EVERY_ROW)
 def _(t):
     full = _four(t)
