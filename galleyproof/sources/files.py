@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_folder
+
+#: Bytes of a file that are read at a time for a manifest.
+CHUNK = 4 << 20
+
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with header under a declared schema, so ids keep leading zeros."""
@@ -24,29 +34,69 @@ def append_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").csv(path, header=True, quote='"', escape='"')
 
 
-def file_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Files under a root as (path, basename, size, md5).
+def file_manifest(spark: SparkSession, root: str, folder: str | None = None) -> DataFrame:
+    """Files under a root as (path, basename, size, md5), hidden and empty files too.
 
-    Skips ``__MACOSX``, hidden directories and zip files that lie in the root itself. Contents are
-    read and hashed on the executors, one task per group of files.
+    Skips ``__MACOSX``, hidden directories and zip files that lie in the root itself: they are
+    neither entered nor opened. Directories are listed by tasks, level by level, below ``folder``
+    (default: the scratch folder); contents are read in pieces of ``CHUNK`` bytes that feed a
+    running digest, so memory grows neither with a file nor with their number. The root must lie
+    on a file system that Arrow knows (local, HDFS, S3, GCS, Azure). An empty root gives no rows.
     """
-    base = root.rstrip("/")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-    absolute = _qualified(spark, base)
-    path = F.regexp_replace(F.substr("path", F.lit(len(absolute) + 2)), "^/+", "")
-    directory = F.regexp_replace("rel", "[^/]*$", "")
-    skipped = (
-        F.contains(directory, F.lit("__MACOSX"))
-        | directory.rlike(r"(^|/)\.")
-        | (~F.contains("rel", F.lit("/")) & F.endswith("rel", F.lit(".zip")))
-    )
-    listed = files.withColumn("rel", path).filter(~skipped)
-    return listed.select(
-        F.col("rel").alias("path"),
-        F.element_at(F.split("rel", "/"), -1).alias("basename"),
-        F.col("length").alias("size"),
-        F.md5("content").alias("md5"),
-    )
+    folder = folder or scratch_folder(spark, "listing", local=True)
+    base = _qualified(spark, root.rstrip("/"))
+    entry = "path string, is_dir boolean, size long"
+    spark.createDataFrame([(base, True, None)], entry).write.parquet(f"{folder}/level=0")
+    level = 0
+    while True:
+        found = spark.read.schema(entry).parquet(f"{folder}/level={level}")
+        name = F.substring_index("path", "/", -1)
+        entered = found.filter("is_dir") if not level else found.filter(
+            F.col("is_dir") & ~F.startswith(name, F.lit(".")) & ~F.contains(name, F.lit("__MACOSX")))
+        if entered.isEmpty():
+            break
+        level += 1
+        entered.repartition("path").mapInArrow(_entries, entry).write.parquet(f"{folder}/level={level}")
+    rel = F.substr("path", F.lit(len(base) + 2))
+    files = spark.read.schema(f"{entry}, level int").parquet(folder).filter("NOT is_dir")
+    files = files.filter((F.col("level") > 1) | ~F.endswith("path", F.lit(".zip"))).select("path", "size")
+    hashed = files.repartition("path").mapInArrow(_running_md5, "path string, size long, md5 string")
+    return hashed.select(rel.alias("path"), F.substring_index("path", "/", -1).alias("basename"), "size", "md5")
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the given directories hold, a batch for each."""
+    for path in itertools.chain.from_iterable(b.column("path").to_pylist() for b in batches):
+        system, inner = open_system(path)
+        found = system.get_file_info(fs.FileSelector(inner))
+        dirs = [f.type == fs.FileType.Directory for f in found]
+        yield pa.record_batch(
+            [pa.array([f"{path}/{f.base_name}" for f in found], pa.string()), pa.array(dirs, pa.bool_()),
+             pa.array([None if d else f.size for f, d in zip(found, dirs, strict=True)], pa.int64())],
+            names=["path", "is_dir", "size"])
+
+
+def _running_md5(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sums = []
+        for path in batch.column("path").to_pylist():
+            system, inner = open_system(path)
+            digest = hashlib.md5(usedforsecurity=False)
+            with system.open_input_stream(inner) as stream:
+                while piece := stream.read(CHUNK):
+                    digest.update(piece)
+            sums.append(digest.hexdigest())
+        yield pa.record_batch([*batch.columns, pa.array(sums, pa.string())], names=["path", "size", "md5"])
+
+
+def open_system(path: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system for a qualified path, whose characters aren't encoded, and the path within."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    host, _, inner = rest.removeprefix("//").partition("/")
+    system, head = fs.FileSystem.from_uri(f"{scheme}://{host}")
+    return system, f"{head.rstrip('/')}/{inner}"
 
 
 def _fs(spark: SparkSession, path: str):

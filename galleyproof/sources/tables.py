@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,28 @@ def catalog_tables(spark: SparkSession, pattern: str | None = None) -> dict[str,
     return {t.name: spark.table(t.name) for t in spark.catalog.listTables(pattern=pattern)}
 
 
+def catalog_listing(spark: SparkSession, pattern: str | None = None) -> DataFrame:
+    """The current database's tables and views: table_name, n_rows, bytes, n_columns, is_temporary.
+
+    Bytes are Spark's statistics of a stored table: the size of its files, or what ANALYZE found.
+    A view that computes something has none (null). Rows are counted without reading columns, for
+    which Parquet opens footers only.
+    """
+    listed = []
+    for t in spark.catalog.listTables(pattern=pattern):
+        df = spark.table(t.name)
+        plan = df._jdf.queryExecution().optimizedPlan()
+        stored = plan.getClass().getSimpleName() == "LogicalRelation"
+        size = int(plan.stats().sizeInBytes()) if stored else None
+        listed.append(df.agg(F.count("*").alias("n_rows")).select(
+            F.lit(t.name).alias("table_name"), "n_rows", F.lit(size).cast("long").alias("bytes"),
+            F.lit(len(df.columns)).alias("n_columns"), F.lit(t.isTemporary).alias("is_temporary")))
+    if not listed:
+        return spark.createDataFrame(
+            [], "table_name string, n_rows long, bytes long, n_columns int, is_temporary boolean")
+    return reduce(DataFrame.unionByName, listed)
+
+
 def drop_column(df: DataFrame, col: str) -> DataFrame:
     if col not in df.columns:
         raise ValueError(f"no column {col}")

@@ -2,6 +2,7 @@ import datetime as dt
 import hashlib
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from galleyproof import schemas
 from galleyproof.plans import packages, snapshots
 from galleyproof.session import scratch_folder
 from galleyproof.sources import (
-    StaleVersion, VersionedTables, append_csv, catalog_tables, describe, empty, export_csv, file_manifest,
+    StaleVersion, VersionedTables, append_csv, catalog_listing, catalog_tables, describe, empty, export_csv, file_manifest,
     non_empty, read_articles, read_datasets, read_snapshot, replace_table, table_or_none, write_bucketed,
 )
 from galleyproof.sources.files import write_text_once
@@ -144,6 +145,95 @@ def test_file_manifest_skips(spark, tmp_path):
     assert (rows["sub/b.txt"].basename, rows["a.txt"].size) == ("b.txt", 5)
 
 
+def test_file_manifest_never_opens_what_it_skips(spark, tmp_path):
+    """Skipped entries are links to nowhere, which can't be opened; odd names and sizes are hashed."""
+    root = tmp_path / "odd räum%20 +"
+    files = {"a.txt": b"a", "empty": b"", "big one.bin": bytes(range(256)) * 40000, "sub/ö #1.txt": b"x" * 30,
+             "sub/.hidden": b"h", "_under/_score": b"u", "sub/deep/er/inner.zip": b"z"}
+    for name, content in files.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(content)
+    for name in ("top.zip", "__MACOSX/x", "sub/.h/deep/y", "s__MACOSX/y"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).symlink_to(tmp_path / "nowhere")
+    rows = {r.path: r for r in file_manifest(spark, f"{root}/").collect()}
+    assert {p: (r.size, r.md5) for p, r in rows.items()} == {
+        p: (len(c), hashlib.md5(c).hexdigest()) for p, c in files.items()}
+    assert rows["big one.bin"].basename == "big one.bin"
+    (tmp_path / "bare").mkdir()
+    assert file_manifest(spark, f"{tmp_path}/bare").count() == 0
+
+
+def test_large_files_are_hashed_in_pieces(spark, tmp_path, monkeypatch):
+    from galleyproof.sources import files
+
+    sizes = []
+    whole = files.open_system
+
+    class Spy:
+        def __init__(self, stream):
+            self.stream = stream
+
+        def read(self, n):
+            sizes.append(n)
+            return self.stream.read(n)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *error):
+            self.stream.close()
+
+    class System:
+        def __init__(self, system):
+            self.system = system
+
+        def open_input_stream(self, path):
+            return Spy(self.system.open_input_stream(path))
+
+    monkeypatch.setattr(files, "CHUNK", 100)
+    monkeypatch.setattr(files, "open_system", lambda p: (System(whole(p)[0]), whole(p)[1]))
+    (tmp_path / "f").write_bytes(b"0123456789" * 55)
+    batch = pa.record_batch([pa.array([f"file:{tmp_path}/f"]), pa.array([550])], names=["path", "size"])
+    out = list(files._running_md5(iter([batch])))[0]
+    assert out.column("md5").to_pylist() == [hashlib.md5(b"0123456789" * 55).hexdigest()]
+    assert set(sizes) == {100} and len(sizes) == 7
+
+
+def test_article_order_over_files_and_splits(spark, tmp_path):
+    def record(i):
+        author = [{"family": "Doe"}] if i % 5 else []
+        return json.dumps({"DOI": f"10.1/{i}", "title": [f"T {i}"], "author": author, "published": {"date-parts": [[2023]]}})
+
+    (tmp_path / "articles").mkdir()
+    for part, span in enumerate([range(0, 40), range(40, 41), range(41, 100)]):
+        (tmp_path / "articles" / f"page-{part}.json").write_text("\n".join(map(record, span)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        found = read_articles(spark, f"{tmp_path}/articles", f"{tmp_path}/scratch").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r.doi: r.article_index for r in found} == {f"10.1/{i}": i for i in range(100) if i % 5}
+
+
+def test_catalog_listing(spark, tmp_path):
+    spark.range(50).repartition(3).write.parquet(f"{tmp_path}/t")
+    spark.read.parquet(f"{tmp_path}/t").createOrReplaceTempView("shelf_stored")
+    spark.range(5).selectExpr("id", "id * 2 AS b").createOrReplaceTempView("shelf_view")
+    spark.range(7).write.mode("overwrite").saveAsTable("shelf_saved")
+    spark.createDataFrame([], "id int, b int").write.parquet(f"{tmp_path}/none")
+    spark.read.parquet(f"{tmp_path}/none").createOrReplaceTempView("shelf_empty")
+    try:
+        rows = {r.table_name: tuple(r)[1:] for r in catalog_listing(spark, "shelf_*").collect()}
+    finally:
+        spark.sql("DROP TABLE shelf_saved")
+    size = sum(p.stat().st_size for p in (tmp_path / "t").glob("*.parquet"))
+    assert rows["shelf_stored"] == (50, size, 1, True)
+    assert rows["shelf_view"] == (5, None, 2, True) and rows["shelf_empty"][0] == 0
+    assert rows["shelf_saved"][0] == 7 and rows["shelf_saved"][1] > 0 and rows["shelf_saved"][3] is False
+    assert catalog_listing(spark, "no_such_*").count() == 0
+
+
 def test_landed_json(spark, tmp_path):
     (tmp_path / "d.json").write_text(json.dumps({
         "global_id": "doi:1", "name": "N", "authors": ["Doe, J"], "publicationStatuses": ["Published"],
@@ -158,6 +248,7 @@ def test_landed_json(spark, tmp_path):
         {"DOI": "10.1/c", "title": ["C"], "author": [{"family": "X"}], "published": {"date-parts": [[None]]}}]
     (tmp_path / "a.json").write_text("\n".join(map(json.dumps, items)))
     rows = read_articles(spark, f"{tmp_path}/a.json").collect()
+    assert [r.article_index for r in rows] == [0]
     assert [(r.doi, r.pub_date, r.authors) for r in rows] == [("10.1/a", dt.date(2023, 12, 1), ["doe", ""])]
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from galleyproof.plans import linkage
 from galleyproof.session import scratch_folder
-from galleyproof.sources import file_manifest, read_articles, read_datasets, read_form
+from galleyproof.sources import catalog_listing, file_manifest, read_articles, read_datasets, read_form
 
 from .basics import catalogue
-from .linking import dataset_json
+from .linking import _LINKS, dataset_json
 from .registry import query
 
 
@@ -48,6 +49,43 @@ def _(t):
     return found.select("doi", "title", "pub_date", F.get("authors", F.lit(0)).alias("author"))
 
 
+def _landed_articles(t, folder):
+    """Articles as landed files: records in the order of the articles, one file per range of it."""
+    author = F.struct(F.upper("source").alias("family"))
+    records = t.articles.repartitionByRange("article_index").sortWithinPartitions("article_index").select(
+        F.col("doi").alias("DOI"), F.array("title").alias("title"), F.array(author).alias("author"),
+        F.struct(F.array(F.array(F.lit(2021))).alias("date-parts")).alias("published"))
+    records.write.json(f"{folder}/articles")
+    return read_articles(t.spark, f"{folder}/articles")
+
+
+@query("read_articles_order", "SELECT doi, ROW_NUMBER() OVER (ORDER BY article_index) - 1 AS article_index FROM articles")
+def _(t):
+    """The place of every article over all landed files."""
+    return _landed_articles(t, scratch_folder(t.spark, "json", local=True)).select("doi", "article_index")
+
+
+@query("link_landed_articles", _LINKS)
+def _(t):
+    """Data sets linked to articles that are read from landed files, which tell their order."""
+    found = _landed_articles(t, scratch_folder(t.spark, "json", local=True))
+    return linkage.link_articles(catalogue(t), found)
+
+
+@query("catalog_listing", " UNION ALL ".join(
+    f"SELECT 'listed_{n}' AS table_name, COUNT(*) AS n_rows, TRUE AS has_bytes, {w} AS n_columns, TRUE AS is_temporary FROM {n}"
+    for n, w in (("orders", 6), ("events", 6), ("documents", 5)))
+    + " UNION ALL SELECT 'listed_view', COUNT(*), FALSE, 1, TRUE FROM (SELECT DISTINCT lang FROM documents) x")
+def _(t):
+    """Stored tables and a computed view of the catalog, with rows, bytes and columns."""
+    for name in ("orders", "events", "documents"):
+        t.spark.read.parquet(f"{t.sf_dir}/{name}.parquet").createOrReplaceTempView(f"listed_{name}")
+    t.documents.select("lang").distinct().createOrReplaceTempView("listed_view")
+    listed = catalog_listing(t.spark, "listed_*")
+    return listed.select("table_name", "n_rows", F.coalesce(F.col("bytes") > 0, F.lit(False)).alias("has_bytes"),
+                         "n_columns", "is_temporary")
+
+
 @query("read_form", """
     SELECT title AS manuscript_title, journal AS please_indicate_the_journal,
         last_name AS surname_of_author, email2 AS "email_of_second_author_(if_applicable)" FROM raw_arrivals""")
