@@ -1,7 +1,8 @@
 """State changes over whole tables.
 
-Each returns the changed tables and the rejected requests with a reason, as lazy plans over the
-same inputs. Write them together with `sources.versions.VersionedTables.commit`, which makes all
+Each returns the changed tables and the rejected requests with a reason. Requests are judged when a
+change is called and land in the scratch folder (`session.scratch_folder`); the tables returned are
+plans over these files and the same inputs. Write them together with `sources.versions.VersionedTables.commit`, which makes all
 tables of a change visible at once.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import is_test
@@ -19,6 +20,7 @@ from ..operators import (
     update_from_latest, update_from_round,
 )
 from ..schemas import STATUSES, check_statuses
+from ..session import scratch_folder
 
 ROUND = ["paper_id", "round"]
 
@@ -89,30 +91,30 @@ def _with_round(judged: DataFrame, iterations: DataFrame) -> DataFrame:
     return _also(split_join(judged, held, ROUND, "left"), "no_iteration", F.col("_held").isNull()).drop("_held")
 
 
+def _landed(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _settle(judged: DataFrame, keys: list[str], *first: Column) -> tuple[DataFrame, DataFrame]:
     """One fitting request per key, and all other requests with the reason against them.
 
-    Of several that fit, the first by ``first`` and then by content is applied (nulls come last);
-    the others, equal ones too, are "superseded". Rows in are rows applied plus rows rejected.
+    The judged requests are written once with a number each, and so are those that are applied;
+    all outputs of a change are cut from these files, so the tables that a request is judged by
+    are read once. Of several that fit, the first by ``first`` and then by content is applied
+    (nulls come last); the others, equal ones too, are "superseded". A key asked for by most
+    requests sends one of them per map task. Rows in are rows applied plus rows rejected.
     """
-    fits = judged.filter(F.col("reason").isNull()).drop("reason")
-    rest = [c for c in fits.columns if c not in keys]
-    content = [f(c) for c in rest for f in (lambda c: F.col(c).isNull(), F.col)]
-    order = F.struct(*[c.alias(f"_{i}") for i, c in enumerate([*first, *content])], *[F.col(c).alias(f"_r_{c}") for c in rest])
-    best = fits.groupBy(*keys).agg(F.min(order).alias("_best"))
-    applied = best.select(*keys, *[F.col(f"_best._r_{c}").alias(c) for c in rest])
-    # equal requests are counted before they meet the one that is applied
-    kinds = fits.groupBy(*keys, *rest).agg(F.count("*").alias("_n"))
-    taken = best.select(*keys, F.struct(*[F.col(f"_best._r_{c}").alias(c) for c in rest]).alias("_taken"))
-    spare = split_join(kinds, taken, keys)
-    own = F.struct(*rest).eqNullSafe(F.col("_taken"))
-    spare = spare.withColumn("_n", F.col("_n") - own.cast("long")).filter("_n > 0")
-    # back to a row per request, by thousands, so that no long array is needed
-    spare = spare.withColumn("_k", F.explode(F.expr("sequence(0L, (_n - 1) div 1000)"))).withColumn(
-        "_i", F.explode(F.expr("sequence(1L, least(1000L, _n - 1000 * _k))")))
-    spare = spare.select(*keys, *rest, F.lit("superseded").alias("reason"))
-    bad = judged.filter(F.col("reason").isNotNull()).select(*keys, *rest, "reason")
-    return applied, bad.unionByName(spare)
+    folder = scratch_folder(judged.sparkSession, "change", local=True)
+    told = _landed(judged.withColumn("_id", F.monotonically_increasing_id()), f"{folder}/judged")
+    rest = [c for c in judged.columns if c not in (*keys, "reason")]
+    order = [*first, *[F.asc_nulls_last(c) for c in rest], F.col("_id")]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    won = told.filter(F.col("reason").isNull()).withColumn("_place", place).filter("_place = 1")
+    won = _landed(won.select(*keys, *rest, "_id"), f"{folder}/applied")
+    lost = told.join(won.select("_id"), "_id", "left_anti")
+    rejected = lost.select(*keys, *rest, F.coalesce("reason", F.lit("superseded")).alias("reason"))
+    return won.drop("_id"), rejected
 
 
 def _refused(rejected: DataFrame) -> DataFrame:
@@ -173,21 +175,17 @@ def merge_reports(
     todo = reports_to_process(reports, iterations)
     named = F.col("paper_id").isNotNull() & F.col("round").isNotNull()
     latest = [F.col("timestamp").isNull(), -F.unix_micros(F.col("timestamp").cast("timestamp"))]
-    open_reports, rejected = _settle(
-        todo.filter(named).withColumn("reason", F.lit(None).cast("string")), ROUND, *latest)
-    unnamed = todo.filter(~named).select(*ROUND)
+    open_reports, rejected = _settle(todo.withColumn("reason", F.when(~named, "unnamed")), ROUND, *latest)
+    unnamed = rejected.filter("reason = 'unnamed'").select(*ROUND)
+    rejected = rejected.filter("reason <> 'unnamed'")
     columns = {to: F.col(f"new.{source}") for to, source in REPORT_FIELDS}
     filled = _set(iterations, open_reports, ROUND, **columns)
 
-    held = iterations.select(*ROUND).distinct().withColumn("_held", F.lit(True))
-    state = papers.select("paper_id", F.col("status").alias("_status"), F.lit(True).alias("_known"))
-    reason = (
-        F.when(F.col("_known").isNull(), "not_found")
-        .when(~F.coalesce(F.col("_status") == "with_replicator", F.lit(False)), "wrong_status")
-        .when(F.col("_held").isNull(), "no_iteration")
-    )
-    judged = open_reports.select(*ROUND).unionByName(unnamed).join(held, ROUND, "left").join(
-        state, "paper_id", "left").select(*ROUND, reason.alias("reason"))
+    asked = open_reports.select(*ROUND).unionByName(unnamed).withColumnRenamed("round", "_round")
+    judged = _judge(asked, papers, F.col("status") == "with_replicator")
+    judged = judged.drop("round", "status").withColumnRenamed("_round", "round")
+    judged = _with_round(judged, iterations).select(*ROUND, "reason")
+    judged = _landed(judged, f"{scratch_folder(papers.sparkSession, 'change', local=True)}/judged")
     back = judged.filter(F.col("reason").isNull()).select("paper_id").distinct()
 
     moved = move(papers, back, "replicator_back_de")

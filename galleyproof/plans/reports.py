@@ -323,14 +323,19 @@ def requests_long(iterations: DataFrame, urls: bool = True) -> DataFrame:
 
 
 def arrivals_check(
-    papers: DataFrame, iterations: DataFrame, uploads: DataFrame
+    papers: DataFrame, iterations: DataFrame, uploads: DataFrame, late: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(check, remind): latest rounds of waiting papers with a flag per upload kind, and those
     whose package is in while the paper file is not.
 
     ``uploads`` holds (paper_id, kind, file_count) with kinds "package" and "paper"; without a
-    row nothing has come in.
+    row nothing has come in. ``late`` holds uploads that came too late for the stream, as
+    `streaming.record_arrivals` puts them aside.
     """
+    told = ["paper_id", "kind", "file_count"]
+    uploads = uploads.select(*told)
+    if late is not None:
+        uploads = uploads.unionByName(late.select(*told))
     came = uploads.groupBy("paper_id").agg(
         *[F.sum(F.when(F.col("kind") == k, F.col("file_count"))).alias(f"_{k}")
           for k in ("package", "paper")]

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.ingest import fresh_rows
-from ..sources.files import list_folders
+from ..operators.joins import any_null
+from .keyed import BATCH, Clock, first_seen, run
 
 
 def ingest_forms(
@@ -22,30 +22,27 @@ def ingest_forms(
 ) -> StreamingQuery:
     """Clean a stream of form answers and append the new ones to the ``target`` folder.
 
-    An answer delivered twice within ``delay`` is dropped in the stream. Of several answers with
-    one key in a batch the latest counts, and a key already in the target is never written again.
-    Each batch owns a sub-folder, overwritten if the batch is repeated after a failure, so every
-    answer lands once.
+    Of several answers with one key in a batch the latest counts, and a key that any batch before
+    held is never written again: the stream's state knows it, so what has landed isn't read again.
+    Answers with a null key all stay, an exact repetition aside. What is older than ``delay``
+    before the newest answer of earlier runs is late and left out. Each batch owns a sub-folder,
+    overwritten if the batch is repeated after a failure, so every answer lands once.
     """
     cleaned = clean(raw)
-    # event time must be a zoned type; the zone is the session's for all rows alike
-    timed = cleaned.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
-    unique = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(
-        [*keys, "timestamp"]).drop("_event_time")
+    names, clock = cleaned.columns, Clock(raw.sparkSession, checkpoint, delay)
+    # answers with a null key are each a key of their own
+    apart = F.when(any_null(keys), F.xxhash64(*names)).otherwise(F.lit(0).cast("long"))
+    own = {f"_key{i}": F.col(k) for i, k in enumerate(keys)} | {"_apart": apart}
+    # ties in time are settled by the answer's own content
+    order = F.struct("timestamp", F.bitwise_not(F.xxhash64(*names)))
+    seen = first_seen(
+        cleaned.filter(~clock.is_late(F.col("timestamp"))), own,
+        _row=F.max_by(F.struct(*names), order), _time=F.max("timestamp"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch = batch.persist()
-        own = f"ingest_batch={batch_id}"
-        before = [f for f in list_folders(spark, target) if f.rsplit("/", 1)[1] != own
-                  and f.rsplit("/", 1)[1].startswith("ingest_batch=")]
-        live = spark.read.schema(batch.schema).parquet(*before) if before else batch.limit(0)
-        fresh_rows(live, batch, keys).write.mode("overwrite").parquet(f"{target}/{own}")
+        batch.filter("_is_new").select("_row.*").write.mode("overwrite").parquet(f"{target}/{BATCH}{batch_id}")
+        clock.advance(batch, "_time", batch_id)
         batch.unpersist()
 
-    return (
-        unique.writeStream.foreachBatch(land)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return run(seen, land, checkpoint)

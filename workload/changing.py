@@ -829,3 +829,30 @@ def _(t):
         "paper_id", "round", "date_arrived_from_authors")
 
 
+
+
+_EARLY = "event_id % 3 > 0 AND ts >= (SELECT median(ts) FROM events)"
+_UPLOADED = """
+    SELECT CAST(user_id * 7 + 1 AS VARCHAR) AS paper_id, CAST(ts AS DATE) AS day, CAST(FLOOR(value) AS BIGINT) % 3 AS n, ts
+    FROM events WHERE event_type = 'purchase' AND CAST(FLOOR(value) AS BIGINT) % 3 > 0"""
+
+
+@query("late_arrivals", f"""
+    SELECT paper_id, MAX(n) AS file_count, MAX(ts) AS ts FROM ({_UPLOADED} AND NOT ({_EARLY})) u
+    WHERE ts <= (SELECT MAX(ts) FROM ({_UPLOADED} AND {_EARLY}) e) - INTERVAL 1 DAY GROUP BY paper_id, day""")
+def _(t):
+    """Uploads that come after newer ones, put aside for the next check of arrivals."""
+    folder = scratch_folder(t.spark, "late", local=True)
+    middle = t.events.agg(F.median(F.unix_micros(F.col("ts").cast("timestamp"))).alias("m"))
+    told = t.events.withColumn("m", F.lit(middle.first().m))
+    early = (F.col("event_id") % 3 > 0) & (F.unix_micros(F.col("ts").cast("timestamp")) >= F.col("m"))
+    uploads = told.withColumn("early", early).select(
+        (F.col("user_id") * 7 + 1).cast("string").alias("paper_id"),
+        F.when(F.col("event_type") == "purchase", "package").otherwise("paper").alias("kind"),
+        (F.floor("value") % 3).alias("file_count"), "ts", "early")
+    for first in (True, False):
+        part = uploads.filter(F.col("early") == first).drop("early")
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = t.spark.readStream.schema(part.schema).parquet(f"{folder}/in")
+        record_arrivals(stream, t.papers, f"{folder}/ledger", f"{folder}/state", "1 day").awaitTermination()
+    return t.spark.read.parquet(f"{folder}/ledger-late").select("paper_id", "file_count", "ts")
