@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import LOCATOR, located, text_of, work_folder, written
+from .shared import LOCATOR, located, text_of, unpacked, work_folder, written
 
 #: Rows of one group that are compared with their keeper in one task.
 ROWS_A_TASK = 1000
@@ -87,9 +87,13 @@ def decide(
     the first by place. Columns: doc_id, keep_id, group_size, kept, text_sha256, and the row's
     place (``__file``, ``__row``). An empty table gives no rows; further columns are ignored.
     """
+    folder = folder or work_folder(docs.sparkSession, "exact")
+    return _decided(located(docs, folder), folder, digest, trigger_bytes)
+
+
+def _decided(docs: DataFrame, folder: str, digest: Callable[[Column], Column] = sha256, trigger_bytes: int = 1 << 30) -> DataFrame:
+    """``decide`` for located rows."""
     spark = docs.sparkSession
-    folder = folder or work_folder(spark, "exact")
-    docs = located(docs, folder)
     text = normal_text(text_of(docs))
     arrivals = written(
         docs.select("doc_id", sha256(text).alias("text_sha256"), digest(text).alias("digest"), *LOCATOR),
@@ -134,6 +138,6 @@ def decide(
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``decide`` drops; columns stay as they are."""
     folder = work_folder(docs.sparkSession, "exact")
-    rows = located(docs, folder)
-    dropped = decide(rows, folder).filter("NOT kept").select(*LOCATOR)
-    return rows.join(dropped, LOCATOR, "left_anti").drop(*LOCATOR)
+    rows = located(docs, folder, whole=True)
+    dropped = _decided(rows.drop("__all"), folder).filter("NOT kept").select(*LOCATOR)
+    return unpacked(rows.select("__all", *LOCATOR).join(dropped, LOCATOR, "left_anti"))

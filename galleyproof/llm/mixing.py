@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .samples import hashed_share
-from .shared import LOCATOR, located, text_of, work_folder, written
+from .shared import LOCATOR, located, text_of, unpacked, work_folder, written
 
 #: Labelled rows the classifier is fitted on, first by a hash of doc_id.
 SAMPLE_ROWS = 8000
@@ -190,9 +190,15 @@ def mix(
     rows every domain is equally likely. An empty table gives no rows; further columns of either
     table are ignored.
     """
-    spark = docs.sparkSession
-    folder = folder or work_folder(spark, "mixing")
-    docs = located(docs, folder)
+    folder = folder or work_folder(docs.sparkSession, "mixing")
+    return _mixed(located(docs, folder), labels, domains, tokens, sample_rows, folder, most)
+
+
+def _mixed(
+    docs: DataFrame, labels: DataFrame, domains: tuple[Domain, ...], tokens: float | None, sample_rows: int,
+    folder: str, most: float | None,
+) -> DataFrame:
+    """``mix`` for located rows."""
     sample = written(labelled(docs, labels, domains, sample_rows), f"{folder}/sample")
     words, prior = classifier(sample, domains, folder)
     chances = written(posteriors(docs, words, prior), f"{folder}/chances")
@@ -225,9 +231,8 @@ def resample(
 ) -> DataFrame:
     """Each row of ``docs`` as often as ``mix`` says; columns stay as they are."""
     folder = work_folder(docs.sparkSession, "mixing")
-    rows = located(docs, folder)
-    rated = written(mix(rows, labels, domains, tokens, folder=folder, most=most), f"{folder}/rated")
-    changed = rated.filter("copies <> 1").select(*LOCATOR, F.col("copies").alias("__copies"))
-    many = rows.join(changed, LOCATOR, "left").withColumn("__copies", F.coalesce("__copies", F.lit(1).cast("long")))
-    every = many.filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
-    return every.drop("__copies", "__copy", *LOCATOR)
+    rows = located(docs, folder, whole=True)
+    rated = _mixed(rows.drop("__all"), labels, domains, tokens, SAMPLE_ROWS, folder, most)
+    changed = written(rated, f"{folder}/rated").filter("copies <> 1").select(*LOCATOR, "copies")
+    many = rows.select("__all", *LOCATOR).join(changed, LOCATOR, "left").na.fill(1, ["copies"])
+    return unpacked(many.filter("copies > 0").select("__all", F.explode(F.expr("sequence(1L, copies)"))))

@@ -36,20 +36,29 @@ def text_of(docs: DataFrame) -> Column:
     return F.coalesce(docs["text"].cast("string"), F.lit(""))
 
 
-def located(docs: DataFrame, folder: str) -> DataFrame:
-    """``docs`` with the columns ``__file`` and ``__row``: where each row is stored.
+def located(docs: DataFrame, folder: str, whole: bool = False) -> DataFrame:
+    """``doc_id, text`` of every row of ``docs`` and its place: ``__file`` and ``__row``.
 
-    The place identifies a row even if identifiers are null or repeat. A frame that isn't read
-    from files is written below ``folder`` first. A frame that has these columns is returned as is;
-    their names are reserved.
+    The place identifies a row even if identifiers are null or repeat. With ``whole`` the struct
+    ``__all`` holds all columns of ``docs``, so that whatever they are called, they meet no name
+    used here; ``unpacked`` gives them back. A frame that isn't read from files is written below
+    ``folder`` first.
     """
-    if set(LOCATOR) <= set(docs.columns):
-        return docs
-    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    def placed(df: DataFrame) -> DataFrame:
+        stored = df.metadataColumn("_metadata")  # also if a column has this name
+        columns = [df["doc_id"], df["text"], stored["file_path"].alias("__file"), stored["row_index"].alias("__row")]
+        every = F.struct(*[df[f"`{c}`"].alias(c) for c in df.columns]).alias("__all")
+        return df.select(*columns, *[every] * whole)
+
     try:
-        return docs.select("*", *place)
+        return placed(docs)
     except AnalysisException:
-        return written(docs, f"{folder}/landed").select("*", *place)
+        return placed(written(docs, f"{folder}/landed"))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """The columns that ``located`` packed."""
+    return rows.select("__all.*")
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:

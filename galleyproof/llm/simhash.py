@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import LOCATOR, bounded_batches, located, text_of, work_folder, written
+from .shared import LOCATOR, bounded_batches, located, text_of, unpacked, work_folder, written
 
 BITS = 64
 SHINGLE = 4
@@ -196,8 +196,7 @@ def near_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def link(docs: DataFrame, folder: str, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, place, ``fp`` and ``root`` (equal for linked fingerprints) of every row."""
-    docs = located(docs, folder)
+    """``doc_id``, place, ``fp`` and ``root`` (equal for linked fingerprints) of every located row."""
     rows = written(fingerprints(docs, ["doc_id", *LOCATOR]), f"{folder}/prints")
     prints = written(rows.select("fp").distinct(), f"{folder}/distinct")
     roots = components(near_pairs(prints, distance), folder)
@@ -215,7 +214,7 @@ def near_duplicates(docs: DataFrame, folder: str | None = None, distance: int =
     rows stay. An empty table gives no rows; further columns are ignored.
     """
     folder = folder or work_folder(docs.sparkSession, "simhash")
-    rows = written(link(docs, folder, distance), f"{folder}/linked")
+    rows = written(link(located(docs, folder), folder, distance), f"{folder}/linked")
     least = written(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), f"{folder}/least")
     return rows.join(least, "root").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -224,8 +223,8 @@ def near_duplicates(docs: DataFrame, folder: str | None = None, distance: int =
 def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``docs`` with one row of each component, the first by doc_id (nulls last) and place."""
     folder = work_folder(docs.sparkSession, "simhash")
-    rows = located(docs, folder)
-    linked = written(link(rows, folder, distance), f"{folder}/linked")
+    rows = located(docs, folder, whole=True)
+    linked = written(link(rows.drop("__all"), folder, distance), f"{folder}/linked")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *LOCATOR)
     kept = linked.groupBy("root").agg(F.min(order).alias("first")).select("first.*").select(*LOCATOR)
-    return rows.join(kept, LOCATOR, "left_semi").drop(*LOCATOR)
+    return unpacked(rows.select("__all", *LOCATOR).join(kept, LOCATOR, "left_semi"))
