@@ -10,7 +10,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .samples import hashed_share
@@ -26,9 +27,12 @@ SMOOTHING = 0.5
 LEAST_ROWS = 3
 #: And must tell domains apart by so much, which chance hardly does for any of a million words.
 LEAST_SCORE = 20.0
-ROUNDS = 40
-#: Largest miss of a domain's target, as a share of all target tokens, that ends the fit.
-CLOSE = 1e-4
+#: And so much of its shares of all domains' rows must be one domain's.
+PURE = 0.8
+#: Weight of leaving rates at 1, against that of the targets.
+RIDGE = 1e-6
+#: Largest slope towards a domain's target, as a share of all target tokens, that ends the fit.
+CLOSE = 1e-5
 #: Most copies of a document that the registered query and the pipeline make for a scarce domain.
 MOST_COPIES = 8.0
 
@@ -73,12 +77,14 @@ def labelled(docs: DataFrame, labels: DataFrame, domains: tuple[Domain, ...], ro
 
 
 def classifier(sample: DataFrame, domains: tuple[Domain, ...], folder: str, features: int = FEATURES) -> tuple[DataFrame, list[float]]:
-    """Words with their log-odds for each domain, and the domains' log prior chances.
+    """Words with their log-odds for each domain, and the domains' log chances without any of them.
 
     A word is chosen by how far its rows per domain are from independence (chi-squared, with one
     added to the expected counts, and at least ``LEAST_SCORE``: rare words reach that only if they
-    stay with one domain). Its log-odds compare its share of a domain's rows with its share of all
-    sample rows.
+    stay with one domain), if it is pure: its share of one domain's rows is at least ``PURE`` of its
+    shares of all domains' rows together. Words that all domains use, if unevenly, so tell nothing.
+    Presence and absence count: the log-odds are log(s / (1 - s)) of the word's share s of a
+    domain's rows, and the sum of log(1 - s) over all words goes to the domain's prior.
     """
     totals = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     n = sum(totals.values())
@@ -89,16 +95,23 @@ def classifier(sample: DataFrame, domains: tuple[Domain, ...], folder: str, feat
     per_word = words.groupBy("word").agg(F.count("*").alias("rows"), *counts).filter(F.col("rows") >= LEAST_ROWS)
 
     def share(k: int) -> Column:
-        return (F.col(f"n{k}") + SMOOTHING * F.col("rows") / max(n, 1)) / (size[k] + SMOOTHING)
+        return (F.col(f"n{k}") + SMOOTHING * F.col("rows") / max(n, 1)) / (size[k] + 2 * SMOOTHING)
 
     every = F.col("rows") / max(n, 1)
     expected = [every * s for s in size]
     chi = sum(
         ((F.col(f"n{k}") - e) ** 2 / (e + 1) for k, e in enumerate(expected) if size[k]),
         F.lit(0.0))
-    odds = [F.log(share(k) / every).alias(f"w{k}") for k in range(len(domains))]
-    chosen = per_word.withColumn("chi", chi).filter(F.col("chi") >= LEAST_SCORE).orderBy(F.desc("chi"), "word").limit(features)
-    return written(chosen.select("word", *odds), f"{folder}/features"), prior
+    every_share = sum((share(k) for k in range(len(domains))), F.lit(0.0))
+    pure = F.greatest(*[share(k) for k in range(len(domains))], F.lit(0.0)) >= PURE * every_share
+    odds = [F.log(share(k) / (1 - share(k))).alias(f"w{k}") for k in range(len(domains))]
+    absent = [F.log(1 - share(k)).alias(f"a{k}") for k in range(len(domains))]
+    chosen = per_word.withColumn("chi", chi).filter((F.col("chi") >= LEAST_SCORE) & pure)
+    chosen = chosen.orderBy(F.desc("chi"), "word").limit(features)
+    words = written(chosen.select("word", *odds, *absent), f"{folder}/features")
+    without = words.agg(*[F.sum(f"a{k}").alias(f"a{k}") for k in range(len(domains))]).first()
+    prior = [p + (without[f"a{k}"] or 0.0) for k, p in enumerate(prior)]
+    return words.drop(*[f"a{k}" for k in range(len(domains))]), prior
 
 
 def posteriors(docs: DataFrame, words: DataFrame, prior: list[float]) -> DataFrame:
@@ -123,24 +136,27 @@ def posteriors(docs: DataFrame, words: DataFrame, prior: list[float]) -> DataFra
         *[(F.exp(F.col(f"s{k}") - top) / total).alias(f"p{k}") for k in range(n)])
 
 
-def fit_rates(
-    chances: DataFrame, weights: list[float], tokens: float | None, rounds: int = ROUNDS, most: float | None = None,
-) -> Column:
-    """The rate of every row as an expression over ``n_tokens, p0 .. pk``.
+def fit_rates(chances: DataFrame, weights: list[float], tokens: float | None, most: float | None = None) -> Column:
+    """The rate of every row as an expression over ``p0 .. pk``.
 
-    Rates r >= 0 minimise the sum over domains of (expected tokens - target)^2 / mass, where a
-    domain's expected tokens are the sum of r n p and its mass that of n p. Starting from r = 1,
-    each step moves every rate against its gradient per token and cuts it off at 0; a step is one
-    aggregate over the narrow table, and only the domains' sums reach the driver. ``tokens`` is the
-    total to aim at. By default the domain with the largest weight keeps its mass, the others are
-    brought to their weights beside it, and one that has less than its share keeps what it has. With
-    ``most`` the targets stay as given: rates lie in [0, most], so a scarce domain's documents are
+    Rates 0 <= r (<= ``most``) minimise the sum over domains of (expected tokens - target)^2 / mass,
+    where a domain's expected tokens are the sum of r n p and its mass that of n p, and, ``RIDGE``
+    times as important, the changes n (r - 1)^2. At the minimum a projected gradient step changes
+    nothing: r is 1 - sum p_k y_k, cut off at 0 and ``most``, with y_k the domain's miss over
+    RIDGE times its mass. So a number per domain tells all rates. Each step moves these against the
+    gradient, scaled by the curvature over the rows that aren't cut off, and is halved until it
+    descends; it is one aggregate over the narrow table, and only sums over domains reach the
+    driver. The steps end when the gradient vanishes, so targets are met within ``CLOSE`` of all
+    tokens, or can't be met by any rates.
+
+    ``tokens`` is the total to aim at. By default the domain with the largest weight keeps its
+    mass, the others are brought to their weights beside it, and one that has less than its share
+    keeps what it has. With ``most`` the targets stay as given, so a scarce domain's documents are
     repeated, and ``reached`` tells how far its weight is met.
     """
     n = len(weights)
     share = [w / sum(weights) for w in weights]
-    expected = [f"p{k} * n_tokens" for k in range(n)]
-    first = chances.agg(*[F.sum(F.expr(e)).alias(f"m{k}") for k, e in enumerate(expected)]).first()
+    first = chances.agg(*[F.sum(F.expr(f"p{k} * n_tokens")).alias(f"m{k}") for k in range(n)]).first()
     mass = [first[f"m{k}"] or 0.0 for k in range(n)]
     if tokens is None:
         lead = share.index(max(share))
@@ -149,29 +165,45 @@ def fit_rates(
     else:
         total = tokens
         target = [s * total for s in share]
-    steps: list[list[float]] = []
-    have = mass
-    for _ in range(rounds):
-        miss = [h - t for h, t in zip(have, target, strict=True)]
-        # with no document in a domain its target can't be met
-        if max((abs(m) for m, b in zip(miss, mass, strict=True) if b > 0), default=0.0) <= CLOSE * max(total, 1.0):
+    # with no document in a domain its target can't be met
+    live = [k for k in range(n) if mass[k] > 0]
+    if not live:
+        return F.lit(1.0)
+    ridge = np.array([RIDGE * mass[k] for k in live])
+
+    def at(y: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Value, gradient and curvature of the convex function of y whose minimum is sought."""
+        moved = sum((F.col(f"p{k}") * float(v) for k, v in zip(live, y, strict=True)), F.lit(0.0))
+        rows = chances.withColumn("z", moved).withColumn("r", _cut(F.lit(1.0) - F.col("z"), most))
+        free = (F.col("r") > 0) & (F.col("r") < most if most else F.lit(True))
+        # the most that r (1 - z) - r^2 / 2 can be within the bounds; its slope in z is -r
+        sums = rows.agg(
+            F.sum(F.expr("n_tokens * (r * (1 - z) - r * r / 2)")).alias("v"), *[F.sum(F.expr(f"r * p{k} * n_tokens")).alias(f"e{k}") for k in live],
+            *[F.sum(F.when(free, F.expr(f"p{j} * p{k} * n_tokens"))).alias(f"h{j}_{k}") for j in live for k in live],
+        ).first()
+        have = np.array([sums[f"e{k}"] or 0.0 for k in live])
+        aim = np.array([target[k] for k in live])
+        curve = np.array([[sums[f"h{j}_{k}"] or 0.0 for k in live] for j in live])
+        return (float((sums["v"] or 0.0) + aim @ y + (ridge * y * y).sum() / 2), aim + ridge * y - have, curve + np.diag(ridge))
+
+    y = np.zeros(len(live))
+    value, slope, curve = at(y)
+    while np.abs(slope).max() > CLOSE * max(total, 1.0):
+        step, length = np.linalg.solve(curve, slope), 1.0
+        while True:
+            new = at(y - length * step)
+            if new[0] <= value - 1e-4 * length * (slope @ step) or length < 1e-9:
+                break
+            length /= 2
+        if length < 1e-9:  # no further descent within the precision of the sums
             break
-        # in this scaling the largest eigenvalue of the problem is at most 1, so a unit step descends
-        steps.append([m / b if b > 0 else 0.0 for m, b in zip(miss, mass, strict=True)])
-        now = chances.withColumn("rate", _stepped(steps, most)).agg(
-            *[F.sum(F.expr(f"rate * {e}")).alias(f"m{k}") for k, e in enumerate(expected)]).first()
-        have = [now[f"m{k}"] or 0.0 for k in range(n)]
-    return _stepped(steps, most)
+        y, (value, slope, curve) = y - length * step, new
+    moved = sum((F.col(f"p{k}") * float(v) for k, v in zip(live, y, strict=True)), F.lit(0.0))
+    return _cut(F.lit(1.0) - moved, most)
 
 
-def _stepped(steps: list[list[float]], most: float | None = None) -> Column:
-    """The rate after these steps from 1, each cut off at 0 and at ``most``."""
-    if not steps:
-        return F.lit(1.0)
-    rows = F.array(*[F.array(*[F.lit(x) for x in step]) for step in steps])
-    slope = lambda s: sum((F.col(f"p{k}") * s[k] for k in range(len(steps[0]))), F.lit(0.0))
-    within = lambda r: F.greatest(F.lit(0.0), r) if most is None else F.greatest(F.lit(0.0), F.least(F.lit(float(most)), r))
-    return F.aggregate(rows, F.lit(1.0), lambda r, s: within(r - slope(s)))
+def _cut(rate: Column, most: float | None) -> Column:
+    return F.greatest(F.lit(0.0), rate if most is None else F.least(F.lit(float(most)), rate))
 
 
 def mix(
