@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions import is_test
 from ..operators import table_stats
-from ..session import scratch_folder
 from ..sources.versions import StaleVersion, VersionedTables
 from . import changes, snapshots
 
@@ -126,9 +125,7 @@ def restore_stored(
     held = backup(live, folder, ts)
     snap = snapshots.read_tables(spark, source.path, list(live))
 
-    path = f"{scratch_folder(spark, 'restore', local=True)}/state"
-    snapshots.restore_state(live, snap, ids).write.parquet(path)
-    state = spark.read.parquet(path)
+    state = snapshots.landed_state(live, snap, ids)
     changed = {
         r.table for r in state.filter("n_live = 0 AND n_snap > 0").select("table").distinct().collect()}
     if changed:

@@ -270,20 +270,33 @@ def invoices(
     """What each replicator may bill for a quarter, in USD to one digit, and the next invoice
     number. ``aliases`` maps an outdated address to the listed one."""
     usd = _exact(round(rate * fx, 2))
-    hours = capped_hours(worked, cap).filter(F.col("quarter") == quarter)
-    email = F.col("replicator")
-    for old, current in (aliases or {}).items():
-        email = F.when(F.col("replicator") == old, F.lit(current)).otherwise(email)
-    # both addresses of a person make one invoice
-    billed = hours.groupBy(email.alias("email")).agg(
-        F.count("*").alias("num_jobs"), F.sum("hours").alias("hours")
-    ).withColumn("amount_USD", F.bround(F.col("hours") * usd, 1))
+    billed = _billed(worked, quarter, cap, aliases).withColumn("amount_USD", F.bround(F.col("hours") * usd, 1))
     people = replicators.select(
         "email", "name", (invoice_number(F.col("invoice")) + 1).alias("next_invoice")
     )
     return billed.join(people, "email", "left")
 
 
+def _billed(worked: DataFrame, quarter: str, cap: float, aliases: dict[str, str] | None) -> DataFrame:
+    """Jobs and hours of a quarter per address; both addresses of a person make one."""
+    hours = capped_hours(worked, cap).filter(F.col("quarter") == quarter)
+    email = F.col("replicator")
+    for old, current in (aliases or {}).items():
+        email = F.when(F.col("replicator") == old, F.lit(current)).otherwise(email)
+    return hours.groupBy(email.alias("email")).agg(F.count("*").alias("num_jobs"), F.sum("hours").alias("hours"))
+
+
+def invoice_rejects(
+    worked: DataFrame, replicators: DataFrame, quarter: str, cap: float = 1.5, aliases: dict[str, str] | None = None,
+) -> DataFrame:
+    """Hours of a quarter for which no invoice can be made: email, num_jobs, hours, and why. The
+    address is "not_listed", or the person has "no_number" to count on from."""
+    listed = replicators.groupBy("email").agg(F.max(invoice_number(F.col("invoice"))).alias("_number"), F.lit(True).alias("_listed"))
+    reason = F.when(F.col("_listed").isNull(), "not_listed").when(F.col("_number").isNull(), "no_number")
+    known = _billed(worked, quarter, cap, aliases).join(listed, "email", "left").withColumn("reason", reason)
+    return known.filter(F.col("reason").isNotNull()).select("email", "num_jobs", "hours", "reason")
+
+
 def assignments(papers: DataFrame, iterations: DataFrame, as_of: dt.date) -> DataFrame:
     """Who holds which package, and for how many days. The schema is fixed: an all-null second
     slot stays (`all_missing` tells)."""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import expired_snapshots, insert_by_name, split_join
+from ..session import scratch_folder
 from ..sources.files import delete_folder, list_files, list_folders, write_text_once
 
 FOLDER = "snapshot_ts="
@@ -61,15 +62,29 @@ def restore_state(live: Mapping[str, DataFrame], snap: Mapping[str, DataFrame],
     n_snap. All tables are counted by one aggregate, for which they send their keys only."""
     wanted = ids.select("paper_id").distinct()
     sides = [
-        df.select(F.lit(name).alias("table"), "paper_id", F.lit(one).alias("n_live"), F.lit(1 - one).alias("n_snap"))
+        split_join(df.select("paper_id"), wanted, ["paper_id"], "left_semi").select(
+            F.lit(name).alias("table"), "paper_id", F.lit(one).alias("n_live"), F.lit(1 - one).alias("n_snap"))
         for one, tables in ((1, live), (0, snap)) for name, df in tables.items() if name in live]
-    asked = split_join(reduce(DataFrame.unionByName, sides), wanted, ["paper_id"], "left_semi")
-    counts = asked.groupBy("table", "paper_id").agg(*[
+    counts = reduce(DataFrame.unionByName, sides).groupBy("table", "paper_id").agg(*[
         F.sum(c).cast("bigint").alias(c) for c in ("n_live", "n_snap")])
     rows = wanted.select(F.explode(F.array(*[F.lit(n) for n in live])).alias("table"), "paper_id")
     return rows.join(counts, ["table", "paper_id"], "left").na.fill(0, ["n_live", "n_snap"])
 
 
+def landed_state(live: Mapping[str, DataFrame], snap: Mapping[str, DataFrame], ids: DataFrame) -> DataFrame:
+    """``restore_state``, written to the scratch folder and read back.
+
+    So are the wanted papers before: Spark then knows how few they are and needn't shuffle the
+    tables to cut them.
+    """
+    spark = ids.sparkSession
+    folder = scratch_folder(spark, "restore", local=True)
+    ids.select("paper_id").distinct().write.parquet(f"{folder}/wanted")
+    state = restore_state(live, snap, spark.read.schema("paper_id string").parquet(f"{folder}/wanted"))
+    state.write.parquet(f"{folder}/state")
+    return spark.read.schema(state.schema).parquet(f"{folder}/state")
+
+
 def restored(
     live: Mapping[str, DataFrame], snap: Mapping[str, DataFrame], state: DataFrame
 ) -> dict[str, DataFrame]:
@@ -97,8 +112,9 @@ def restore(
     live: Mapping[str, DataFrame], snap: Mapping[str, DataFrame], ids: DataFrame
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Papers brought back from a snapshot, table by table, where the live table has no row of
-    them. Columns are matched by name. Returns (tables, log of table, paper_id, action, rows)."""
-    state = restore_state(live, snap, ids)
+    them. Columns are matched by name. What the tables hold of the papers is counted once, at the
+    call, and lands in the scratch folder. Returns (tables, log of table, paper_id, action, rows)."""
+    state = landed_state(live, snap, ids)
     return restored(live, snap, state), restore_log(snap, state)
 
 

@@ -71,6 +71,24 @@ def test_prefix_filter_loses_nothing(spark, seed, threshold):
     assert link(spark, datasets, articles, threshold=threshold) == brute(datasets, articles, threshold)
 
 
+def test_verified_pairs_grow_with_the_input_only(spark, monkeypatch):
+    """Under one surname most titles meet, but each has an equal one, which no other can beat."""
+    counted, plain = [], linkage._verified
+    monkeypatch.setattr(linkage, "_verified", lambda pairs, *a: counted.append((pairs.count(), pairs)) or plain(pairs, *a))
+    rng = random.Random(5)
+    verified, met = [], []
+    for n in (60, 240):
+        titles = [" ".join([f"own{i}", *rng.sample([f"common{k}" for k in range(12)], 5)]) for i in range(n)]
+        datasets = [dataset(i, t, ["Hot, X"]) for i, t in enumerate(titles)]
+        articles = [(f"10.1/{i}", t, ["hot"], i) for i, t in enumerate(titles)]
+        assert link(spark, datasets, articles) == {f"doi:{i}": (f"10.1/{i}", 1.0) for i in range(n)}
+        verified.append(sum(c for c, _ in counted))
+        sets, arts = linkage._titles(spark.createDataFrame(datasets, D_SCHEMA), spark.createDataFrame(articles, A_SCHEMA))
+        met.append(linkage._met(sets, arts, 0.6).count())
+        counted.clear()
+    assert verified == [60, 240] and met[1] > 8 * met[0]
+
+
 def test_pairs_come_once(spark):
     datasets = spark.createDataFrame([dataset(1, "a b c", ["X, A", "Y, B"]), dataset(2, "a b c", ["X, A", "Y, B"])], D_SCHEMA)
     articles = spark.createDataFrame([("10.1/a", "a b c d", ["x", "y"], 1)], A_SCHEMA)

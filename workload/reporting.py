@@ -161,6 +161,21 @@ def _(t):
     return doubles(rows, "hours", "amount_USD")
 
 
+@query("invoice_rejects", f"""
+    SELECT w.email, w.num_jobs, CAST(w.hours AS DOUBLE) AS hours,
+        CASE WHEN r.email IS NULL THEN 'not_listed' ELSE 'no_number' END AS reason
+    FROM (SELECT replicator AS email, COUNT(*) AS num_jobs, SUM(hours) AS hours
+          FROM ({_PAID}) p WHERE quarter = '1998-Q3' GROUP BY 1) w
+    LEFT JOIN (SELECT email, CASE WHEN email LIKE '%5@%' THEN NULL ELSE invoice END AS invoice FROM replicators
+               WHERE email NOT LIKE '%7@%') r ON r.email = w.email
+    WHERE TRY_CAST(split_part(r.invoice, '-', 2) AS INT) IS NULL""")
+def _(t):
+    """Hours of people that left the roster or have no invoice number."""
+    roster = t.replicators.filter("email NOT LIKE '%7@%'").withColumn(
+        "invoice", F.when(~F.col("email").like("%5@%"), F.col("invoice")))
+    return doubles(reports.invoice_rejects(reports.hours_worked(t.iterations), roster, "1998-Q3"), "hours")
+
+
 @query("paper_report", f"""
     SELECT a.paper_id, a.title, a.firstname_of_author || ' ' || a.surname_of_author AS authors, a.journal,
         a.status, a.days_in_status, {_ACTOR.format(c='a.status')} AS responsible_actor, a.round,
