@@ -116,3 +116,69 @@ def test_misspellings_share_subwords():
 def test_windows():
     best, first, stop = subwords.best_windows(np.array([1.0, 5, 3, 0, 9, 2]), np.array([4, 0, 1, 1]))
     assert best.tolist() == [3, 0, 9, 2] and (stop - first).tolist() == [3, 0, 1, 1]
+
+
+def plain_line_score(field, text):
+    """One text: every line's potentials, sums over all labels before and after it, no shared arrays."""
+    features, sizes, lines_of = line_crf.line_features([text.encode()])
+    good = [sum(w * (f - m) / s for w, f, m, s in zip(field.weights, line, field.mean, field.spread, strict=True))
+            for line in features]
+    n = int(lines_of[0])
+    emit = [(1.0, np.exp(g)) for g in good]
+    move = np.exp(field.moves)
+    ahead, back = [emit[0]], [(1.0, 1.0)]
+    for t in range(1, n):
+        a = [sum(ahead[-1][x] * move[x][y] for x in (0, 1)) * emit[t][y] for y in (0, 1)]
+        ahead.append([v / sum(a) for v in a])
+    for t in range(n - 1, 0, -1):
+        b = [sum(move[x][y] * emit[t][y] * back[0][y] for y in (0, 1)) for x in (0, 1)]
+        back.insert(0, [v / sum(b) for v in b])
+    marginal = [a[1] * b[1] / (a[0] * b[0] + a[1] * b[1]) for a, b in zip(ahead, back, strict=True)]
+    weight = [size + 1.0 for size in sizes]
+    quality = sum(m * w for m, w in zip(marginal, weight, strict=True)) / sum(weight)
+    return 1 / (1 + np.exp(-field.slope * (quality - field.level)))
+
+
+def test_quality_scores_equal_a_plain_field(spark, marked):
+    """Scores of whole texts, odd and long ones too, against one text at a time in plain loops."""
+    docs, labels = marked
+    field = line_crf.train(docs, labels, samples.remainder(5) != 0)
+    texts = {r.doc_id: r.text or "" for r in docs.filter("doc_id IS NOT NULL").collect()}
+    texts |= {2000: "\n\n\n", 2001: "a\r\nb\n", 2002: "\n".join(["ta re no."] * 500), 2003: "é\x1c ß"}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in line_crf.score(rows, field).collect():
+        assert r.score == pytest.approx(plain_line_score(field, texts[r.doc_id]), abs=1e-9)
+
+
+def plain_toxic_score(model, text):
+    """One text: each word's vectors averaged, windows of three words one after the other."""
+    def word(w):
+        grams, _ = subwords.subwords([w])
+        vector = sum(model.embeddings[g] for g in grams) / len(grams)
+        return float(vector @ model.softmax[:, 1] - vector @ model.softmax[:, 0])
+
+    own = [word(w) for w in text.lower().split()]
+    size = min(len(own), subwords.WINDOW)
+    means = [sum(own[i:i + size]) / size for i in range(len(own) - size + 1)] if own else [0.0]
+    toxic, clean = np.exp(max(means) + model.bias[1]), np.exp(model.bias[0])
+    return toxic / (toxic + clean)
+
+
+def test_toxicity_scores_equal_a_plain_model(spark, marked):
+    docs, labels = marked
+    model = subwords.train(docs, labels, samples.remainder(4) != 2)
+    texts = {r.doc_id: r.text or "" for r in docs.filter("doc_id < 120 OR doc_id IN (1000, 1001)").collect()}
+    texts |= {2000: "grumbok", 2001: "a grumbok", 2002: "É \x1c ß GRUMBOK ta", 2003: "ta re no " * 800}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in subwords.score(rows, model).collect():
+        assert r.score == pytest.approx(plain_toxic_score(model, texts[r.doc_id]), abs=1e-9)
+
+
+@pytest.mark.parametrize("judge, label, folds, held, least", [
+    (line_crf.judge, "quality", 5, 0, 0.95), (subwords.judge, "toxic", 4, 2, 0.8)])
+def test_held_out_labels_of_the_given_tables(spark, judge, label, folds, held, least):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    want = {r.doc_id: r[label] for r in labels.collect()}
+    rows = [r for r in judge(docs, labels).collect() if r.held_out and r.doc_id in want]
+    assert len(rows) > 50 and auc(rows, lambda i: want[i] == 1) > least

@@ -125,6 +125,53 @@ def test_scores_equal_brute_force_counts(docs, rows, monkeypatch, small_blocks):
     assert all(np.isfinite(r.score) and r.score < 0 for r in found)
 
 
+def test_scores_equal_a_plain_model(docs, rows, monkeypatch):
+    """Whole texts in plain loops: forward values over the trained chain, and words within their class."""
+    monkeypatch.setattr(hmm, "TOP_WORDS", 50)
+    caught, plain = {}, hmm.trained
+
+    def trained(blocks, chain, own, passes=None):
+        caught["own"], caught["chain"] = own, plain(blocks, chain, own, passes)
+        return caught["chain"]
+
+    monkeypatch.setattr(hmm, "trained", trained)
+    found = hmm.score(docs, states=3, passes=2, start_docs=10).collect()
+    own, chain = caught["own"], caught["chain"]
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
+    counts = Counter(w for i, t in rows if not held(i) for w in hmm.tokens(t))
+    of = lambda w: own.get(w, len(own) + hmm.ending(w))
+    total, kinds = Counter(), Counter()
+    for w, c in counts.items():
+        total[of(w)] += c
+        kinds[of(w)] += 1
+
+    def told(text):
+        alpha, score = None, 0.0
+        for w in hmm.tokens(text):
+            k = of(w)
+            before = chain.start if alpha is None else [
+                sum(alpha[x] * chain.move[x][y] for x in range(3)) for y in range(3)]
+            alpha = [b * chain.emit[y][k] for y, b in enumerate(before)]
+            score += np.log10(sum(alpha))
+            alpha = [a / sum(alpha) for a in alpha]
+            if k >= len(own):
+                score += np.log10((counts[w] + 0.1) / (total[k] + 0.1 * (kinds[k] + 1)))
+        return score
+
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, []).append(told(t))
+    for r in found:
+        assert any(r.score == pytest.approx(want, rel=1e-9) for want in texts[r.doc_id])
+
+
+def test_held_out_texts_are_likelier_than_by_words_alone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = [r for r in hmm.score(docs).collect() if r.held_out]
+    assert len(held) > 50 and sum(r.score for r in held) > sum(r.base_score for r in held)
+    assert sum(r.score > r.base_score for r in held) > 0.9 * len(held)
+
+
 def test_empty(empty):
     assert hmm.score(empty, states=2, passes=1).count() == 0
 
