@@ -25,14 +25,18 @@ FEATURES = 4096
 SMOOTHING = 0.5
 #: A word must occur in so many labelled rows.
 LEAST_ROWS = 3
-#: And must tell domains apart by so much, which chance hardly does for any of a million words.
-LEAST_SCORE = 20.0
+#: And must tell domains apart by so much that chance would bring so many of all words tried there.
+CHANCE_WORDS = 10
 #: And so much of its shares of all domains' rows must be one domain's.
 PURE = 0.8
-#: Weight of leaving rates at 1, against that of the targets.
-RIDGE = 1e-6
-#: Largest slope towards a domain's target, as a share of all target tokens, that ends the fit.
-CLOSE = 1e-5
+#: Weights of leaving rates at 1, against that of the targets: the last is the fit's, the ones before
+#: only lead there, since far from the optimum steps at a light weight have to be very short.
+RIDGES = (1e-2, 1e-3, 1e-4, 1e-5, 1e-6)
+#: Largest slope towards a domain's target, as a share of all target tokens, that ends the fit,
+#: and that ends it at a weight on the way.
+CLOSE, NEAR = 1e-5, 1e-3
+#: A domain with a smaller share of all tokens counts as absent: no repetition meets its target.
+ABSENT = 1e-9
 #: Most copies of a document that the registered query and the pipeline make for a scarce domain.
 MOST_COPIES = 8.0
 
@@ -80,9 +84,10 @@ def classifier(sample: DataFrame, domains: tuple[Domain, ...], folder: str, feat
     """Words with their log-odds for each domain, and the domains' log chances without any of them.
 
     A word is chosen by how far its rows per domain are from independence (chi-squared, with one
-    added to the expected counts, and at least ``LEAST_SCORE``: rare words reach that only if they
-    stay with one domain), if it is pure: its share of one domain's rows is at least ``PURE`` of its
+    added to the expected counts), if it is pure: its share of one domain's rows is at least ``PURE`` of its
     shares of all domains' rows together. Words that all domains use, if unevenly, so tell nothing.
+    The least chi-squared follows from the number of words tried: chance brings about exp(-x / 2) of
+    them to x (two degrees of freedom), and at most ``CHANCE_WORDS`` of all may get there by chance.
     Presence and absence count: the log-odds are log(s / (1 - s)) of the word's share s of a
     domain's rows, and the sum of log(1 - s) over all words goes to the domain's prior.
     """
@@ -106,7 +111,9 @@ def classifier(sample: DataFrame, domains: tuple[Domain, ...], folder: str, feat
     pure = F.greatest(*[share(k) for k in range(len(domains))], F.lit(0.0)) >= PURE * every_share
     odds = [F.log(share(k) / (1 - share(k))).alias(f"w{k}") for k in range(len(domains))]
     absent = [F.log(1 - share(k)).alias(f"a{k}") for k in range(len(domains))]
-    chosen = per_word.withColumn("chi", chi).filter((F.col("chi") >= LEAST_SCORE) & pure)
+    tried = written(per_word, f"{folder}/tried")
+    least = 2 * math.log(max(tried.count() / CHANCE_WORDS, 1.0))
+    chosen = tried.withColumn("chi", chi).filter((F.col("chi") >= least) & pure)
     chosen = chosen.orderBy(F.desc("chi"), "word").limit(features)
     words = written(chosen.select("word", *odds, *absent), f"{folder}/features")
     without = words.agg(*[F.sum(f"a{k}").alias(f"a{k}") for k in range(len(domains))]).first()
@@ -140,13 +147,14 @@ def fit_rates(chances: DataFrame, weights: list[float], tokens: float | None, mo
     """The rate of every row as an expression over ``p0 .. pk``.
 
     Rates 0 <= r (<= ``most``) minimise the sum over domains of (expected tokens - target)^2 / mass,
-    where a domain's expected tokens are the sum of r n p and its mass that of n p, and, ``RIDGE``
-    times as important, the changes n (r - 1)^2. At the minimum a projected gradient step changes
+    where a domain's expected tokens are the sum of r n p and its mass that of n p, and, the last of
+    ``RIDGES`` times as important, the changes n (r - 1)^2. At the minimum a projected gradient step changes
     nothing: r is 1 - sum p_k y_k, cut off at 0 and ``most``, with y_k the domain's miss over
-    RIDGE times its mass. So a number per domain tells all rates. Each step moves these against the
+    that ridge times its mass. So a number per domain tells all rates. Each step moves these against the
     gradient, scaled by the curvature over the rows that aren't cut off, and is halved until it
     descends; it is one aggregate over the narrow table, and only sums over domains reach the
-    driver. The steps end when the gradient vanishes, so targets are met within ``CLOSE`` of all
+    driver. The numbers are first brought near the optimum of heavier ridges, from which few steps
+    are left also where targets can't be met and the numbers are large. The steps end when the gradient vanishes, so targets are met within ``CLOSE`` of all
     tokens, or can't be met by any rates.
 
     ``tokens`` is the total to aim at. By default the domain with the largest weight keeps its
@@ -165,13 +173,12 @@ def fit_rates(chances: DataFrame, weights: list[float], tokens: float | None, mo
     else:
         total = tokens
         target = [s * total for s in share]
-    # with no document in a domain its target can't be met
-    live = [k for k in range(n) if mass[k] > 0]
+    live = [k for k in range(n) if mass[k] > ABSENT * sum(mass)]
     if not live:
         return F.lit(1.0)
-    ridge = np.array([RIDGE * mass[k] for k in live])
+    live_mass, aim = np.array([mass[k] for k in live]), np.array([target[k] for k in live])
 
-    def at(y: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    def at(y: np.ndarray, ridge: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         """Value, gradient and curvature of the convex function of y whose minimum is sought."""
         moved = sum((F.col(f"p{k}") * float(v) for k, v in zip(live, y, strict=True)), F.lit(0.0))
         rows = chances.withColumn("z", moved).withColumn("r", _cut(F.lit(1.0) - F.col("z"), most))
@@ -182,22 +189,24 @@ def fit_rates(chances: DataFrame, weights: list[float], tokens: float | None, mo
             *[F.sum(F.when(free, F.expr(f"p{j} * p{k} * n_tokens"))).alias(f"h{j}_{k}") for j in live for k in live],
         ).first()
         have = np.array([sums[f"e{k}"] or 0.0 for k in live])
-        aim = np.array([target[k] for k in live])
         curve = np.array([[sums[f"h{j}_{k}"] or 0.0 for k in live] for j in live])
         return (float((sums["v"] or 0.0) + aim @ y + (ridge * y * y).sum() / 2), aim + ridge * y - have, curve + np.diag(ridge))
 
     y = np.zeros(len(live))
-    value, slope, curve = at(y)
-    while np.abs(slope).max() > CLOSE * max(total, 1.0):
-        step, length = np.linalg.solve(curve, slope), 1.0
-        while True:
-            new = at(y - length * step)
-            if new[0] <= value - 1e-4 * length * (slope @ step) or length < 1e-9:
+    for weight in RIDGES:
+        ridge, close = weight * live_mass, CLOSE if weight == RIDGES[-1] else NEAR
+        value, slope, curve = at(y, ridge)
+        while np.abs(slope).max() > close * max(total, 1.0):
+            scale = 1 / np.sqrt(np.diag(curve))  # so that scarce domains weigh as much
+            step, length = scale * np.linalg.solve(curve * np.outer(scale, scale), scale * slope), 1.0
+            while True:
+                new = at(y - length * step, ridge)
+                if new[0] <= value - 1e-4 * length * (slope @ step) or length < 1e-9:
+                    break
+                length /= 2
+            if length < 1e-9:  # no further descent within the precision of the sums
                 break
-            length /= 2
-        if length < 1e-9:  # no further descent within the precision of the sums
-            break
-        y, (value, slope, curve) = y - length * step, new
+            y, (value, slope, curve) = y - length * step, new
     moved = sum((F.col(f"p{k}") * float(v) for k, v in zip(live, y, strict=True)), F.lit(0.0))
     return _cut(F.lit(1.0) - moved, most)
 

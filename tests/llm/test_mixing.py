@@ -73,6 +73,28 @@ def test_targets_that_no_rates_meet_end_at_the_best(spark):
     assert abs(told["a"].expected_tokens - (75 + 75 / 9) / 2) < 0.1 and abs(told["a"].reached - 0.5) < 1e-6
 
 
+def test_the_fit_ends_soon_where_targets_cannot_be_met(spark, monkeypatch):
+    """Chances that leave no way to some targets: as good as plain projected gradient, in few passes."""
+    kinds = [(0.90, 0.02, 0.08), (0.86, 0.00001, 0.13999), (0.0, 1.0, 0.0), (0.85, 0.04, 0.11), (0.9, 1e-30, 0.1)]
+    rows = [(10 + 7 * i % 40, *kinds[0 if i % 9 else i % 5]) for i in range(200)]
+    chances = spark.createDataFrame(rows, "n_tokens long, p0 double, p1 double, p2 double").coalesce(1).cache()
+    passes, weights, cut = [], [0.96, 0.02, 0.02], mixing._cut
+    monkeypatch.setattr(mixing, "_cut", lambda *a: passes.append(1) or cut(*a))
+    rated = chances.withColumn("rate", mixing.fit_rates(chances, weights, None, most=8.0)).toPandas()
+    assert len(passes) <= 60
+    n, p, r = rated["n_tokens"].to_numpy(), rated[["p0", "p1", "p2"]].to_numpy(), rated["rate"].to_numpy()
+    mass, ridge = n @ p, mixing.RIDGES[-1]
+    target = np.array(weights) * mass[0] / 0.96
+
+    def cost(r):
+        return (((r * n) @ p - target) ** 2 / mass).sum() / 2 + ridge * (n * (r - 1) ** 2).sum() / 2
+
+    best, size = np.ones(len(r)), 1 / np.linalg.norm((p * n[:, None]).T @ p / mass[:, None], 2)
+    for _ in range(20000):
+        best = np.clip(best - size * (p @ (((best * n) @ p - target) / mass) + ridge * (best - 1)), 0, 8)
+    assert cost(r) <= cost(best) * (1 + 1e-6) + 1e-9
+
+
 def test_sf_targets_are_reached_and_clean_documents_stay(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")

@@ -43,7 +43,9 @@ def test_stages_equal_brute_force(spark, tmp_path):
             labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
             rated = mixing.mix(before, labels, most=mixing.MOST_COPIES).collect()
             assert sorted(ids) == sorted(r.doc_id for r in rated for _ in range(r.copies))
-            # that clean documents stay is asked for at sf0.01 (test_mixing): too few are labelled here
+            clean = {r.doc_id for r in labels.filter("quality = 1 AND toxic = 0").collect()} & {i for i, _ in old}
+            # 87 labelled rows can't tell the domains apart well; test_mixing asks for 95 % at sf0.01
+            assert len(clean & set(ids)) >= 0.85 * len(clean), (len(clean & set(ids)), len(clean))
         else:
             total = after.agg(F.sum("length")).first()[0]
             assert total == after.filter("start = 0").agg(F.sum("doc_tokens")).first()[0]
