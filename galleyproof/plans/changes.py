@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_test
 from ..operators import (
-    carry_replicators, reports_to_process, split_join,
+    carry_replicators, key_rows, reports_to_process, split_join,
     update_from_latest, update_from_round,
 )
 from ..schemas import STATUSES, check_statuses
@@ -92,7 +92,7 @@ def _with_round(judged: DataFrame, iterations: DataFrame) -> DataFrame:
 
 
 def _landed(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -326,7 +326,7 @@ def purge(
     Keep `snapshots.snapshot` of the tables before committing the result.
     """
     gone = ids.select("paper_id").distinct()
-    kept = {name: split_join(df, gone, ["paper_id"], "left_anti") for name, df in tables.items()}
+    kept = {name: key_rows(df, gone, "paper_id", "left_anti") for name, df in tables.items()}
     log = reduce(DataFrame.unionByName, [
         split_join(df, gone, ["paper_id"], "left_semi").agg(F.count("*").alias("n_rows")).select(
             F.lit("delete").alias("operation"), F.lit(name).alias("target"),

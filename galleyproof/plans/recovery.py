@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_test
 from ..operators import table_stats
+from ..session import scratch_folder
 from ..sources.versions import StaleVersion, VersionedTables
 from . import changes, snapshots
 
@@ -71,11 +72,15 @@ def purge_stored(
         return told()
     log += [("backup", name, "success", n, f"{n} rows backed up") for name, n in before.items()]
 
+    if ids is not None:  # every table is cut by them, so they land
+        wanted = f"{scratch_folder(spark, 'purge', local=True)}/wanted"
+        ids.select("paper_id").distinct().write.parquet(wanted)
+        ids = spark.read.schema("paper_id string").parquet(wanted)
     if ids is None:
         kept, gone = changes.purge_tests(tables)[0], tables["papers"].filter(is_test(F.col("comments")))
     else:
         kept = changes.purge(tables, ids)[0]
-        gone = tables["papers"].join(ids.select("paper_id").distinct(), "paper_id", "left_semi")
+        gone = tables["papers"].join(ids, "paper_id", "left_semi")
     named = F.length("github_url") > 0 if "github_url" in gone.columns else F.lit(False)
     repos = gone.agg(F.count_if(named)).first()[0]
     log.append(("query", "repos", "success", repos, f"Found {repos} repos to delete"))

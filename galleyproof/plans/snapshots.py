@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import expired_snapshots, insert_by_name, split_join
+from ..operators import expired_snapshots, insert_by_name, key_rows, split_join
 from ..session import scratch_folder
 from ..sources.files import delete_folder, list_files, list_folders, write_text_once
 
@@ -28,7 +28,7 @@ def snapshot(tables: Mapping[str, DataFrame], path: str, ts: str, keep: int | No
     folder = f"{path}/{FOLDER}{ts}"
     delete_folder(spark, f"{folder}/{COMPLETE}")  # of an earlier write under the same time
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{name}")
     write_text_once(spark, f"{folder}/{COMPLETE}", " ".join(sorted(tables)))
     return [] if keep is None else prune(spark, path, keep)
 
@@ -92,7 +92,7 @@ def restored(
     out = dict(live)
     for name in live.keys() & snap.keys():
         absent = state.filter((F.col("table") == name) & (F.col("n_live") == 0) & (F.col("n_snap") > 0))
-        rows = split_join(snap[name], absent.select("paper_id"), ["paper_id"], "left_semi")
+        rows = key_rows(snap[name], absent.select("paper_id"), "paper_id", "left_semi")
         out[name] = insert_by_name(live[name], rows.select(*[c for c in rows.columns if c in live[name].columns]))
     return out
 

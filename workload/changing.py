@@ -148,6 +148,7 @@ _FILLED_COLS = ["paper_id", "round", "decision_de", "share_confidential", "repli
 
 @query("merge_reports_rounds", _FILLED)
 def _(t):
+    t = t.landed("li")
     rows = changes.merge_reports(t.papers, t.iterations, t.reports)[1].select(*_FILLED_COLS)
     return rows.withColumns({c: F.col(c).cast("double") for c in ("hours1", "hours2", "runtime_code_hours")})
 
@@ -163,6 +164,7 @@ def _(t):
     LEFT JOIN (SELECT * FROM ({_FILLED}) x QUALIFY round = MAX(round) OVER (PARTITION BY paper_id)) f
         ON f.paper_id = p.paper_id""")
 def _(t):
+    t = t.landed("li")
     return changes.merge_reports(t.papers, t.iterations, t.reports)[0].select(
         "paper_id", "status", "data_statement", "software", "is_remote", "is_HPC", "share_confidential")
 
@@ -174,6 +176,7 @@ def _(t):
     LEFT JOIN iterations i ON i.paper_id = o.paper_id AND i.round = o.round
     WHERE p.paper_id IS NULL OR p.status <> 'with_replicator' OR i.paper_id IS NULL""")
 def _(t):
+    t = t.landed("li")
     return changes.merge_reports(t.papers, t.iterations, t.reports)[2]
 
 
@@ -220,7 +223,11 @@ _IDS = "SELECT paper_id FROM papers WHERE status IN ('replicator_back_de', 'auth
 
 
 def _ids(t):
-    return t.papers.filter("status IN ('replicator_back_de', 'author_back_de')").select("paper_id")
+    return _asked(t.papers)
+
+
+def _asked(papers):
+    return papers.filter("status IN ('replicator_back_de', 'author_back_de')").select("paper_id")
 
 
 @query("accept", f"""
@@ -460,6 +467,7 @@ def _repeated_reports(t):
 
 @query("merge_reports_conflicts", _FILLED)
 def _(t):
+    t = t.landed("li")
     rows = changes.merge_reports(t.papers, t.iterations, _repeated_reports(t))[1].select(*_FILLED_COLS)
     return rows.withColumns({c: F.col(c).cast("double") for c in ("hours1", "hours2", "runtime_code_hours")})
 
@@ -475,6 +483,7 @@ def _(t):
         WHEN p.status <> 'with_replicator' THEN 'wrong_status' ELSE 'no_iteration' END
     FROM reports r LEFT JOIN papers p ON p.paper_id = r.paper_id""")
 def _(t):
+    t = t.landed("li")
     return changes.merge_reports(t.papers, t.iterations, _repeated_reports(t))[2]
 
 
@@ -525,17 +534,22 @@ def _purge_log(where, repos):
 
 def _store(t):
     store = VersionedTables(t.spark, scratch_folder(t.spark, "store", local=True))
-    tables = _four(t)
+    tables = _four(t.landed("li"))
     tables["papers"] = tables["papers"].withColumn("github_url", F.concat(F.lit("https://git/"), "paper_id"))
     store.commit(tables, base=0)
     return store
 
 
+def _stored_ids(store):
+    """``_ids`` of the papers first committed."""
+    return _asked(store.read("papers", 1))
+
+
 @query("purge_stored_log", _purge_log(f"paper_id IN ({_IDS})", f"SELECT COUNT(*) AS n FROM papers WHERE paper_id IN ({_IDS})"))
 def _(t):
     """Papers deleted from stored tables behind a snapshot, told step by step."""
     store = _store(t)
-    return recovery.purge_stored(store, f"{store.root}/snapshots", "2002-01-01", _ids(t))
+    return recovery.purge_stored(store, f"{store.root}/snapshots", "2002-01-01", _stored_ids(store))
 
 
 @query("purge_tests_stored_log", _purge_log("comments = '[TEST]'", "SELECT COUNT(*) AS n FROM papers WHERE comments = '[TEST]'"))
@@ -550,7 +564,7 @@ def _(t):
 def _(t):
     """The tables as a purge of stored tables leaves them."""
     store = _store(t)
-    recovery.purge_stored(store, f"{store.root}/snapshots", "2002-01-01", _ids(t))
+    recovery.purge_stored(store, f"{store.root}/snapshots", "2002-01-01", _stored_ids(store))
     return _stacked(store.tables())
 
 
@@ -572,8 +586,9 @@ def _(t):
 def _(t):
     """A change of two tables through versioned storage: both versions become visible at once."""
     store = VersionedTables(t.spark, scratch_folder(t.spark, "store", local=True))
+    t = t.landed("li")
     base = store.commit({"papers": t.papers, "iterations": t.iterations}, base=0)
-    papers, rounds, _ = changes.revise(store.read("papers"), store.read("iterations"), _ids(t), AS_OF)
+    papers, rounds, _ = changes.revise(store.read("papers"), store.read("iterations"), _stored_ids(store), AS_OF)
     store.commit({"papers": papers, "iterations": rounds}, base)
     counts = store.read("iterations").groupBy("paper_id").agg(F.count("*").alias("n_rounds"))
     return store.read("papers").select("paper_id", "status").join(counts, "paper_id", "left")
@@ -705,6 +720,7 @@ _GONE = "SELECT paper_id FROM papers WHERE status = 'replicator_back_de'"
     SELECT * FROM ({_EVERY_ROW}) r
     WHERE source = 'reports' OR paper_id NOT IN ({_GONE}) OR paper_id IN ({_IDS})""")
 def _(t):
+    t = t.landed("li", "papers")
     live, snap = _thinned(t)
     return _stacked(snapshots.restore(live, snap, _ids(t))[0])
 
@@ -749,7 +765,7 @@ def _purged(t):
     """A store that lost papers, and the folder with the snapshot from before."""
     store = _store(t)
     folder = f"{store.root}/snapshots"
-    recovery.purge_stored(store, folder, "2002-01-01", _ids(t))
+    recovery.purge_stored(store, folder, "2002-01-01", _stored_ids(store))
     return store, folder
 
 
@@ -757,13 +773,13 @@ def _purged(t):
 def _(t):
     """Purged papers brought back from the snapshot before, behind a safety snapshot."""
     store, folder = _purged(t)
-    return recovery.restore_stored(store, folder, _ids(t), "2002-01-02")
+    return recovery.restore_stored(store, folder, _stored_ids(store), "2002-01-02")
 
 
 @query("restore_stored", _EVERY_ROW)
 def _(t):
     store, folder = _purged(t)
-    recovery.restore_stored(store, folder, _ids(t), "2002-01-02")
+    recovery.restore_stored(store, folder, _stored_ids(store), "2002-01-02")
     return _stacked(store.tables())
 
 
@@ -777,6 +793,7 @@ def _(t):
 @query("snapshot", _EVERY_ROW)
 def _(t):
     folder = scratch_folder(t.spark, "snapshots", local=True)
+    t = t.landed("li", "papers")
     for day in range(1, 4):
         snapshots.snapshot(_four(t), folder, f"2002-01-0{day}", keep=2)
     newest = snapshots.snapshots(t.spark, folder).orderBy(F.desc("snapshot_ts")).first().path
