@@ -18,6 +18,8 @@ from ..session import scratch_folder
 
 #: Bytes of a file that are read at a time for a manifest.
 CHUNK = 4 << 20
+#: Entries of directories that make up a batch.
+LISTED = 1000
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -47,6 +49,8 @@ def file_manifest(spark: SparkSession, root: str, folder: str | None = None) ->
     base = _qualified(spark, root.rstrip("/"))
     entry = "path string, is_dir boolean, size long"
     spark.createDataFrame([(base, True, None)], entry).write.parquet(f"{folder}/level=0")
+    # a fixed number: paths are so short that adaptive execution would put them all in a few tasks
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     level = 0
     while True:
         found = spark.read.schema(entry).parquet(f"{folder}/level={level}")
@@ -56,24 +60,31 @@ def file_manifest(spark: SparkSession, root: str, folder: str | None = None) ->
         if entered.isEmpty():
             break
         level += 1
-        entered.repartition("path").mapInArrow(_entries, entry).write.parquet(f"{folder}/level={level}")
+        entered.repartition(tasks, "path").mapInArrow(_entries, entry).write.parquet(f"{folder}/level={level}")
     rel = F.substr("path", F.lit(len(base) + 2))
     files = spark.read.schema(f"{entry}, level int").parquet(folder).filter("NOT is_dir")
     files = files.filter((F.col("level") > 1) | ~F.endswith("path", F.lit(".zip"))).select("path", "size")
-    hashed = files.repartition("path").mapInArrow(_running_md5, "path string, size long, md5 string")
+    hashed = files.repartition(tasks, "path").mapInArrow(_running_md5, "path string, size long, md5 string")
     return hashed.select(rel.alias("path"), F.substring_index("path", "/", -1).alias("basename"), "size", "md5")
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What the given directories hold, a batch for each."""
+    """What the given directories hold; small ones share a batch."""
+    held: list[tuple[str, bool, int | None]] = []
     for path in itertools.chain.from_iterable(b.column("path").to_pylist() for b in batches):
         system, inner = open_system(path)
-        found = system.get_file_info(fs.FileSelector(inner))
-        dirs = [f.type == fs.FileType.Directory for f in found]
-        yield pa.record_batch(
-            [pa.array([f"{path}/{f.base_name}" for f in found], pa.string()), pa.array(dirs, pa.bool_()),
-             pa.array([None if d else f.size for f, d in zip(found, dirs, strict=True)], pa.int64())],
-            names=["path", "is_dir", "size"])
+        for f in system.get_file_info(fs.FileSelector(inner)):
+            folder = f.type == fs.FileType.Directory
+            held.append((f"{path}/{f.base_name}", folder, None if folder else f.size))
+        if len(held) >= LISTED:
+            yield _batch(held)
+            held = []
+    yield _batch(held)
+
+
+def _batch(rows: list[tuple[str, bool, int | None]]) -> pa.RecordBatch:
+    kinds = {"path": pa.string(), "is_dir": pa.bool_(), "size": pa.int64()}
+    return pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds.values())], names=list(kinds))
 
 
 def _running_md5(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

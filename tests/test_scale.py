@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from galleyproof.operators import key_rows, split_join
 from galleyproof.plans import changes, recovery, snapshots
 from galleyproof.sources import VersionedTables, file_manifest
-from workload import changing  # noqa: F401 (registers its queries)
+from workload import changing, landing  # noqa: F401 (registers their queries)
 from workload.fixtures import VIEWS, Fixtures
 from workload.registry import QUERIES
 
@@ -113,3 +113,13 @@ def test_files_are_hashed_by_many_tasks(spark, tmp_path):
     found = file_manifest(spark, str(tmp_path))
     places = found.select("path", F.spark_partition_id().alias("p")).collect()
     assert len(places) == 40 and len({r.p for r in places}) > 3
+
+
+def test_pages_land_as_a_partitioned_write_lands_them(spark, tmp_path):
+    pages = [(2, "b"), (1, "ä\nb"), (None, "x"), (2, "again"), (3, None), (4, "")]
+    spark.createDataFrame(pages, "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    spark.read.parquet(f"{tmp_path}/pages.parquet").coalesce(1).write.partitionBy("page_id").text(f"{tmp_path}/plain")
+    plain = file_manifest(spark, f"{tmp_path}/plain").filter("startswith(basename, 'part-')")
+    want = plain.select(F.split_part("path", F.lit("/"), F.lit(1)).alias("folder"), "size", "md5")
+    got = QUERIES["file_manifest"](Fixtures(spark, str(tmp_path)))
+    assert rows(got) == rows(want) and got.count() == 5

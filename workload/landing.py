@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import partial
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from galleyproof.plans import linkage
 from galleyproof.session import scratch_folder
 from galleyproof.sources import catalog_listing, file_manifest, read_articles, read_datasets, read_form
+from galleyproof.sources.files import _qualified, open_system
 
 from .basics import catalogue
 from .linking import _LINKS, dataset_json
@@ -99,11 +104,35 @@ def _(t):
     return read_form(t.spark, f"{folder}/sheet", schema)
 
 
+def _land_pages(root, batches):
+    """Sorted pages as text files ``page_id=<id>/part-<task>.txt`` under ``root``, a line for each row, as
+    ``partitionBy`` writes them. Tasks put every file in its place: on a local disk Spark's writer starts
+    several processes per file to set its rights, and its committer moves all files one after another."""
+    name, held, out = f"part-{TaskContext.get().partitionId():05d}.txt", None, None
+    for batch in batches:
+        paths = []
+        for page, html in zip(batch.column("page_id").to_pylist(), batch.column("html").to_pylist(), strict=True):
+            path = f"{root}/page_id={'__HIVE_DEFAULT_PARTITION__' if page is None else page}"
+            if path != held:
+                if out is not None:
+                    out.close()
+                system, inner = open_system(path)
+                system.create_dir(inner)
+                held, out = path, system.open_output_stream(f"{inner}/{name}")
+                paths.append(path)
+            out.write((html or "").encode() + b"\n")
+        yield pa.record_batch([pa.array(paths, pa.string())], names=["path"])
+    if out is not None:
+        out.close()
+
+
 @query("file_manifest", """
     SELECT CONCAT('page_id=', page_id) AS folder, CAST(strlen(html) + 1 AS BIGINT) AS size,
         md5(html || chr(10)) AS md5 FROM pages""")
 def _(t):
     folder = scratch_folder(t.spark, "package", local=True)
-    t.pages.select("page_id", "html").write.partitionBy("page_id").text(f"{folder}/package")
+    root = _qualified(t.spark, f"{folder}/package")
+    t.pages.select("page_id", "html").sortWithinPartitions("page_id").mapInArrow(
+        partial(_land_pages, root), "path string").write.format("noop").mode("overwrite").save()
     listed = file_manifest(t.spark, f"{folder}/package").filter(F.col("basename").startswith("part-"))
     return listed.select(F.split_part("path", F.lit("/"), F.lit(1)).alias("folder"), "size", "md5")
