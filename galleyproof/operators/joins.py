@@ -32,7 +32,8 @@ def assigned_rounds(iterations: DataFrame, papers: DataFrame) -> DataFrame:
 
 
 def reports_to_process(reports: DataFrame, iterations: DataFrame) -> DataFrame:
-    """Reports whose round is open, unstaffed, or staffed by someone else. A null never differs."""
+    """Reports whose round is open, unstaffed, or staffed by someone else. A null never differs.
+    Reports without paper or round have no such round; they bypass the join."""
     rounds = iterations.select(*ROUND, F.col("date_completed_repl").alias("_done"),
                                F.col("replicator1").alias("_first"))
     todo = (
@@ -40,7 +41,8 @@ def reports_to_process(reports: DataFrame, iterations: DataFrame) -> DataFrame:
         | F.col("_first").isNull()
         | (F.col("_first") != F.col("email_of_replicator_1"))
     )
-    return reports.join(rounds, ROUND, "left").filter(todo).drop("_done", "_first")
+    named = reports.filter(~any_null(ROUND)).join(rounds, ROUND, "left").filter(todo).drop("_done", "_first")
+    return named.unionByName(reports.filter(any_null(ROUND)))
 
 
 def any_null(keys: list[str]) -> Column:

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from galleyproof.operators import key_rows, split_join
+from galleyproof.operators import key_rows, reports_to_process, split_join
 from galleyproof.plans import changes, recovery, snapshots
 from galleyproof.sources import VersionedTables, file_manifest
 from workload import changing, landing  # noqa: F401 (registers their queries)
@@ -123,3 +123,12 @@ def test_pages_land_as_a_partitioned_write_lands_them(spark, tmp_path):
     want = plain.select(F.split_part("path", F.lit("/"), F.lit(1)).alias("folder"), "size", "md5")
     got = QUERIES["file_manifest"](Fixtures(spark, str(tmp_path)))
     assert rows(got) == rows(want) and got.count() == 5
+
+
+def test_reports_without_round_bypass_the_join(spark, desk, tmp_path, no_broadcast):
+    desk.reports({"paper_id": "1"}, {"paper_id": "1", "round": None}, {"paper_id": None}).write.parquet(f"{tmp_path}/r")
+    desk.iterations({"paper_id": "1"}, {"paper_id": "1"}).write.parquet(f"{tmp_path}/i")
+    found = reports_to_process(spark.read.parquet(f"{tmp_path}/r"), spark.read.parquet(f"{tmp_path}/i"))
+    assert plan(found).splitlines()[1].endswith("Union")
+    assert sorted((str(r.paper_id), str(r.round)) for r in found.collect()) == [
+        ("1", "1"), ("1", "1"), ("1", "None"), ("None", "1")]
