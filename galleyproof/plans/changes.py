@@ -319,14 +319,15 @@ def publish(
 
 
 def purge(
-    tables: dict[str, DataFrame], ids: DataFrame
+    tables: dict[str, DataFrame], ids: DataFrame, stored: bool = False
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Every table without the given papers, and a log with the rows deleted per table.
 
-    Keep `snapshots.snapshot` of the tables before committing the result.
+    Keep `snapshots.snapshot` of the tables before committing the result. Of ``stored`` tables
+    only keys are shuffled (`key_rows`).
     """
     gone = ids.select("paper_id").distinct()
-    kept = {name: key_rows(df, gone, "paper_id", "left_anti") for name, df in tables.items()}
+    kept = {name: (key_rows(df, gone, "paper_id", "left_anti") if stored else split_join(df, gone, ["paper_id"], "left_anti")) for name, df in tables.items()}
     log = reduce(DataFrame.unionByName, [
         split_join(df, gone, ["paper_id"], "left_semi").agg(F.count("*").alias("n_rows")).select(
             F.lit("delete").alias("operation"), F.lit(name).alias("target"),

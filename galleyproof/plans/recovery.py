@@ -79,7 +79,7 @@ def purge_stored(
     if ids is None:
         kept, gone = changes.purge_tests(tables)[0], tables["papers"].filter(is_test(F.col("comments")))
     else:
-        kept = changes.purge(tables, ids)[0]
+        kept = changes.purge(tables, ids, stored=True)[0]
         gone = tables["papers"].join(ids, "paper_id", "left_semi")
     named = F.length("github_url") > 0 if "github_url" in gone.columns else F.lit(False)
     repos = gone.agg(F.count_if(named)).first()[0]

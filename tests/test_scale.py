@@ -81,7 +81,7 @@ def test_rows_by_key_are_those_of_a_join(spark, table, no_broadcast, how):
 def test_purge_and_restore_shuffle_keys_only(spark, desk, tmp_path, no_broadcast):
     desk.iterations({"paper_id": "1", "repl_comments": "x"}).write.parquet(f"{tmp_path}/i")
     stored, ids = spark.read.parquet(f"{tmp_path}/i"), desk.ids("1", "2")
-    kept = changes.purge({"iterations": stored}, ids)[0]["iterations"]
+    kept = changes.purge({"iterations": stored}, ids, stored=True)[0]["iterations"]
     state = snapshots.landed_state({"iterations": stored}, {"iterations": stored}, ids)
     back = snapshots.restored({"iterations": stored}, {"iterations": stored}, state)["iterations"]
     for df in (kept, back):
@@ -93,7 +93,7 @@ def test_purged_ids_are_derived_once(spark, desk, tmp_path, monkeypatch):
     store = VersionedTables(spark, f"{tmp_path}/store")
     store.commit({"papers": desk.papers({"paper_id": "1"}, {"paper_id": "2"})}, 0)
     seen = []
-    monkeypatch.setattr(changes, "purge", lambda tables, ids, whole=changes.purge: seen.append(ids) or whole(tables, ids))
+    monkeypatch.setattr(changes, "purge", lambda tables, ids, stored, whole=changes.purge: seen.append(ids) or whole(tables, ids, stored))
     recovery.purge_stored(store, f"{tmp_path}/snaps", "1", desk.ids("1").join(desk.ids("1", "3"), "paper_id"))
     assert "Join" not in plan(seen[0]) and [r.paper_id for r in store.read("papers").collect()] == ["2"]
 
