@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_test
 from ..operators import (
-    carry_replicators, key_rows, reports_to_process, split_join,
+    carry_replicators, is_stored, key_marked, key_rows, reports_to_process, sieve, split_join,
     update_from_latest, update_from_round,
 )
 from ..schemas import STATUSES, check_statuses
@@ -86,8 +86,7 @@ def _also(judged: DataFrame, reason: str, when: Column) -> DataFrame:
 def _with_round(judged: DataFrame, iterations: DataFrame) -> DataFrame:
     """Fine requests whose current round is missing from the rounds table become rejected."""
     asked = judged.filter(F.col("reason").isNull()).select(*ROUND).distinct()
-    held = iterations.select(*ROUND).join(asked, ROUND, "left_semi").distinct().withColumn(
-        "_held", F.lit(True))
+    held = iterations.select(*ROUND).join(asked, ROUND).distinct().withColumn("_held", F.lit(True))
     return _also(split_join(judged, held, ROUND, "left"), "no_iteration", F.col("_held").isNull()).drop("_held")
 
 
@@ -228,12 +227,18 @@ def revise(
     The current round closes as "rnr"; a copy of it opens as the next one, with report fields and
     dates emptied and ``as_of`` as date with authors. ``file_requests`` (paper_id and
     file_request_* columns) gives the new round's request ids; without it they carry over.
-    Returns (papers, iterations, rejected).
+    Of stored tables only keys and the rows of papers sent back are shuffled (`key_marked`). Returns
+    (papers, iterations, rejected).
     """
-    judged = _judge(ids.select("paper_id"), papers, F.col("status") == "replicator_back_de")
-    fine, rejected = _settle(_with_round(judged, iterations), ["paper_id"])
-
-    opened = iterations.join(fine.select(*ROUND), ROUND, "left_semi")
+    judged, held = _judge(ids.select("paper_id"), papers, F.col("status") == "replicator_back_de"), iterations
+    folder = scratch_folder(papers.sparkSession, "change", local=True) if is_stored(iterations) else None
+    if folder:  # judged twice, by the sieve and by what it leaves, so they land
+        judged = _landed(judged, f"{folder}/judged")
+        held = sieve(iterations.select(*ROUND), judged.filter(F.col("reason").isNull()), ROUND)
+    fine, rejected = _settle(_with_round(judged, held), ["paper_id"])
+
+    marked = key_marked(iterations, fine, ROUND, "_hit", folder and f"{folder}/hits")
+    opened = marked.filter("_hit").drop("_hit")
     emptied = {name for name, _ in REPORT_FIELDS} | set(ROUND_DATES) | {"decision_de"}
     changes = {c: F.lit(None).cast(iterations.schema[c].dataType)
                for c in iterations.columns if c in emptied}
@@ -243,14 +248,19 @@ def revise(
         names = [c for c in file_requests.columns if c != "paper_id" and c in iterations.columns]
         opened = _set(opened, file_requests, ["paper_id"], **{c: F.col(f"new.{c}") for c in names})
 
-    closed = _set(iterations, fine.select(*ROUND), ROUND,
-                  date_decision_de=F.lit(as_of), decision_de=F.lit("rnr"))
+    ended = {"date_decision_de": F.lit(as_of), "decision_de": F.lit("rnr")}
+    closed = marked.withColumns({
+        c: F.when(F.col("_hit"), v.cast(iterations.schema[c].dataType)).otherwise(F.col(c))
+        for c, v in ended.items() if c in iterations.columns}).drop("_hit")
     taken = [c for c in ("file_request_id_pkg", "file_request_id_paper")
              if c in opened.columns and c in papers.columns]
+    others, back = None, papers
+    if is_stored(papers):
+        others, back = (key_rows(papers, fine, "paper_id", how) for how in ("left_anti", "left_semi"))
     moved = move(
-        papers, opened.select("paper_id", "round", *taken), "with_author", round=F.col("new.round"),
+        back, opened.select("paper_id", "round", *taken), "with_author", round=F.col("new.round"),
         date_with_authors=F.lit(as_of), **{c: F.col(f"new.{c}") for c in taken})
-    return moved, closed.unionByName(opened), _refused(rejected)
+    return moved if others is None else others.unionByName(moved), closed.unionByName(opened), _refused(rejected)
 
 
 def assign(

@@ -5,10 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from galleyproof.operators import key_rows, reports_to_process, split_join
+from galleyproof.operators import is_stored, key_marked, key_rows, reports_to_process, sieve, split_join
 from galleyproof.plans import changes, recovery, snapshots
 from galleyproof.sources import VersionedTables, file_manifest
-from workload import changing, landing  # noqa: F401 (registers their queries)
+from workload import changing, fixtures, landing  # noqa: F401 (registers their queries)
 from workload.fixtures import VIEWS, Fixtures
 from workload.registry import QUERIES
 
@@ -78,6 +78,78 @@ def test_rows_by_key_are_those_of_a_join(spark, table, no_broadcast, how):
     assert key_rows(table, keys.limit(0), "paper_id", how).count() == (table.count() if how == "left_anti" else 0)
 
 
+def test_sieve_keeps_every_key_and_few_others(spark, table, no_broadcast):
+    keys = spark.range(0, 60000, 7).select(F.col("id").cast("string").alias("paper_id"), F.col("id").alias("id"))
+    keys = keys.unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS paper_id, NULL AS id"))
+    for on in (["paper_id"], ["paper_id", "id"]):
+        left, want = sieve(table, keys, on), table.join(keys.select(on), on, "left_semi")
+        assert left.columns == table.columns and want.exceptAll(left).isEmpty() and not want.isEmpty()
+        assert left.filter("paper_id IS NOT NULL").count() < want.count() + 200
+    assert sieve(table, keys.limit(0), ["id"]).isEmpty()
+
+
+def test_marks_are_those_of_a_join(spark, table, tmp_path, no_broadcast):
+    keys = spark.range(0, 60000, 7).select(F.col("id").cast("string").alias("paper_id"), F.col("id").cast("int").alias("id"))
+    keys = keys.unionByName(keys).unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS paper_id, 0 AS id"))
+    plain = table.filter("true").repartition(3)
+    assert is_stored(table) and not is_stored(plain)
+    for on in (["paper_id"], ["paper_id", "id"]):
+        want = key_marked(plain, keys, on, "met")
+        assert want.filter("met").exceptAll(table.join(keys, on, "left_semi").selectExpr("*", "true")).isEmpty()
+        for folder in (None, f"{tmp_path}/bits{len(on)}"):
+            got = key_marked(table, keys, on, "met", folder)
+            assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_only_parquet_rows_have_a_place(spark, table, tmp_path):
+    table.limit(5).write.csv(f"{tmp_path}/csv")
+    table.limit(5).write.json(f"{tmp_path}/json")
+    for df in (spark.read.csv(f"{tmp_path}/csv"), spark.read.json(f"{tmp_path}/json"), spark.range(3),
+               table.union(spark.createDataFrame([], table.schema))):
+        assert not is_stored(df) and key_rows(df, df.limit(1), df.columns[0], "left_semi").columns == df.columns
+
+
+def _papers_and_rounds(desk):
+    """Papers to send back with one and with several rounds, with a round twice, without their round; a paper
+    twice; null keys; papers in other states."""
+    back = {"status": "replicator_back_de", "title": "wide"}
+    papers = desk.papers(
+        {"paper_id": "1"} | back, {"paper_id": "2", "round": 2} | back, {"paper_id": "3"} | back,
+        {"paper_id": "4", "round": 9} | back, {"paper_id": "5"} | back, {"paper_id": "5", "title": "twice"},
+        {"paper_id": None} | back, {"paper_id": "6", "round": None} | back, {"paper_id": "7", "status": "with_author"})
+    row = {"repl_comments": "wide", "replicator1": "a", "file_request_id_pkg": "p"}
+    rounds = desk.iterations(*[{"paper_id": p, "round": r} | row for p, r in (
+        ("1", 1), ("2", 1), ("2", 2), ("2", 3), ("3", 1), ("3", 1), ("5", 1), ("6", None), ("7", 1), (None, 1), ("8", 1))])
+    return papers, rounds
+
+
+@pytest.mark.parametrize("fresh", [False, True])
+def test_revising_stored_tables_moves_keys_and_rows_sent_back(spark, desk, tmp_path, no_broadcast, fresh):
+    plain = _papers_and_rounds(desk)
+    stored = []
+    for name, df in zip(("p", "i"), plain):
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        stored.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    asked = desk.ids("1", "2", "3", "4", "5", "6", "7", "8", "1", None)
+    ids = spark.createDataFrame([("1", "fresh"), ("3", None)], "paper_id string, file_request_id_pkg string") if fresh else None
+    want, got = (changes.revise(*tables, asked, dt.date(2024, 6, 30), ids) for tables in (plain, stored))
+    assert [rows(df) for df in got] == [rows(df) for df in want]
+    assert [df.columns for df in got] == [df.columns for df in want]
+    assert got[0].filter("status = 'with_author'").count() == 7 and got[1].count() == 11 + 5
+    moved = plan(got[1]).split("Exchange hashpartitioning")[1:]
+    assert not any("repl_comments" in m for m in moved)
+    # of papers only those sent back meet the rounds opened; the others are read beside the bitmaps
+    assert plan(got[0].select("*")).count("Union") == 1
+    assert not fresh or rows(got[1].filter("file_request_id_pkg = 'fresh'").select("paper_id")) == ["Row(paper_id='1')"]
+
+
+def test_landed_views_have_files_of_few_rows(given, monkeypatch):
+    monkeypatch.setattr(fixtures, "LANDED_ROWS", 3)
+    landed = given.landed("li").iterations
+    sizes = landed.groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) > 2 and max(r["count"] for r in sizes) <= 3 and rows(landed) == rows(given.iterations)
+
+
 def test_purge_and_restore_shuffle_keys_only(spark, desk, tmp_path, no_broadcast):
     desk.iterations({"paper_id": "1", "repl_comments": "x"}).write.parquet(f"{tmp_path}/i")
     stored, ids = spark.read.parquet(f"{tmp_path}/i"), desk.ids("1", "2")

@@ -16,6 +16,7 @@ from galleyproof.session import scratch_folder
 
 AS_OF = dt.date(2002, 2, 1)
 AS_OF_SQL = "DATE '2002-02-01'"
+LANDED_ROWS = 1 << 18  # of a file of a landed view, at most
 GIVEN = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -298,13 +299,15 @@ class Fixtures:
 
     def landed(self, *names: str) -> Fixtures:
         """The same views, of which ``names`` and those built on them read files that are written
-        now: a query that needs a view more than once derives it once."""
+        now: a query that needs a view more than once derives it once. Files are small, so that the
+        tasks that read them are equally long; what is derived from a row costs far more than reading it."""
         if self.saved:
             return self
         told, folder = Fixtures(self.spark, self.sf_dir), scratch_folder(self.spark, "views", local=True)
         told.texts = self.texts
         for name in names:
-            getattr(told, name).write.option("compression", "zstd").parquet(f"{folder}/{name}")
+            rows = getattr(told, name).write.options(compression="zstd", maxRecordsPerFile=LANDED_ROWS)
+            rows.parquet(f"{folder}/{name}")
             told.texts = told.texts | {name: f"SELECT * FROM parquet.`{folder}/{name}`"}
         return told
 
