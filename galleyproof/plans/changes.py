@@ -20,7 +20,7 @@ from ..operators import (
     update_from_latest, update_from_round,
 )
 from ..schemas import STATUSES, check_statuses
-from ..session import scratch_folder
+from ..session import PACKED, scratch_folder
 
 ROUND = ["paper_id", "round"]
 
@@ -91,7 +91,7 @@ def _with_round(judged: DataFrame, iterations: DataFrame) -> DataFrame:
 
 
 def _landed(df: DataFrame, path: str) -> DataFrame:
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**PACKED).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

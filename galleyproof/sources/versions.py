@@ -15,6 +15,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import PACKED
 from .files import list_files, read_text, write_text_once
 
 
@@ -59,7 +60,7 @@ class VersionedTables:
         folders = self._folders(base)
         for name, df in changed.items():
             folder = f"data/{base + 1:08d}-{uuid.uuid4().hex}/{name}"
-            df.write.option("compression", "zstd").parquet(f"{self.root}/{folder}")
+            df.write.options(**PACKED).parquet(f"{self.root}/{folder}")
             folders[name] = folder
         self._check(base)
         if not write_text_once(self.spark, self._manifest(base + 1), json.dumps(folders, sort_keys=True)):

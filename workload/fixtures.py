@@ -12,7 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galleyproof.session import scratch_folder
+from galleyproof.session import PACKED, scratch_folder
 
 AS_OF = dt.date(2002, 2, 1)
 AS_OF_SQL = "DATE '2002-02-01'"
@@ -306,7 +306,7 @@ class Fixtures:
         told, folder = Fixtures(self.spark, self.sf_dir), scratch_folder(self.spark, "views", local=True)
         told.texts = self.texts
         for name in names:
-            rows = getattr(told, name).write.options(compression="zstd", maxRecordsPerFile=LANDED_ROWS)
+            rows = getattr(told, name).write.options(**PACKED, maxRecordsPerFile=LANDED_ROWS)
             rows.parquet(f"{folder}/{name}")
             told.texts = told.texts | {name: f"SELECT * FROM parquet.`{folder}/{name}`"}
         return told
