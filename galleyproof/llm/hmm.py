@@ -20,9 +20,14 @@ from pyspark.sql import functions as F
 from .samples import hashed_share, remainder
 from .shared import bounded_batches, slices, text_of, work_folder, written
 
-#: Bytes of text in one coded block, and in one slice that is coded at a time.
+#: Bytes of text in one block, which shares a vocabulary, and in one slice that is coded at a time.
 BLOCK_BYTES = 24 << 20
 SLICE_BYTES = 2 << 20
+#: Words in one row of a vocabulary, and rows of counts that are packed at a time.
+VOCABULARY_ROWS = 1 << 16
+PACKED_ROWS = 1 << 20
+#: Parquet else counts a hundred rows before it looks at their bytes, and readers take a row group at once.
+SMALL_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1"}
 #: A space can't be part of a word, so it stands for the end of a text.
 END = b" "
 STATES = 8
@@ -168,58 +173,60 @@ def likelihood(chain: Chain, classes: np.ndarray, lengths: np.ndarray) -> np.nda
 
 
 def encode(docs: DataFrame, folds: int, folder: str) -> DataFrame:
-    """Texts as blocks of numbers with a vocabulary of their own, written once.
+    """Texts as numbers, in blocks with a vocabulary of their own, written once.
 
-    A block holds consecutive rows of one task up to ``BLOCK_BYTES`` of text (one row at least):
-    ``doc_ids``, ``held``, ``lengths``, ``ids`` (numbers of all tokens), and the vocabulary
-    ``words`` with each word's count in training texts.
+    A block holds consecutive rows of one task up to ``BLOCK_BYTES`` of text (one slice at least).
+    It is many rows, so that none is large: one per slice with ``doc_ids``, ``held``, ``lengths``
+    and ``ids`` (numbers of all tokens), and then the vocabulary in parts: ``words`` with each
+    word's count in the block's training texts, numbered from ``first``.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"),
         F.coalesce(remainder(folds) == 0, F.lit(False)).alias("held"))
-    names = ["block", "doc_ids", "held", "lengths", "ids", "words", "counts"]
+    kinds = {"block": pa.int64(), "doc_ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "lengths": pa.list_(pa.int32()),
+             "ids": pa.binary(), "first": pa.int32(), "words": pa.list_(pa.binary()), "counts": pa.list_(pa.int64())}
+
+    def one(**values) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([values.get(k)], kind) for k, kind in kinds.items()], names=list(kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, task = 0, TaskContext.get().partitionId()
+        made, task, size = 0, TaskContext.get().partitionId(), 0
         names_of: dict[bytes, int] = {}
-        doc_ids, held, lengths, ids, size = [], [], [], [], 0
-
-        def block() -> pa.RecordBatch:
-            flat = np.concatenate(ids)
-            train = np.repeat(~np.array(held, bool), lengths)
-            counts = np.bincount(flat[train], minlength=len(names_of))
-            values = [
-                (task << 24) + made, doc_ids, held, lengths, flat.astype("<i4").tobytes(),
-                list(names_of), counts.tolist()]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(),
-                     pa.list_(pa.binary()), pa.list_(pa.int64())]
-            return pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
+        counts = np.zeros(0, np.int64)
+
+        def vocabulary() -> Iterator[pa.RecordBatch]:
+            words = list(names_of)
+            for at in range(0, len(words), VOCABULARY_ROWS):
+                to = at + VOCABULARY_ROWS
+                yield one(block=(task << 24) + made, first=at, words=words[at:to], counts=counts[at:to])
 
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 bytes_in = sum(len(t.as_buffer()) for t in part.column("text"))
-                if doc_ids and size + bytes_in > BLOCK_BYTES:
-                    yield block()
+                if names_of and size + bytes_in > BLOCK_BYTES:
+                    yield from vocabulary()
                     made += 1
                     names_of.clear()
-                    doc_ids, held, lengths, ids, size = [], [], [], [], 0
+                    counts, size = np.zeros(0, np.int64), 0
                 size += bytes_in
                 cut = [tokens(t) for t in part.column("text").to_pylist()]
                 number = names_of.setdefault
-                flat = [number(w, len(names_of)) for c in cut for w in c]
-                ids.append(np.array(flat, np.int32))
-                doc_ids += part.column("doc_id").to_pylist()
-                held += part.column("held").to_pylist()
-                lengths += [len(c) for c in cut]
-        if doc_ids:
-            yield block()
+                flat = np.array([number(w, len(names_of)) for c in cut for w in c], np.int32)
+                held, lengths = part.column("held").to_pylist(), [len(c) for c in cut]
+                del cut
+                met = np.bincount(flat[np.repeat(~np.array(held, bool), lengths)], minlength=len(names_of))
+                met[:len(counts)] += counts
+                counts = met
+                yield one(block=(task << 24) + made, doc_ids=part.column("doc_id").to_pylist(), held=held, lengths=lengths,
+                          ids=flat.astype("<i4").tobytes())
+        yield from vocabulary()
 
     coded = rows.mapInArrow(
         run, "block long, doc_ids array<long>, held array<boolean>, lengths array<int>, ids binary,"
-        " words array<binary>, counts array<long>")
-    coded.write.option("compression", "zstd").parquet(f"{folder}/blocks")
+        " first int, words array<binary>, counts array<long>")
+    coded.write.option("compression", "zstd").options(**SMALL_GROUPS).parquet(f"{folder}/blocks")
     return spark.read.schema(coded.schema).parquet(f"{folder}/blocks")
 
 
@@ -299,24 +306,120 @@ def first_chain(docs: DataFrame, own: dict[bytes, int], folds: int, states: int,
     return chain
 
 
-def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return (np.frombuffer(row["ids"], "<i4"), np.array(row["lengths"], np.int64), np.array(row["held"], bool))
+def packed_counts(words: DataFrame, blocks: DataFrame, own: dict[bytes, int]) -> DataFrame:
+    """Class and training count of every word of every block, many to a row: ``at`` (numbers in the
+    block's vocabulary), ``counts`` and ``classes``. Words of held-out texts alone have a count of 0."""
+    base = len(own)
+
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cls = classes_of(batch.column("word").to_pylist(), own)
+            yield pa.record_batch([*batch.columns, pa.array(cls, pa.int64())], names=["word", "c", "cls"])
+
+    asked = blocks.select("block", "first", F.posexplode("words").alias("i", "word"))
+    asked = asked.select("block", (F.col("first") + F.col("i")).alias("at"), "word")
+    of_ending = F.crc32(F.substring("word", -3, 3)) % ENDINGS + base
+    known = asked.join(words.mapInArrow(classed, "word binary, c long, cls long"), "word", "left").select(
+        "block", "at", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("cls", of_ending).cast("int").alias("cls"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            whole = [np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(4)]
+            order = np.argsort(whole[0], kind="stable")
+            block, at, c, cls = (x[order] for x in whole)
+            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+            rows = [pa.array(block[cuts])]
+            for x, kind in ((at, "<i4"), (c, "<i8"), (cls, "<u2")):
+                rows.append(pa.array([x.tobytes() for x in np.split(x.astype(kind), cuts[1:])], pa.binary()))
+            yield pa.record_batch(rows, names=["block", "at", "counts", "classes"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= PACKED_ROWS:
+                yield from packed()
+                held.clear()
+        if held:
+            yield from packed()
+
+    return known.mapInArrow(run, "block long, at binary, counts binary, classes binary")
+
+
+def coded(
+    blocks: DataFrame, words: DataFrame, own: dict[bytes, int], total: np.ndarray, kinds: np.ndarray, folder: str,
+) -> DataFrame:
+    """Blocks as classes of all tokens, a row per block, with what the chain doesn't change of each text.
+
+    The latter are ``n_known``, ``base`` (log10 by smoothed unigrams) and ``within`` (natural log of
+    the words' shares of their classes). Slices of texts meet their block's counts of words in a
+    shuffle, counts first, and pass by one at a time: memory doesn't grow with the blocks of a task.
+    """
+    n, v = int(total.sum()), int(kinds.sum())
+    counts = packed_counts(words, blocks, own).withColumn("kind", F.lit(0))
+    texts = blocks.filter("ids IS NOT NULL").select("block", "doc_ids", "held", "lengths", "ids", F.lit(1).alias("kind"))
+    met = counts.unionByName(texts, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "kind")
+    kept = ("doc_ids", "held", "lengths", "codes", "n_known", "base", "within")
+    fields = [pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int32()),
+              pa.list_(pa.float64()), pa.list_(pa.float64())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, told, tables, texts = None, [], None, {k: [] for k in kept}
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if texts["codes"]:
+                rows = {k: x if k in ("doc_ids", "held") else b"".join(x) if k == "codes" else np.concatenate(x)
+                        for k, x in texts.items()}
+                yield pa.record_batch([pa.array([rows[k]], kind) for k, kind in zip(kept, fields, strict=True)], names=list(kept))
+
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            if row["block"] != block:
+                yield from done()
+                block, told, tables, texts = row["block"], [], None, {k: [] for k in kept}
+            if row["kind"] == 0:
+                told.append([np.frombuffer(row[k], kind) for k, kind in (("at", "<i4"), ("counts", "<i8"), ("classes", "<u2"))])
+                continue
+            if tables is None:
+                at = np.concatenate([x[0] for x in told])
+                c, cls = np.zeros(len(at), np.int64), np.zeros(len(at), np.uint16)
+                c[at], cls[at] = (np.concatenate([x[i] for x in told]) for i in (1, 2))
+                told.clear()
+                within = np.log((c + SMOOTHING) / (total[cls] + SMOOTHING * (kinds[cls] + 1)))
+                within[cls < len(own)] = 0.0
+                tables = cls, c > 0, np.log10((c + SMOOTHING) / (n + SMOOTHING * (v + 1))), within
+            cls, known, base, within = tables
+            ids, lengths = np.frombuffer(row["ids"], "<i4"), np.array(row["lengths"], np.int32)
+            starts = np.cumsum(lengths) - lengths
+            texts["doc_ids"] += row["doc_ids"]
+            texts["held"] += row["held"]
+            texts["lengths"].append(lengths)
+            texts["codes"].append(cls[ids].astype("<u2").tobytes())
+            for k, x in (("n_known", known.astype(np.int32)), ("base", base), ("within", within)):
+                texts[k].append(np.add.reduceat(x[ids], starts))
+        yield from done()
+
+    rows = met.mapInArrow(
+        run, "doc_ids array<long>, held array<boolean>, lengths array<int>, codes binary, n_known array<int>,"
+        " base array<double>, within array<double>")
+    rows.write.option("compression", "zstd").options(**SMALL_GROUPS).parquet(f"{folder}/coded")
+    return blocks.sparkSession.read.schema(rows.schema).parquet(f"{folder}/coded")
 
 
 def reestimate(blocks: DataFrame, chain: Chain, own: dict[bytes, int]) -> tuple[Chain, float]:
-    """One Baum-Welch step: expected counts of every training text, summed over all tasks.
+    """One Baum-Welch step over `coded` blocks: expected counts of every training text, summed over all tasks.
 
     Also the log likelihood of these texts under ``chain``, before the step.
     """
-    states, n_classes = chain.emit.shape
+    states, n_classes = len(chain.start), len(own) + ENDINGS
     shape = states + 1 + states + 1  # rows: emissions by state, first states, moves by state, likelihood
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((shape, max(n_classes, states)))
         for batch in batches:
             for row in batch.to_pylist():
-                ids, lengths, held = _arrays(row)
-                classes = classes_of(row["words"], own)[ids[np.repeat(~held, lengths)]]
+                lengths, held = np.array(row["lengths"], np.int64), np.array(row["held"], bool)
+                classes = np.frombuffer(row["codes"], "<u2")[np.repeat(~held, lengths)]
                 first, pairs, seen, told = counted(chain, classes, lengths[~held])
                 total[:states, :n_classes] += seen
                 total[states, :states] += first
@@ -325,7 +428,7 @@ def reestimate(blocks: DataFrame, chain: Chain, own: dict[bytes, int]) -> tuple[
         i, j = np.nonzero(total)
         yield pa.record_batch([pa.array(i), pa.array(j), pa.array(total[i, j])], names=["i", "j", "n"])
 
-    need = blocks.select("ids", "lengths", "held", "words")
+    need = blocks.select("codes", "lengths", "held")
     summed = need.mapInArrow(run, "i long, j long, n double").groupBy("i", "j").agg(F.sum("n").alias("n"))
     total = np.zeros((shape, max(n_classes, states)))
     for r in summed.collect():  # states x classes, whatever the corpus
@@ -360,44 +463,31 @@ def score(
     unigrams), score. A null text is empty and has its end only; repeated rows each give a row and
     count as often as they occur. An empty table gives no rows; further columns are ignored.
 
-    Counts of words come back to the blocks by a join, one row per block and distinct word, and
-    each block is scored with its own part of the table, which is bounded by the block's bytes.
+    Counts of words come back to the blocks by a join, one row per block and distinct word; what
+    they tell of a text is summed then (`coded`), and later steps read its classes only.
     """
     spark = docs.sparkSession
     folder = folder or work_folder(spark, "hmm")
     blocks = encode(docs, folds, folder)
     words = word_counts(blocks, folder)
-    size = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n, v = size["n"], size["v"]
     own = class_table(top_words(words, TOP_WORDS))
     total, kinds = class_sizes(words, own)
+    n = int(total.sum())
+    blocks = coded(blocks, words, own, total, kinds, folder)
     chain = first_chain(docs, own, folds, states, start_docs)
     chain = trained(blocks, chain, own, passes)
 
-    asked = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    known = asked.join(words, "word").select(F.col("block").alias("of_block"), "at", "c")
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        for row in left.to_pylist():
-            ids, lengths, held = _arrays(row)
-            counts = np.zeros(len(row["words"]), np.int64)
-            counts[right.column("at").to_numpy()] = right.column("c").to_numpy()
-            cls = classes_of(row["words"], own)
-            within = np.log((counts + SMOOTHING) / (total[cls] + SMOOTHING * (kinds[cls] + 1)))
-            within[cls < len(own)] = 0.0
-            base = np.log10((counts + SMOOTHING) / (n + SMOOTHING * (v + 1)))
-            starts = np.cumsum(lengths) - lengths
-            chained = likelihood(chain, cls[ids], lengths)
-            out.append(pa.table({
-                "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(held),
-                "n_tokens": pa.array(lengths), "n_known": np.add.reduceat((counts > 0)[ids].astype(np.int64), starts),
-                "train_tokens": np.full(len(lengths), n, np.int64), "base_score": np.add.reduceat(base[ids], starts),
-                "score": (chained + np.add.reduceat(within[ids], starts)) / np.log(10)}))
-        fields = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                  ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
-        return pa.concat_tables(out) if out else pa.schema(fields).empty_table()
-
-    return blocks.drop("counts").groupBy("block").cogroup(known.groupBy("of_block")).applyInArrow(
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                lengths = np.array(row["lengths"], np.int64)
+                chained = likelihood(chain, np.frombuffer(row["codes"], "<u2"), lengths)
+                yield pa.record_batch({
+                    "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()),
+                    "n_tokens": lengths, "n_known": np.array(row["n_known"], np.int64),
+                    "train_tokens": np.full(len(lengths), n, np.int64), "base_score": np.array(row["base"]),
+                    "score": (chained + np.array(row["within"])) / np.log(10)})
+
+    return blocks.mapInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long,"
         " base_score double, score double")

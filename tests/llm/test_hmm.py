@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from galleyproof.llm import hmm
 
@@ -125,6 +126,46 @@ def test_scores_equal_brute_force_counts(docs, rows, monkeypatch, small_blocks):
     assert all(np.isfinite(r.score) and r.score < 0 for r in found)
 
 
+def test_no_row_of_a_block_is_large(docs, rows, monkeypatch, tmp_path):
+    """A block is many rows, each of a slice's texts or of a part of the vocabulary; they hold every token."""
+    monkeypatch.setattr(hmm, "SLICE_BYTES", 500)
+    monkeypatch.setattr(hmm, "VOCABULARY_ROWS", 20)
+    blocks = {}
+    for r in hmm.encode(docs, 10, str(tmp_path)).collect():
+        blocks.setdefault(r.block, []).append(r)
+    texts, counts = [], Counter()
+    for found in blocks.values():
+        slices, parts = [r for r in found if r.ids is not None], sorted((r for r in found if r.ids is None), key=lambda r: r["first"])
+        assert len(slices) > 3 and len(parts) > 3 and all(len(r.words) <= 20 for r in parts)
+        words = [bytes(w) for r in parts for w in r.words]
+        assert [r["first"] for r in parts] == list(range(0, len(words), 20))
+        counts.update(dict.fromkeys(words, 0))
+        for w, c in zip(words, (c for r in parts for c in r.counts), strict=True):
+            counts[w] += c
+        for r in slices:
+            assert len(r.doc_ids) == 1 or sum(r.lengths) < 500 + len(r.doc_ids)
+            ids = iter(np.frombuffer(r.ids, "<i4"))
+            texts += [(i, h, [words[next(ids)] for _ in range(n)]) for i, h, n in zip(r.doc_ids, r.held, r.lengths, strict=True)]
+    assert sorted(((i, t) for i, _, t in texts), key=repr) == sorted(((i, hmm.tokens(t)) for i, t in rows), key=repr)
+    assert +counts == Counter(w for _, h, t in texts if not h for w in t)
+
+
+def test_scores_do_not_depend_on_the_rows_of_blocks(docs, monkeypatch):
+    def told():
+        found = hmm.score(docs, states=2, passes=1, start_docs=10)
+        return sorted(map(repr, found.select("doc_id", "n_known", F.round("base_score", 6), F.round("score", 6)).collect()))
+
+    want = told()
+    for name, size in (("SLICE_BYTES", 500), ("VOCABULARY_ROWS", 20), ("PACKED_ROWS", 30)):
+        monkeypatch.setattr(hmm, name, size)
+    monkeypatch.setattr(hmm, "SMALL_GROUPS", {"parquet.block.size": "1000", "parquet.page.size.row.check.min": "1"})
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert told() == want
+    finally:
+        docs.sparkSession.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_scores_equal_a_plain_model(docs, rows, monkeypatch):
     """Whole texts in plain loops: forward values over the trained chain, and words within their class."""
     monkeypatch.setattr(hmm, "TOP_WORDS", 50)
