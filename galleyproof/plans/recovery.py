@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_test
-from ..operators import table_stats
+from ..operators import insert_by_name, table_stats
 from ..session import scratch_folder
 from ..sources.versions import StaleVersion, VersionedTables
 from . import changes, snapshots
@@ -36,12 +36,12 @@ def backup(tables: Mapping[str, DataFrame], folder: str, ts: str) -> dict[str, i
     """Snapshot ``tables`` and return the rows of each as read back, or raise `BackupFailed`."""
     spark = next(iter(tables.values())).sparkSession
     try:
-        snapshots.snapshot(tables, folder, ts, keep=None)
+        snapshots.snapshot(tables, folder, ts, keep=None, stored=True)
         done = [r.path for r in snapshots.snapshots(spark, folder).filter(F.col("snapshot_ts") == ts).collect()]
         if not done:
             raise BackupFailed(f"snapshot {ts} is not complete")
         held, live = _counted(snapshots.read_tables(spark, done[0], list(tables))), _counted(tables)
-    except (PySparkException, Py4JJavaError) as error:
+    except (PySparkException, Py4JJavaError, OSError) as error:
         raise BackupFailed(str(error).splitlines()[0]) from error
     if held != live:
         raise BackupFailed(f"snapshot {ts} holds {held} rows instead of {live}")
@@ -113,8 +113,8 @@ def restore_stored(
     """Bring papers back into ``store`` from a snapshot under ``folder``, after a safety snapshot.
 
     Without ``source_ts`` the newest complete snapshot is the source; the safety snapshot ``ts``
-    is taken after that is chosen. What is absent from a live table is inserted, and all tables
-    change in one commit; nothing that is there is overwritten, so a repetition changes nothing.
+    is taken after that is chosen. What is absent from a live table is added to its files, and all
+    tables change in one commit; nothing that is there is overwritten, so a repetition changes nothing.
     Returns the log (table, paper_id, action, rows, detail), with a row per table for the safety
     snapshot (action "backup", null paper_id). `BackupFailed` is raised if that can't be taken or
     there is no source.
@@ -134,8 +134,8 @@ def restore_stored(
     changed = {
         r.table for r in state.filter("n_live = 0 AND n_snap > 0").select("table").distinct().collect()}
     if changed:
-        back = snapshots.restored({n: live[n] for n in sorted(changed)}, snap, state)
-        store.commit(back, base)
+        back = snapshots.absent_rows({n: live[n] for n in sorted(changed)}, snap, state)
+        store.commit({}, base, {n: insert_by_name(live[n].filter(F.lit(False)), rows) for n, rows in back.items()})
     log = [(name, None, "backup", n, f"safety snapshot {ts}") for name, n in held.items()]
     out = spark.createDataFrame(log, "table string, paper_id string, action string, rows long, detail string")
     if source.snapshot_ts != ts:

@@ -8,18 +8,23 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import expired_snapshots, insert_by_name, key_rows, split_join
+from ..operators import expired_snapshots, insert_by_name, is_stored, key_rows, sieve, split_join
 from ..session import scratch_folder
-from ..sources.files import delete_folder, list_files, list_folders, write_text_once
+from ..sources.files import can_copy, copy_files, delete_folder, list_files, list_folders, write_text_once
 
 FOLDER = "snapshot_ts="
 COMPLETE = "complete.txt"
 
 
-def snapshot(tables: Mapping[str, DataFrame], path: str, ts: str, keep: int | None = 10) -> list[str]:
+def snapshot(
+    tables: Mapping[str, DataFrame], path: str, ts: str, keep: int | None = 10, stored: bool = False
+) -> list[str]:
     """Write every table under ``path/snapshot_ts=<ts>``, then drop all but the newest ``keep``
     (None: drop none).
 
+    Of ``stored`` tables, whose files all have the table's columns, the files are copied as they
+    are, without decoding their rows.
+
     ``ts`` sorts as text, as in ``2024-05-31_18-00-00``. A marker is written last: a snapshot that
     was cut short has none, isn't listed and doesn't count for ``keep``. Returns the dropped
     snapshots' paths.
@@ -28,7 +33,12 @@ def snapshot(tables: Mapping[str, DataFrame], path: str, ts: str, keep: int | No
     folder = f"{path}/{FOLDER}{ts}"
     delete_folder(spark, f"{folder}/{COMPLETE}")  # of an earlier write under the same time
     for name, df in tables.items():
-        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{name}")
+        files = df.inputFiles() if stored and is_stored(df) else []
+        if files and can_copy(spark, files[0], folder):
+            delete_folder(spark, f"{folder}/{name}")
+            copy_files(spark, files, f"{folder}/{name}")
+        else:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{name}")
     write_text_once(spark, f"{folder}/{COMPLETE}", " ".join(sorted(tables)))
     return [] if keep is None else prune(spark, path, keep)
 
@@ -59,10 +69,15 @@ def read_tables(spark: SparkSession, snapshot_path: str, names: list[str]) -> di
 
 def restore_state(live: Mapping[str, DataFrame], snap: Mapping[str, DataFrame], ids: DataFrame) -> DataFrame:
     """Rows of each wanted paper in each live table and in the snapshot: table, paper_id, n_live,
-    n_snap. All tables are counted by one aggregate, for which they send their keys only."""
+    n_snap. All tables are counted by one aggregate, for which they send their keys only; of stored
+    tables only those that pass a `sieve`."""
     wanted = ids.select("paper_id").distinct()
+
+    def keys(df: DataFrame) -> DataFrame:
+        return sieve(df.select("paper_id"), wanted, ["paper_id"]) if is_stored(df) else df.select("paper_id")
+
     sides = [
-        split_join(df.select("paper_id"), wanted, ["paper_id"], "left_semi").select(
+        split_join(keys(df), wanted, ["paper_id"], "left_semi").select(
             F.lit(name).alias("table"), "paper_id", F.lit(one).alias("n_live"), F.lit(1 - one).alias("n_snap"))
         for one, tables in ((1, live), (0, snap)) for name, df in tables.items() if name in live]
     counts = reduce(DataFrame.unionByName, sides).groupBy("table", "paper_id").agg(*[
@@ -85,18 +100,25 @@ def landed_state(live: Mapping[str, DataFrame], snap: Mapping[str, DataFrame], i
     return spark.read.schema(state.schema).parquet(f"{folder}/state")
 
 
-def restored(
+def absent_rows(
     live: Mapping[str, DataFrame], snap: Mapping[str, DataFrame], state: DataFrame
 ) -> dict[str, DataFrame]:
-    """Live tables with the snapshot's rows of the papers that ``state`` finds absent from them."""
-    out = dict(live)
+    """The snapshot's rows of the papers that ``state`` finds absent from the live tables."""
+    out = {}
     for name in live.keys() & snap.keys():
         absent = state.filter((F.col("table") == name) & (F.col("n_live") == 0) & (F.col("n_snap") > 0))
         rows = key_rows(snap[name], absent.select("paper_id"), "paper_id", "left_semi")
-        out[name] = insert_by_name(live[name], rows.select(*[c for c in rows.columns if c in live[name].columns]))
+        out[name] = rows.select(*[c for c in rows.columns if c in live[name].columns])
     return out
 
 
+def restored(
+    live: Mapping[str, DataFrame], snap: Mapping[str, DataFrame], state: DataFrame
+) -> dict[str, DataFrame]:
+    """Live tables with the snapshot's rows of the papers that ``state`` finds absent from them."""
+    return dict(live) | {n: insert_by_name(live[n], rows) for n, rows in absent_rows(live, snap, state).items()}
+
+
 def restore_log(snap: Mapping[str, DataFrame], state: DataFrame) -> DataFrame:
     """What ``state`` lets happen to each paper in each table: table, paper_id, action, rows, detail."""
     kept = F.col("table").isin(*snap)

@@ -100,6 +100,47 @@ def _running_md5(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*batch.columns, pa.array(sums, pa.string())], names=["path", "size", "md5"])
 
 
+def can_copy(spark: SparkSession, *paths: str) -> bool:
+    """Whether `copy_files` can reach these paths, as Arrow knows their file systems."""
+    try:
+        for path in paths:
+            open_system(_qualified(spark, path))
+    except (pa.ArrowException, OSError):
+        return False
+    return True
+
+
+def copy_files(spark: SparkSession, files: list[str], folder: str) -> None:
+    """Copy files (URIs as `DataFrame.inputFiles` tells them) byte by byte into a new folder.
+
+    Tasks copy in pieces of ``CHUNK`` bytes to a hidden name, compare the sizes and rename, so that
+    a repeated task does no harm. Names get a number, as files of several folders may share one.
+    """
+    jvm, target = spark._jvm, _qualified(spark, folder)
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).toString() for f in files]
+    rows = [(p, f"part-{i:05d}-{p.rsplit('/', 1)[1]}") for i, p in enumerate(map(lambda p: _qualified(spark, p), paths))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for source, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                (system, inner), (there, into) = open_system(source), open_system(target)
+                there.create_dir(into)
+                aside, size = f"{into}/_{uuid.uuid4().hex}", 0
+                with system.open_input_stream(inner) as stream, there.open_output_stream(aside) as out:
+                    while piece := stream.read(CHUNK):
+                        out.write(piece)
+                        size += len(piece)
+                held = [s.get_file_info(f).size for s, f in ((system, inner), (there, aside))]
+                if held != [size, size]:
+                    raise OSError(f"{source} has {held[0]} bytes, its copy {held[1]}")
+                there.move(aside, f"{into}/{name}")
+            yield batch
+
+    copied = spark.createDataFrame(rows, "source string, name string").mapInArrow(run, "source string, name string")
+    if (n := copied.count()) != len(files):
+        raise OSError(f"{n} of {len(files)} files were copied")
+
+
 def open_system(path: str) -> tuple[fs.FileSystem, str]:
     """Arrow's file system for a qualified path, whose characters aren't encoded, and the path within."""
     scheme, _, rest = path.partition(":")

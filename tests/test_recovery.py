@@ -1,7 +1,14 @@
+from pathlib import Path
+from urllib.parse import unquote, urlparse
+
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from galleyproof.plans import recovery, snapshots
 from galleyproof.sources import VersionedTables
+from galleyproof.sources import files as sources_files
+from galleyproof.sources.files import can_copy
 from conftest import by_id
 
 LOG = ("operation", "target", "status", "n_rows")
@@ -110,3 +117,48 @@ def test_restore_needs_a_source_and_a_safety_snapshot(store, desk, tmp_path, mon
     with pytest.raises(recovery.BackupFailed):
         recovery.restore_stored(store, f"{tmp_path}/snaps", desk.ids("1"), "2024-01-02")
     assert store.version() == 1
+
+
+def files(df):
+    return sorted(Path(unquote(urlparse(f).path)).read_bytes() for f in df.inputFiles())
+
+
+def test_snapshots_of_stored_tables_are_copies_of_their_files(spark, store, desk, tmp_path):
+    store.commit({}, 1, {"papers": desk.papers({"paper_id": "4"}).withColumn("github_url", F.lit("x")).select(store.read("papers").columns)})
+    held = recovery.backup(store.tables(), f"{tmp_path}/the snaps", "2024-01-01")
+    again = recovery.backup(store.tables(), f"{tmp_path}/the snaps", "2024-01-01")
+    assert held == again == {"papers": 4, "iterations": 3, "form_arrivals": 3, "reports": 1}
+    found = snapshots.read_tables(spark, f"{tmp_path}/the snaps/snapshot_ts=2024-01-01", list(held))
+    for name, table in store.tables().items():
+        assert files(found[name]) == files(table) and found[name].schema == table.schema
+        assert found[name].exceptAll(table).isEmpty()
+    # other frames are written
+    snapshots.snapshot({"papers": store.read("papers").filter("paper_id > '1'")}, f"{tmp_path}/the snaps", "2", stored=True)
+    assert snapshots.read_tables(spark, f"{tmp_path}/the snaps/snapshot_ts=2", ["papers"])["papers"].count() == 3
+
+
+def test_what_arrow_cannot_reach_is_written(spark, store, tmp_path, monkeypatch):
+    def unknown(path):
+        raise pa.ArrowInvalid("Unrecognized filesystem type")
+
+    assert can_copy(spark, store.root)
+    monkeypatch.setattr(sources_files, "open_system", unknown)
+    assert not can_copy(spark, store.root)
+    assert recovery.backup(store.tables(), f"{tmp_path}/snaps", "1") == {"papers": 3, "iterations": 3, "form_arrivals": 3, "reports": 1}
+
+
+def test_a_copy_that_lost_bytes_is_a_failure(spark, store, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "copy_files", lambda *a: (_ for _ in ()).throw(OSError("a file is short")))
+    with pytest.raises(recovery.BackupFailed, match="short"):
+        recovery.backup(store.tables(), f"{tmp_path}/snaps", "2024-01-01")
+
+
+def test_a_restore_writes_only_what_comes_back(store, desk, tmp_path):
+    folder = f"{tmp_path}/snaps"
+    recovery.purge_stored(store, folder, "2024-01-01", desk.ids("1"))
+    live = {n: set(t.inputFiles()) for n, t in store.tables().items()}
+    recovery.restore_stored(store, folder, desk.ids("1"), "2024-01-02")
+    now = {n: set(t.inputFiles()) for n, t in store.tables().items()}
+    assert all(live[n] <= now[n] for n in live) and now["reports"] == live["reports"]
+    added = store.spark.read.parquet(*(now["iterations"] - live["iterations"]))
+    assert [(r.paper_id, r["round"]) for r in added.orderBy("round").collect()] == [("1", 1), ("1", 2)]

@@ -1,6 +1,7 @@
 import datetime as dt
 import hashlib
 import json
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pytest
@@ -75,6 +76,30 @@ def test_of_two_writers_one_fails(spark, tmp_path):
         store.commit({"a": spark.range(1)}, 0)
 
 
+def test_rows_are_added_without_writing_the_table_again(spark, tmp_path):
+    store = VersionedTables(spark, f"{tmp_path}/a store")
+    store.commit({"a": spark.range(3), "b": spark.range(2)}, 0)
+    held = set(store.read("a").inputFiles())
+    assert store.commit({"b": spark.range(9)}, 1, {"a": spark.range(7, 9)}) == 2
+    assert sorted(r.id for r in store.read("a").collect()) == [0, 1, 2, 7, 8] and store.read("b").count() == 9
+    added = [unquote(f) for f in set(store.read("a").inputFiles()) - held]
+    assert held < set(store.read("a").inputFiles()) and spark.read.parquet(*added).count() == 2
+    assert store.read("a", 1).count() == 3
+    for changed, rows in (({}, spark.range(1).toDF("x")), ({"a": spark.range(1)}, spark.range(1))):
+        with pytest.raises(ValueError):
+            store.commit(changed, 2, {"a": rows})
+    assert store.commit({"a": spark.range(1)}, 2) == 3 and store.read("a").count() == 1
+
+
+def test_manifests_with_one_folder_per_table_are_read(spark, tmp_path):
+    store = VersionedTables(spark, f"{tmp_path}/store")
+    store.commit({"a": spark.range(3)}, 0)
+    told = {n: folders[0] for n, folders in store._folders().items()}
+    assert write_text_once(spark, store._manifest(2), json.dumps(told)) and store.read("a").count() == 3
+    store.commit({}, 2, {"a": spark.range(1)})
+    assert store.tables()["a"].count() == 4
+
+
 def test_a_taken_number_fails_and_half_a_manifest_is_not_seen(spark, tmp_path):
     store = VersionedTables(spark, f"{tmp_path}/store")
     store.commit({"a": spark.range(1)}, 0)
